@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mpeg, simhash, sstable, warc, wumanber
+from . import extraction, interpolation, mpeg, simhash, sstable, toxicity, warc, wfst, wumanber
 from .common import table
 
 
@@ -16,6 +16,14 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg.media_features(mpeg.to_media(table(spark, sf_dir, "documents")))
 
@@ -29,6 +37,10 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(sstable.write_shards(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wumanber.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,12 +49,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wfst.report(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_extraction": op3_extraction,
     "op4_media": op4_media,
     "op5_warc": op5_warc,
     "op6_token_ids": op6_token_ids,
+    "op7_language_model": op7_language_model,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
+    "op10_pieces": op10_pieces,
 }
 
 SQL: dict[str, str] = {
