@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, interpolation, mpeg, simhash, sstable, toxicity, warc, wfst, wumanber
+from . import extraction, interpolation, licenses, mpeg, simhash, sstable, toxicity, warc, wfst, wumanber
 from .common import table
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extracted(table(spark, sf_dir, "pages"))
 
@@ -34,7 +38,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sstable.read_shards(sstable.write_shards(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=2))
+    return sstable.read_shards(sstable.write_shards(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +54,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wfst.report(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return wfst.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_licenses": op2_licenses,
     "op3_extraction": op3_extraction,
     "op4_media": op4_media,
     "op5_warc": op5_warc,

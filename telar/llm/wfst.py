@@ -212,15 +212,23 @@ def report(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return map_batches(docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")), run, "doc_id long, n_tokens long, n_bytes long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
 
 
-def with_ids(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "input_ids") -> DataFrame:
-    """The rows of ``docs`` with ``ids_col`` array<int> (replacing a column of that name); null text gives no ids."""
+def with_ids(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "input_ids", check_col: str | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``ids_col`` array<int>; null text gives no ids.
+
+    ``check_col`` tells whether decoding gives the text (null as empty) back.
+    Columns of these names are replaced.
+    """
     docs = docs.withColumn(ids_col, F.array().cast("array<int>"))
+    docs = docs.withColumn(check_col, F.lit(None).cast("boolean")) if check_col else docs
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x for x, _ in transducer(model_path).encode([x or "" for x in batch.column(text_col).to_pylist()])]
+        t, texts = transducer(model_path), [x or "" for x in batch.column(text_col).to_pylist()]
+        ids = [x for x, _ in t.encode(texts)]
         offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-        made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-        return pa.RecordBatch.from_pydict({k: made if k == ids_col else batch.column(k) for k in batch.schema.names})
+        made = {ids_col: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))}
+        if check_col:
+            made[check_col] = pa.array([t.decode(i) == x.encode() for i, x in zip(ids, texts, strict=True)])
+        return pa.RecordBatch.from_pydict({k: made[k] if k in made else batch.column(k) for k in batch.schema.names})
 
     return map_batches(docs, run, docs.schema)
 
