@@ -44,10 +44,14 @@ MAGIC = b"TLSSTBL1"
 FOOTER = struct.Struct("<QQQQQQQQ8s")
 INDEX = struct.Struct("<BQIII")
 BLOCK_BYTES = 256 << 10
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 900_000
 
-_AFTER_SPACE = re.compile(r"\s ")
+_TWO_SPACES = re.compile(r"\s\s")
 _CHUNK_START = re.compile(r"(?<=\S)(?= )")
+_CHUNK = re.compile(r" ?[^ \n]+|\n| ")
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+_SHOWN = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else "" for b in range(256)}
+_SHOWN |= {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if not _SHOWN[b])}  # the characters by which byte-level vocabularies show bytes
 
 
 @cache
@@ -62,36 +66,55 @@ def tokenizer(path: str):
     return t
 
 
-class ChunkEncoder:
+class ChunkEncoder(dict):
     """Whole texts to ids (as little-endian uint32 bytes) through the tokenizers library.
 
     The byte-level pre-tokeniser never joins a character that is not white
     space to a space after it, so a text may be cut before each space that
-    follows such a character and the parts encoded on their own: frequent
-    parts come from a bounded cache, the others go to the library in batches.
+    follows such a character (and around single line breaks), and the parts be
+    encoded on their own. This is the table of parts, of bounded size. A part
+    that it lacks goes through the library: a run of Latin letters with at most
+    a space before and ASCII marks after it is one or two pre-tokens, which the
+    library's model takes at once; any other part goes through all of it.
     """
 
-    def __init__(self, path: str, end_id: int):
-        self.t, self.end, self.known = tokenizer(path), struct.pack("<I", end_id), {}
+    def __init__(self, path: str):
+        self.t = tokenizer(path)
+        self.model = self.t.model
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if _AFTER_SPACE.search(text):
-            return _CHUNK_START.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self.chunks(x) if x else [] for x in texts]
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        new = list({c for p in parts for c in p if c not in known})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for c, e in zip(some, self.t.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[c] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [b"".join(map(known.__getitem__, p)) + self.end for p in parts]
+        return _CHUNK_START.split(text) if _TWO_SPACES.search(text) else _CHUNK.findall(text)
+
+    def __missing__(self, part: str) -> bytes:
+        plain = _PLAIN.fullmatch(part)
+        if plain and plain[2]:
+            ids = self[plain[1]] + (self.get(plain[2]) or self._token(plain[2], plain[2]))
+        elif plain:
+            return self._token(part, part)
+        else:
+            e = self.t.encode(part, add_special_tokens=False)
+            ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self[part] = ids
+        return ids
+
+    def _token(self, key: str, pretoken: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(pretoken.encode().decode("latin-1").translate(_SHOWN))]
+        self[key] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
+        out = []
+        for text in texts:
+            if len(self) > CACHE_CHUNKS:
+                self.clear()
+            out.append((b"".join(map(self.__getitem__, self.chunks(text))) if text else b"") + end)
+        return out
+
+
+@cache
+def chunk_encoder(path: str) -> ChunkEncoder:
+    return ChunkEncoder(path)
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -225,7 +248,7 @@ MANIFEST = "shard int, path string, docs long, tokens long"
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     part, writer = TaskContext.get().partitionId(), None
     uri = f"{folder}/{part:06d}-{uuid.uuid4().hex}.sst"
-    encoder, fs = ChunkEncoder(tokenizer_path, end_id), None
+    encoder, end = chunk_encoder(tokenizer_path), struct.pack("<I", end_id)
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
@@ -233,7 +256,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path:
                 fs, path = arrow_fs(uri)
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
                 writer = Writer(fs.open_output_stream(path))
-            for doc, ids in zip(some.column(0).to_pylist(), encoder.encode([x or "" for x in some.column(1).to_pylist()]), strict=True):
+            for doc, ids in zip(some.column(0).to_pylist(), encoder.encode([x or "" for x in some.column(1).to_pylist()], end), strict=True):
                 writer.add(key_of(doc), ids)
     if writer:
         writer.close()
