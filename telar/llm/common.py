@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +51,15 @@ def crc_mod(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """Rows go to Python in batches of at most BATCH_BYTES (a row more), whatever the length of texts."""
+    conf = df.sparkSession.conf
+    size = re.fullmatch(r"(\d+)([kmg]?)b?", conf.get(_BATCH).lower())
+    if not size or not 0 < int(size[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[size[2]] <= BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """mapInArrow by one function of a batch; it gives a batch with the schema's columns, or None."""
 
@@ -56,7 +68,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             if batch.num_rows and (out := fn(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, utf8, written
+from .common import bounded, crc_mod, utf8, written
 
 FOLDS = 10
 BLOCK_BYTES = 8 << 20
@@ -263,9 +263,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     fold = crc_mod("k", folds)
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
     rows = rows.select("k", "t", F.when(fold == 0, HELD_OUT).when(fold == 1, DELETED).otherwise(MAIN).alias("kind"))
-    blocks = written(rows.mapInArrow(partial(_blocks, block_bytes=block_bytes), BLOCKS), "lm-blocks")
+    blocks = written(bounded(rows).mapInArrow(partial(_blocks, block_bytes=block_bytes), BLOCKS), "lm-blocks")
     tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
-    asked = blocks.mapInArrow(partial(_ask, ranges=max(1, -(-tokens // range_tokens))), BLOCKS)
+    asked = bounded(blocks).mapInArrow(partial(_ask, ranges=max(1, -(-tokens // range_tokens))), BLOCKS)
     answers = written(asked.groupBy("part").applyInArrow(_answer, BLOCKS), "lm-answers")
     sums = {r.block: (r.n, r.v) for r in answers.filter("block < 0").groupBy("block").agg(F.sum("part").alias("n"), F.sum("tokens").alias("v")).collect()}
     (n, v), (main_n, main_v) = sums.get(-1, (0, 0)), sums.get(-2, (0, 0))

@@ -34,11 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, utf8, written
+from .common import bounded, map_batches, utf8, written
 
 SHINGLE = 4
 DISTANCE = 4
 SPLIT_OVER = 200_000
+INDEX_ROWS = 20_000
 TRIPLES = list(combinations(range(7), 3))
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -154,13 +155,15 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
 
 def links(prints: DataFrame, distance: int = DISTANCE, split_over: int = SPLIT_OVER) -> DataFrame:
     """Edges (a, b) between representatives that span every component. prints: distinct fp with rep, an identifier of its own."""
-    index = map_batches(prints.select("fp", "rep"), _index, "key long, fp long, rep long")
-    hot = [r.key for r in index.groupBy("key").count().filter(F.col("count") > split_over).select("key").collect()] if prints.count() > split_over else []
+    n = prints.count()
+    spread = prints.select("fp", "rep").repartition(max(1, -(-n // INDEX_ROWS)))  # each row becomes 35
+    index = map_batches(spread, _index, "key long, fp long, rep long")
+    hot = [r.key for r in index.groupBy("key").count().filter(F.col("count") > split_over).select("key").collect()] if n > split_over else []
     if hot:  # at most 35 lists of more than split_over for each split_over fingerprints
         own = F.col("key").isin(hot)
         index = index.filter(~own).unionByName(map_batches(index.filter(own), _deal, "key long, fp long, rep long"))
     lists = index.repartition(F.col("key")).sortWithinPartitions("key")
-    return lists.mapInArrow(partial(_links, distance=distance), "a long, b long").distinct()
+    return bounded(lists).mapInArrow(partial(_links, distance=distance), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_fs, fresh_path, written
+from .common import arrow_fs, bounded, fresh_path, written
 
 MAGIC = b"TLSSTBL1"
 FOOTER = struct.Struct("<QQQQQQQQ8s")
@@ -273,7 +273,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col:
     folder = folder or fresh_path(docs.sparkSession, "sst")
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
     rows = rows.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first())
-    return written(rows.mapInArrow(partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id), MANIFEST), "sst-manifest")
+    return written(bounded(rows).mapInArrow(partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id), MANIFEST), "sst-manifest")
 
 
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

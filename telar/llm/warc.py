@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_fs, fresh_path, written
+from .common import arrow_fs, bounded, fresh_path, written
 
 MAGIC = b"WARC/1.1\r\n"
 FILE_BYTES = 256 << 20
@@ -102,7 +102,7 @@ def write(pages: DataFrame, id_col: str = "page_id", min_bytes: int = 1000, fold
     revisits = classify(pages, id_col, min_bytes).filter("refers_to IS NOT NULL").select(F.col("page_id").alias("k"), F.col("digest").alias("d"), "refers_to").distinct()
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), "url", "html").withColumn("d", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
     rows = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("k")) & (rows["d"] == revisits["d"]), "left").select("page_id", "url", "html", "refers_to")
-    return written(rows.mapInArrow(partial(_write, folder=folder, file_bytes=file_bytes), "path string, size long"), "warc-files")
+    return written(bounded(rows).mapInArrow(partial(_write, folder=folder, file_bytes=file_bytes), "path string, size long"), "warc-files")
 
 
 RECORD = "path string, split int, at long, next long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
