@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.llm import simhash, toxicity, wfst, wumanber
-from telar.llm.common import table, written
+from telar.llm.common import free_name, table, written
 from telar.llm.queries import vocabulary
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine scores below the threshold."""
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, machine, score_col="__score").filter(F.col("__score") < toxicity.THRESHOLD).drop("__score")
+    score = free_name(docs, "score")
+    return toxicity.scored(docs, machine, score_col=score).filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

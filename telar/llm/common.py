@@ -46,6 +46,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the key written as text, modulo n; null for a null key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % n

@@ -24,10 +24,10 @@ import struct
 from collections import defaultdict
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, utf8, written
+from .common import free_name, map_batches, utf8, written
 
 WINDOW = 10
 PART_WORDS = 2_000_000
@@ -171,8 +171,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with their own columns."""
-    return find(docs, benchmark, text_col, **how).filter(F.length("__spans") == 0).select(*map(_quoted, docs.columns))
-
-
-def _quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
+    names = {c: free_name(docs, c) if c in ("__n_words", "__spans", "__items") else c for c in docs.columns}
+    found = find(docs.withColumnsRenamed(names), benchmark, names[text_col], **how).filter(F.length("__spans") == 0)
+    return found.select(*(F.col(f"`{kept}`").alias(c) for c, kept in names.items()))
