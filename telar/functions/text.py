@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SPACE = "(?U)^\\s+|\\s+$"
 
@@ -30,7 +31,7 @@ LETTERHEAD = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unaccented(s: pd.Series) -> pd.Series:
     return s.map(lambda t: "" if not t else t.lower() if t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower())
 

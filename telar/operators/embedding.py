@@ -65,7 +65,7 @@ def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16,
                 some["error"] = error
                 yield some
 
-    schema = rows.withColumns({"vector": F.array().cast("array<double>"), "error": F.lit(None).cast("string")}).schema
+    schema = rows.withColumns({"vector": F.lit(None).cast("array<double>"), "error": F.lit(None).cast("string")}).schema
     return rows.mapInPandas(run, schema).drop("__text").withColumn("vector", l2_normalize(F.col("vector")))
 
 
