@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from .common import bounded, crc_mod, utf8, written
 
 FOLDS = 10
-BLOCK_BYTES = 8 << 20
-RANGE_TOKENS = 1_500_000
+BLOCK_BYTES = 4 << 20
+RANGE_TOKENS = 750_000
 MAIN, DELETED, HELD_OUT = 0, 1, 2
 END = 0x9E3779B97F4A7C15  # hash of the end mark; no word's text gives it by design
 NONE = -(1 << 20)  # histogram cell of probability 0
