@@ -77,4 +77,14 @@ SQL: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id < max(page_id) OVER (PARTITION BY d) THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 1000 AND page_id < max(page_id) OVER (PARTITION BY d) THEN max(page_id) OVER (PARTITION BY d) END AS refers_to
         FROM p""",
+    "op8_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        w AS (SELECT DISTINCT item_id, least(len(ws), 10) AS l, array_to_string(ws[i:i + 9], ' ') AS g FROM (SELECT item_id, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS i FROM b WHERE len(ws) > 0)),
+        g AS (SELECT doc_id, i, l, array_to_string(ws[i:i + l - 1], ' ') AS g FROM (SELECT doc_id, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM w) WHERE len(ws) >= l)),
+        h AS (SELECT doc_id, i, l, item_id FROM g JOIN w USING (l, g)),
+        n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM h) GROUP BY 1),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY 1)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }
