@@ -86,3 +86,13 @@ def better_mode(header: float | None, body: float | None, tie: float = 0.01) ->
     if header is None or body is None:
         return "body"
     return "header" if header < body - tie else "body"
+
+
+def compare_modes(rows: DataFrame, texts: dict[str, Column], embedder: Embedder, group: str) -> DataFrame:
+    """Mean pairwise cosine of a group's vectors by the way its texts are made (mode)."""
+    from functools import reduce
+
+    from .search import mean_pairwise
+
+    parts = (mean_pairwise(embedded(rows.select("*"), text, embedder).filter("vector IS NOT NULL"), [group], "vector").withColumn("mode", F.lit(mode)) for mode, text in texts.items())
+    return reduce(DataFrame.unionByName, parts)

@@ -113,3 +113,24 @@ def write_snapshot(df: DataFrame, path: str, partitions: Sequence[str] = ()) ->
     w = df.write.option("compression", "snappy")
     (w.partitionBy(*partitions) if partitions else w).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def fill_missing(df: DataFrame, other: DataFrame, on: str, columns: Sequence[str]) -> DataFrame:
+    """Null or empty fields filled from the other frame's row of the key; columns that are not there are added."""
+    extra = other.select(on, *(F.col(c).alias(f"__{c}") for c in columns))
+    both = df.join(extra, on, "left")
+
+    def filled(c: str) -> Column:
+        if c not in df.columns:
+            return F.col(f"__{c}")
+        own = F.col(c)
+        blank = own.isNull() | (own == "" if df.schema[c].dataType.typeName() == "string" else F.lit(False))
+        return F.when(blank, F.col(f"__{c}")).otherwise(own)
+
+    rest = [c for c in columns if c not in df.columns]
+    return both.select(*(filled(c).alias(c) if c in columns else F.col(c) for c in df.columns), *(filled(c).alias(c) for c in rest))
+
+
+def kept_for(df: DataFrame, written_at: str, now: Column, days: int) -> DataFrame:
+    """Entries of a cache that are not older than so many days."""
+    return df.filter(F.col(written_at) >= now - F.make_interval(days=F.lit(days)))

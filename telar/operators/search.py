@@ -196,3 +196,8 @@ def query_filters(c: Column) -> Column:
     state = F.when(t.rlike(r"\bvigentes?\b|\babiert[oa]s?\b"), "Vigente").when(t.rlike(r"\bculminad[oa]s?\b"), "Culminado").when(t.rlike(r"\ben evaluacion\b"), "En Evaluación")
     kind = F.when(t.rlike(r"\bservicios?\b"), "Servicio").when(t.rlike(r"\bbienes\b|\bbien\b"), "Bien").when(t.rlike(r"\bobras?\b"), "Obra")
     return F.struct(state.alias("estado"), kind.alias("objeto"), F.nullif(F.regexp_extract(t, r"\b(20\d\d)\b", 1), F.lit("")).try_cast("int").alias("anio"))
+
+
+def mean_similarity(hits: DataFrame, queries: DataFrame, query: str = "query_id") -> DataFrame:
+    """Per query the mean similarity of its hits, 0 without hits; average these for the overall mean."""
+    return queries.select(query).join(hits.groupBy(query).agg(F.avg("similarity").alias("m")), query, "left").select(query, F.coalesce("m", F.lit(0.0)).alias("mean_similarity"))

@@ -234,3 +234,53 @@ def extracted_pages(pages: DataFrame, least_chars: int = 80, most_scans: int = 4
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("scan"), F.struct("pagina", mark.alias("t"))))), lambda s: s["t"]), "\n\n").alias("tdr_texto"),
     )
     return doc.select("id", "tdr_texto", "tdr_n_paginas", (F.col("tdr_n_paginas") - F.col("tdr_n_paginas_ocr")).alias("tdr_n_paginas_nativas"), "tdr_n_paginas_ocr", F.slice("scans", 1, most_scans).alias("paginas_ocr_pendientes"), page_kind(F.col("tdr_n_paginas"), F.col("tdr_n_paginas_ocr")).alias("tdr_tipo_extraccion"))
+
+
+def funnel_lists(payload: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """The two lists (id, fecha) of a funnel payload in JSON; entries without a positive id and a date are left out."""
+    from telar.functions.time import parse_iso, positive_id
+
+    item = "array<struct<id: string, fecha: string>>"
+    p = payload.select(F.from_json(column, f"struct<analizados: {item}, cotizados: {item}>").alias("p"))
+
+    def of(name: str) -> DataFrame:
+        rows = p.select(F.explode(f"p.{name}").alias("x")).select(positive_id(F.col("x.id")).alias("id"), parse_iso(F.col("x.fecha")).alias("fecha"))
+        return rows.filter("id IS NOT NULL AND fecha IS NOT NULL")
+
+    return of("analizados"), of("cotizados")
+
+
+def record_downloads(contracts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Contracts after a run. outcomes: id, outcome (ok, sin_pdf, pendiente) and, for ok, the extraction's columns with url, pdf_hash, pdf_nombre, pdf_archivo_id.
+
+    ok: stored, processed unless every page is an image. sin_pdf: done, nothing
+    to keep. pendiente: waits for another run.
+    """
+    ok, none = F.col("outcome") == "ok", F.col("outcome") == "sin_pdf"
+    kind = F.col("tdr_tipo_extraccion")
+    of = lambda c: F.when(ok, F.col(c))
+    empty = F.array().cast("array<int>")
+    new = outcomes.select(
+        "id", F.when(ok, F.nullif("tdr_texto", F.lit(""))).alias("tdr_texto"), F.when(~none, F.col("pdf_hash")).alias("pdf_hash"), F.when(ok, kind != "nativo_puro").when(none, F.lit(None)).otherwise(True).alias("pdf_es_imagen"),
+        (ok | none).alias("pdf_descargado"), (none | ok & (kind != "imagen_total")).alias("pdf_procesado"), F.when(ok, F.substring(F.coalesce("url", F.lit("")), 1, 2000)).when(none, "sin_pdf").otherwise("pendiente_ocr").alias("req_url"), of("tdr_tipo_extraccion").alias("tdr_tipo_extraccion"),
+        F.coalesce(of("paginas_ocr_pendientes"), empty).alias("paginas_ocr_pendientes"), F.coalesce(of("paginas_ocr_hechas"), empty).alias("paginas_ocr_hechas"), *(of(c).alias(c) for c in ("tdr_n_paginas", "tdr_n_paginas_nativas", "tdr_n_paginas_ocr")),
+        F.when(~none, F.col("pdf_archivo_id")).alias("pdf_archivo_id"), F.when(~none, F.nullif(F.substring("pdf_nombre", 1, 500), F.lit(""))).alias("pdf_nombre"),
+    )
+    return partial_update(contracts, new, ["id"])
+
+
+EXTRACTION = ("tdr_tipo_extraccion", "paginas_ocr_pendientes", "paginas_ocr_hechas", "tdr_n_paginas", "tdr_n_paginas_nativas", "tdr_n_paginas_ocr", "pdf_es_imagen")
+
+
+def sync_sidecar(contracts: DataFrame, sidecar: DataFrame, least_chars: int = 80) -> DataFrame:
+    """Extraction fields from the sidecar (latest per id); open image records without one whose text is native become so."""
+    from telar.functions.text import useful_chars
+    from .merge import guarded_update
+
+    synced = partial_update(contracts, sidecar.select("id", *EXTRACTION), ["id"])
+    text = F.coalesce("tdr_texto", F.lit(""))
+    marked = synced.join(sidecar.select("id").distinct().withColumn("__side", F.lit(True)), "id", "left")
+    orphan = F.col("__side").isNull() & (F.col("estado") == OPEN) & F.col("pdf_es_imagen") & F.col("tdr_tipo_extraccion").isNull() & (F.coalesce("req_url", F.lit("")) != "sin_pdf") & ~text.contains("(ocr)") & (useful_chars(text) >= least_chars)
+    empty = F.array().cast("array<int>")
+    fixed = guarded_update(marked, orphan, {"tdr_tipo_extraccion": F.lit("nativo_puro"), "pdf_es_imagen": F.lit(False), "paginas_ocr_pendientes": empty, "paginas_ocr_hechas": empty, "tdr_n_paginas_ocr": F.lit(0)})
+    return fixed.select(*contracts.columns)

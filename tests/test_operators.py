@@ -231,3 +231,41 @@ def test_schema(spark):
     assert df.schema == schema.schema_of("chunks_tdr") or [f.name for f in df.schema] == [f.name for f in schema.schema_of("chunks_tdr")]
     assert df.first().id == 7
     assert "texto" in schema.missing_columns(spark.createDataFrame([(1,)], "id int"), "chunks_tdr")
+
+
+def test_fill_and_cache(spark):
+    df = spark.createDataFrame([(1, "", None), (2, "x", 5), (3, None, None)], "id int, s string, n int")
+    other = spark.createDataFrame([(1, "a", 1, "z"), (2, "b", 2, "z")], "id int, s string, n int, w string")
+    assert rows(merge.fill_missing(df, other, "id", ["s", "n", "w"])) == [(1, "a", 1, "z"), (2, "x", 5, "z"), (3, None, None, None)]
+    cache = spark.createDataFrame([(datetime(2026, 8, 18),), (datetime(2026, 8, 1),)], "at timestamp")
+    assert merge.kept_for(cache, "at", now_(), 3).count() == 1
+
+
+def test_similarity_and_modes(spark):
+    hits = spark.createDataFrame([("q", 0.5), ("q", 0.7)], "query_id string, similarity double")
+    got = search.mean_similarity(hits, spark.createDataFrame([("q",), ("z",)], "query_id string"))
+    assert [(r.query_id, round(r.mean_similarity, 6)) for r in got.orderBy("query_id").collect()] == [("q", 0.6), ("z", 0.0)]
+    texts = spark.createDataFrame([(1, i, "same head", f"body {i} {i * 7}") for i in range(3)], "g int, i int, h string, b string")
+    modes = {r.mode: r.mean_cosine for r in embedding.compare_modes(texts, {"header": F.col("h"), "body": F.col("b")}, embedding.hashing_embedder(32), "g").collect()}
+    assert modes["header"] == pytest.approx(1)
+    assert embedding.better_mode(modes["header"], modes["body"]) == "body"
+
+
+def test_download_outcomes(spark):
+    df = spark.createDataFrame([contract(id=i, pdf_es_imagen=True, tdr_texto="t" * 90 if i == 4 else None, pdf_nombre="old") for i in (1, 2, 3, 4)], schema.schema_of("contratos"))
+    out = spark.createDataFrame([(1, "ok", "text", "h", "mixto", [2], None, 3, 2, 1, "http://u", 9, "n.pdf"), (2, "sin_pdf", None, None, None, None, None, None, None, None, None, None, None), (3, "pendiente", None, "h3", None, None, None, None, None, None, None, 5, "p.pdf")],
+        "id long, outcome string, tdr_texto string, pdf_hash string, tdr_tipo_extraccion string, paginas_ocr_pendientes array<int>, paginas_ocr_hechas array<int>, tdr_n_paginas int, tdr_n_paginas_nativas int, tdr_n_paginas_ocr int, url string, pdf_archivo_id long, pdf_nombre string")
+    got = state.record_downloads(df, out)
+    assert rows(got, "id", "pdf_descargado", "pdf_procesado", "pdf_es_imagen", "req_url", "pdf_nombre") == [(1, True, True, True, "http://u", "n.pdf"), (2, True, True, None, "sin_pdf", None), (3, False, False, True, "pendiente_ocr", "p.pdf"), (4, None, None, True, None, "old")]
+    side = spark.createDataFrame([(1, "imagen_total", [1, 2], [], 2, 0, 2, True)], "id long, tdr_tipo_extraccion string, paginas_ocr_pendientes array<int>, paginas_ocr_hechas array<int>, tdr_n_paginas int, tdr_n_paginas_nativas int, tdr_n_paginas_ocr int, pdf_es_imagen boolean")
+    synced = state.sync_sidecar(df, side)
+    assert rows(synced, "id", "tdr_tipo_extraccion", "pdf_es_imagen") == [(1, "imagen_total", True), (2, None, True), (3, None, True), (4, "nativo_puro", False)]
+    queue = state.page_queue(df.withColumn("fecha_fin_cotizacion", F.lit("2026-09-01").cast("timestamp")).withColumn("categoria_it", F.lit("Oracle")), side, now_())
+    assert rows(queue, "id", "pages") == [(1, [1, 2])]
+
+
+def test_funnel_lists(spark):
+    p = spark.createDataFrame([(json.dumps({"analizados": [{"id": 1, "fecha": "2026-01-02T00:00:00Z"}, {"id": "2.5", "fecha": "2026-01-02"}, {"id": 3, "fecha": "bad"}], "cotizados": [{"id": "4", "fecha": "2026-01-03"}]}),), ("{}",)], "payload string")
+    a, c = state.funnel_lists(p)
+    assert rows(a) == [(1, datetime(2026, 1, 2))]
+    assert rows(c) == [(4, datetime(2026, 1, 3))]

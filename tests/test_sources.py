@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from telar.sources import discovery, files
+from telar.sources import discovery, files, lookup
 from telar.sources.rest import PagedSource
 from telar.streaming import events
 
@@ -80,3 +80,15 @@ def test_streams(spark, tmp_path):
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     events.merge_sink(raw, snapshot, publish, ["user_id"], [F.desc("ts"), F.desc("event_id")], str(tmp_path / "cp")).awaitTermination(120)
     assert spark.read.parquet(path(state["n"])).count() == batch.select("user_id").distinct().count()
+
+
+def test_lookup(spark):
+    def fetch(k):
+        if k == 2:
+            raise OSError("down")
+        return {"v": k} if k == 1 else None
+
+    got = lookup.lookup(spark.range(1, 4), "id", fetch, "v long").orderBy("id").collect()
+    assert [(r.id, r.payload and r.payload.v, r.error) for r in got] == [(1, 1, None), (2, None, "OSError: down"), (3, None, None)]
+    hints = spark.createDataFrame([('{"a": [{"u": "http://x"}, "n"], "b": {"c": "Descargar PDF"}}',), ("bad",), (None,)], "p string").select(lookup.json_hints(F.col("p")).alias("h")).collect()
+    assert [r.h for r in hints] == [[".a[0].u=http://x", ".b.c=Descargar PDF"], [], []]
