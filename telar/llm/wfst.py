@@ -12,10 +12,13 @@ into three transducers, composed with each input:
 * the byte fallback: a character that no piece holds is read into the ids of
   its UTF-8 bytes, without regard to neighbours.
 
-The tropical-semiring shortest path is found over positions left to right; as
-each prefix has one finite path, a position keeps one state. No piece holds a
-U+2581 after another character, so a text is a concatenation of words whose
-paths are found apart and kept in a bounded table.
+Weights are zero or infinite, so the tropical-semiring shortest path is the one
+path of weight zero. It is searched depth first along arcs of weight zero, the
+longest piece first; a state from which the end is not reached is not entered
+again. No piece holds a U+2581 after another character, so a text is a
+concatenation of words; and where two neighbouring characters stand together in
+no piece, no arc crosses their border. The parts between such borders have
+paths of their own, which are kept in a bounded table.
 
 ``decode`` is the inverse: pieces to bytes, U+2581 to spaces, the space in front dropped.
 
@@ -41,10 +44,10 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 SPACE = "▁"
-TABLE_WORDS = 400_000
+TABLE_WORDS = 800_000
 INF = float("inf")
 _WORD = re.compile(r" *[^ \n]+| +|\n")
-_BYTES = ""  # the state after byte fallback
+_START = ""  # the state at the start of a part
 
 
 def _fields(data: bytes):
@@ -92,6 +95,16 @@ class Model:
                 self.charsmap, self.dummy_prefix, self.squeeze = n.get(2, b""), bool(n.get(3, 1)), bool(n.get(4, 1))
 
 
+class _Words(dict):
+    """Ids of words, found when they are first asked for."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        return self.find(word)
+
+
 class Transducer:
     def __init__(self, path: str):
         m = Model(path)
@@ -102,6 +115,7 @@ class Transducer:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or any("\n" in p for p in self.ids):
             raise ValueError("a piece goes over the end of a word")
         self.byte_ids = [0] * 256
+        self.is_byte = np.array([t == Model.BYTE for _, _, t in m.pieces])
         self.surface: list[bytes] = []
         for i, (p, _, t) in enumerate(m.pieces):
             if t == Model.BYTE:
@@ -111,7 +125,12 @@ class Transducer:
         self.starts: dict[str, bool] = {p[:n]: False for p in self.ids for n in range(1, len(p))} | dict.fromkeys(self.ids, True)
         self.weights: dict[str, dict[str, float]] = {}
         self.known = 0
-        self.paths: dict[str, tuple[bytes, int]] = {}
+        #: Pairs of characters that stand together in a piece.
+        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        if any(c not in self.ids for pair in self.inside for c in pair):
+            raise ValueError("a piece has a character that is no piece")
+        self.parts: dict[str, bytes] = {}
+        self.words = _Words(self.ids_of)
 
     def _merged(self, text: str) -> list[str]:
         """The characters of a short text after all merges, best score first, leftmost among equals."""
@@ -131,61 +150,81 @@ class Transducer:
         """Of the arc that writes v in state u."""
         return 0.0 if self._merged(u + v) == ([u, v] if u else [v]) else INF
 
-    def path(self, word: str) -> tuple[bytes, int]:
-        """(ids as little-endian int32, how many are bytes) along the shortest path of a normalised word."""
-        pieces, starts, n = self.ids, self.starts, len(word)
-        state: list[str | None] = [_BYTES] + [None] * n
-        back = [0] * (n + 1)
-        for i in range(n):
-            if word[i] not in pieces:  # a byte-fallback arc, the only one into i + 1
-                state[i + 1], back[i + 1] = _BYTES, i
-                continue
-            u = state[i]
-            row = self.weights.setdefault(u, {})
-            for j in range(i + 1, n + 1):  # the arcs that read from i on
-                v = word[i:j]
-                piece = starts.get(v)
+    def path(self, part: str) -> list[str]:
+        """The pieces along the shortest path of a part; the part's characters are all in pieces."""
+        starts, n = self.starts, len(part)
+        trail: list[tuple[int, str, list[int]]] = []
+        dead: set[tuple[int, str]] = set()
+        at, u = 0, _START
+        while True:
+            row = self.weights.get(u)
+            if row is None:
+                row = self.weights[u] = {}
+            ends = []
+            for j in range(at + 1, n + 1):  # the arcs that read from here on
+                piece = starts.get(part[at:j])
                 if piece is None:
                     break
-                if piece and state[j] is None:
+                if piece:
+                    ends.append(j)
+            while True:
+                while ends:
+                    j = ends.pop()
+                    v = part[at:j]
                     w = row.get(v)
                     if w is None:
                         w = row[v] = self.weight(u, v)
                         self.known += 1
-                    if w < INF:
-                        state[j], back[j] = v, i
-        out: list[int] = []
-        i, fallback = n, 0
-        while i:
-            j = back[i]
-            if state[i] == _BYTES:
-                b = word[j:i].encode("utf-8", "replace")
-                out += [self.byte_ids[x] for x in reversed(b)]
-                fallback += len(b)
-            else:
-                out.append(pieces[state[i]])
-            i = j
-        return struct.pack(f"<{len(out)}i", *reversed(out)), fallback
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, int]]:
-        """(ids as little-endian int32, how many are bytes) of each text."""
-        paths, out = self.paths, []
-        if len(paths) > TABLE_WORDS:
-            paths.clear()
-        if self.known > 4 * TABLE_WORDS:
-            self.weights.clear()
-            self.known = 0
+                    if w < INF and (j, v) not in dead:
+                        break
+                else:
+                    dead.add((at, u))
+                    at, u, ends = trail.pop()
+                    row = self.weights[u]
+                    continue
+                break
+            trail.append((at, u, ends))
+            if j == n:
+                return [*(u for _, u, _ in trail[1:]), v]
+            at, u = j, v
+
+    def ids_of(self, word: str) -> bytes:
+        """Ids of a word as little-endian int32, part by part."""
+        key, word = word, word.replace(" ", SPACE)
+        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside), len(word)]
+        out = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            part = word[a:b]
+            ids = self.parts.get(part)
+            if ids is None:
+                if part in self.ids or len(part) > 1:
+                    found = [self.ids[p] for p in self.path(part)]
+                else:
+                    found = [self.byte_ids[x] for x in part.encode("utf-8", "replace")]
+                ids = struct.pack(f"<{len(found)}i", *found)
+                if len(part) < len(word):
+                    self.parts[part] = ids
+            out.append(ids)
+        self.words[key] = ids = b"".join(out)
+        return ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian int32."""
+        words, out = self.words, []
         for text in texts:
-            found = _WORD.findall(" " + text.replace(SPACE, " ")) if text else []
-            for w in found if len(found) < 2 else set(found):
-                if w not in paths:
-                    paths[w] = self.path(w.replace(" ", SPACE))
-            got = [paths[w] for w in found]
-            out.append((b"".join([g[0] for g in got]), sum([g[1] for g in got])))
-            if len(paths) > 2 * TABLE_WORDS:
-                paths.clear()
+            if len(words) + len(self.parts) > TABLE_WORDS:
+                words.clear()
+                self.parts.clear()
+            if self.known > 2 * TABLE_WORDS:
+                self.weights.clear()
+                self.known = 0
+            out.append(b"".join(map(words.__getitem__, _WORD.findall(" " + text.replace(SPACE, " ")))) if text else b"")
         return out
 
+    def fallback(self, ids: bytes) -> int:
+        """How many ids are bytes."""
+        return int(self.is_byte[np.frombuffer(ids, "<i4")].sum())
+
     def decode(self, ids: bytes) -> bytes:
         text = b"".join(map(self.surface.__getitem__, np.frombuffer(ids, "<i4").tolist()))
         return text[1:] if text[:1] == b" " else text
@@ -203,9 +242,9 @@ def report(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         t = transducer(model_path)
         texts = [x or "" for x in batch.column("t").to_pylist()]
         ids = t.encode(texts)
-        decoded = [t.decode(x) for x, _ in ids]
+        decoded = [t.decode(x) for x in ids]
         return pa.RecordBatch.from_arrays(
-            [batch.column("k"), pa.array([len(x) // 4 for x, _ in ids], pa.int64()), pa.array([n for _, n in ids], pa.int64()), pa.array([zlib.crc32(x) for x, _ in ids], pa.int64()), pa.array([hashlib.sha256(d).hexdigest() for d in decoded]), pa.array([d == x.encode() for d, x in zip(decoded, texts, strict=True)])],
+            [batch.column("k"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([t.fallback(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(d).hexdigest() for d in decoded]), pa.array([d == x.encode() for d, x in zip(decoded, texts, strict=True)])],
             ["doc_id", "n_tokens", "n_bytes", "ids_crc32", "decoded_sha256", "round_trip"],
         )
 
@@ -223,7 +262,7 @@ def with_ids(docs: DataFrame, model_path: str, text_col: str = "text", ids_col:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         t, texts = transducer(model_path), [x or "" for x in batch.column(text_col).to_pylist()]
-        ids = [x for x, _ in t.encode(texts)]
+        ids = t.encode(texts)
         offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
         made = {ids_col: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))}
         if check_col:
