@@ -37,9 +37,10 @@ def _unaccented(s: pd.Series) -> pd.Series:
 
 
 def unaccented(c: Column) -> Column:
-    """NFKD without combining marks, lower case; null is empty. Spark has no normalize(), hence a pandas UDF; ASCII text never needs it."""
+    """NFKD without combining marks, lower case; null is empty. Spark has no normalize(), hence a pandas UDF, to which ASCII text goes as null."""
     text = F.coalesce(c, F.lit(""))
-    return F.when(text.rlike(r"^\p{ASCII}*$"), F.lower(text)).otherwise(_unaccented(text))
+    ascii_ = F.length(text) == F.octet_length(text)
+    return F.when(ascii_, F.lower(text)).otherwise(_unaccented(F.when(~ascii_, text)))
 
 
 def fold(c: Column) -> Column:

@@ -47,7 +47,7 @@ WHOLE_WORDS = frozenset({"ia"})
 
 def blob(*columns: Column, normalise=unaccented) -> Column:
     """The normalised columns joined and padded by blanks, so that keywords with blanks match at the ends."""
-    return F.concat(F.lit(" "), F.concat_ws(" ", *(normalise(c) for c in columns)), F.lit(" "))
+    return F.concat(F.lit(" "), normalise(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in columns))), F.lit(" "))
 
 
 def _holds(text: Column, term: str) -> Column:

@@ -38,47 +38,58 @@ def day_flags(df: DataFrame, state: Column, end: Column, published: Column, as_o
     })
 
 
-def counts_json(df: DataFrame, label: Column, name: str, order: Column | None = None) -> DataFrame:
-    """One row: groups and their counts as an ordered JSON array (``[]`` if none): by the order, or by falling count, then label."""
-    rows = df.groupBy(label.alias(name)).agg(F.count(F.lit(1)).cast("int").alias("total"))
-    key = F.struct((-F.col("total")).alias("a"), F.col(name).alias("b")) if order is None else F.struct(order.alias("a"), F.col(name).alias("b"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(name), F.col("total")))), lambda s: F.struct(s[name].alias(name), s["total"].alias("total")))
-    return rows.agg(F.coalesce(F.to_json(listed), F.lit("[]")).alias(name))
-
-
 def _count(c: Column, name: str) -> Column:
     return F.count_if(F.coalesce(c, F.lit(False))).cast("int").alias(name)
 
 
-def kpis(contracts: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The dashboard's ten counts in one pass, and two JSON lists over the open records."""
-    it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
-    d = F.col("hoy")
-    post = F.col("es_postulable")
-    numbers = it.agg(
-        _count(post, "total_postulables"), _count(post & F.col("cierra_hoy"), "cierran_hoy"), _count(post & F.col("cierra_manana"), "cierran_manana"), _count(post & F.col("cierra_semana"), "cierran_semana"),
-        _count(post & F.col("es_nuevo_hoy"), "nuevos_hoy_postulables"), _count(F.col("es_vigente_ventana_vencida"), "vigentes_ventana_vencida"), _count(F.col("es_en_evaluacion"), "en_evaluacion"), _count(F.col("es_culminado"), "culminados_it"),
-        _count(F.col("pub").between(F.date_sub(d, 6), d), "altas_it_7d"), _count(F.col("pub").between(F.date_sub(d, 13), F.date_sub(d, 7)), "altas_it_7d_prev"),
-    )
-    return numbers.crossJoin(_lists(it.filter(post)))  # single rows
+def _listed(rows: Column, label: str, order) -> Column:
+    """An array of struct<label, n> summed by label and shown as an ordered JSON array."""
+    labels = F.array_distinct(F.transform(rows, lambda r: r[label]))
+    total = lambda x: F.aggregate(F.filter(rows, lambda r: r[label] == x), F.lit(0), lambda a, r: a + r["n"])
+    keyed = F.transform(labels, lambda x: F.struct(total(x).alias("n"), x.alias("x")))
+    ordered = F.array_sort(F.transform(keyed, lambda s: F.struct(order(s["x"], s["n"]).alias("k"), s["x"].alias(label), s["n"].alias("total"))))
+    return F.to_json(F.transform(ordered, lambda s: F.struct(s[label].alias(label), s["total"].alias("total"))))
+
+
+def _lists() -> list[Column]:
+    """por_linea and por_rubro from groups (linea, rubro, n): a few rows, as many as there are categories and levels."""
+    rows = F.filter(F.collect_list(F.struct("linea", F.coalesce("rubro", F.lit("sin_clasificar")).alias("rubro"), F.col("n"))), lambda r: r["n"] > 0)
+    place = lambda x, _: F.when(x == "sin_clasificar", 4).otherwise(4 - R.rank(x))
+    return [_listed(rows, "linea", lambda x, n: F.struct((-n).alias("a"), x.alias("b"))).alias("por_linea"), _listed(rows, "rubro", place).alias("por_rubro")]
+
 
+def _text() -> Column:
+    return F.concat_ws(" ", F.coalesce("descripcion", F.lit("")), F.coalesce("descripcion_contrato", F.lit("")))
 
-def _lists(post: DataFrame) -> DataFrame:
-    level = F.coalesce(R.rubric(F.col("categoria_it"), F.col("relevancia_ia"), F.col("descripcion"), F.col("descripcion_contrato")), F.lit("sin_clasificar"))
-    by_line = counts_json(post, F.coalesce("categoria_it", F.lit("(sin línea)")), "linea").withColumnRenamed("linea", "por_linea")
-    place = F.when(F.col("rubro") == "sin_clasificar", 4).otherwise(4 - R.rank(F.col("rubro")))
-    return by_line.crossJoin(counts_json(post, level, "rubro", place).withColumnRenamed("rubro", "por_rubro"))
+
+def _rubric() -> Column:
+    return R.rubric(*map(F.col, ("categoria_it", "relevancia_ia", "descripcion", "descripcion_contrato")))
+
+
+def kpis(contracts: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The dashboard's ten counts and two JSON lists over the open records.
+
+    One scan: counts by line and level, and those few groups summed. Only open records meet the regular expressions of the rubric.
+    """
+    it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
+    d, post = F.col("hoy"), F.coalesce("es_postulable", F.lit(False))
+    numbers = {
+        "total_postulables": post, "cierran_hoy": post & F.col("cierra_hoy"), "cierran_manana": post & F.col("cierra_manana"), "cierran_semana": post & F.col("cierra_semana"), "nuevos_hoy_postulables": post & F.col("es_nuevo_hoy"),
+        "vigentes_ventana_vencida": F.col("es_vigente_ventana_vencida"), "en_evaluacion": F.col("es_en_evaluacion"), "culminados_it": F.col("es_culminado"),
+        "altas_it_7d": F.col("pub").between(F.date_sub(d, 6), d), "altas_it_7d_prev": F.col("pub").between(F.date_sub(d, 13), F.date_sub(d, 7)),
+    }
+    groups = it.groupBy(F.coalesce("categoria_it", F.lit("(sin línea)")).alias("linea"), F.when(post, _rubric()).alias("rubro")).agg(*(_count(c, n) for n, c in numbers.items()), _count(post, "n"))
+    return groups.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("int").alias(n) for n in numbers), *_lists())
 
 
 def business_kpis(contracts: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Open records by rubric, lines and overlay in one pass, and the two lists."""
+    """Open records by rubric, lines and overlay, and the two lists; one scan, as kpis."""
     it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of).filter("es_postulable")
-    text = F.concat_ws(" ", F.coalesce("descripcion", F.lit("")), F.coalesce("descripcion_contrato", F.lit("")))
-    s = it.withColumns({"rubro": R.rubric(F.col("categoria_it"), F.col("relevancia_ia"), F.col("descripcion"), F.col("descripcion_contrato")), "overlay": R.overlay(text)})
-    levels = [_count(F.col("rubro") == x, f"{x}_postulables") for x in reversed(R.LEVELS)]
-    lines = [_count(F.col("categoria_it") == c, n) for c, n in (("IA/analytics", "nucleo_ia"), ("Cloud/hosting", "nucleo_cloud"), ("Desarrollo software", "nucleo_dev"))]
-    numbers = s.agg(*levels, _count(F.col("rubro").isNull(), "sin_rubro_postulables"), *lines, _count(F.col("overlay") == "telemetria", "nucleo_tel"))
-    return numbers.crossJoin(_lists(it))
+    groups = it.groupBy(F.coalesce("categoria_it", F.lit("(sin línea)")).alias("linea"), _rubric().alias("rubro"), R.overlay(_text()).alias("overlay")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    of = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("int").alias(name)
+    levels = [of(F.col("rubro") == x, f"{x}_postulables") for x in reversed(R.LEVELS)]
+    lines = [of(F.col("linea") == c, n) for c, n in (("IA/analytics", "nucleo_ia"), ("Cloud/hosting", "nucleo_cloud"), ("Desarrollo software", "nucleo_dev"))]
+    return groups.agg(*levels, of(F.col("rubro").isNull(), "sin_rubro_postulables"), *lines, of(F.col("overlay") == "telemetria", "nucleo_tel"), *_lists())
 
 
 def month_rollup(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -90,9 +101,8 @@ def ranking(contracts: DataFrame, as_of: str | None = None, open_only: bool = Tr
     """Opportunities by score, best first, then the sooner end, then id."""
     it = day_flags(contracts.filter(in_scope() & F.col("estado").isin(OPEN, EVALUATED)), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
     it = it.filter("es_postulable") if open_only else it
-    text = F.concat_ws(" ", F.coalesce("descripcion", F.lit("")), F.coalesce("descripcion_contrato", F.lit("")))
-    level = R.rubric(F.col("categoria_it"), F.col("relevancia_ia"), F.col("descripcion"), F.col("descripcion_contrato"))
-    score = R.opportunity_score(level, F.col("estado"), F.datediff("fin", "hoy"), R.signal_points(F.col("relevancia_ia"), F.col("objeto"), R.has_real_ai(text)))
+    level = _rubric()
+    score = R.opportunity_score(level, F.col("estado"), F.datediff("fin", "hoy"), R.signal_points(F.col("relevancia_ia"), F.col("objeto"), R.has_real_ai(_text())))
     ranked = it.withColumns({"rubro": level, "score": score}).orderBy(F.desc("score"), F.col("fecha_fin_cotizacion").asc_nulls_last(), F.desc("id"))
     return ranked.limit(limit) if limit else ranked
 
