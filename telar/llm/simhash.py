@@ -158,10 +158,11 @@ def links(prints: DataFrame, distance: int = DISTANCE, split_over: int = SPLIT_O
     n = prints.count()
     spread = prints.select("fp", "rep").repartition(max(1, -(-n // INDEX_ROWS)))  # each row becomes 35
     index = map_batches(spread, _index, "key long, fp long, rep long")
-    hot = [r.key for r in index.groupBy("key").count().filter(F.col("count") > split_over).select("key").collect()] if n > split_over else []
-    if hot:  # at most 35 lists of more than split_over for each split_over fingerprints
-        own = F.col("key").isin(hot)
-        index = index.filter(~own).unionByName(map_batches(index.filter(own), _deal, "key long, fp long, rep long"))
+    if n > split_over:
+        hot = written(index.groupBy("key").count().filter(F.col("count") > split_over).select("key"), "hot-lists")
+        if not hot.isEmpty():
+            dealt = map_batches(index.join(hot, "key", "left_semi"), _deal, "key long, fp long, rep long")
+            index = index.join(hot, "key", "left_anti").unionByName(dealt)
     lists = index.repartition(F.col("key")).sortWithinPartitions("key")
     return bounded(lists).mapInArrow(partial(_links, distance=distance), "a long, b long").distinct()
 
