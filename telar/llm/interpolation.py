@@ -70,6 +70,25 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _gaps(keys: np.ndarray) -> list[np.ndarray]:
+    """Sorted keys as their gaps in as few bytes as nearly all of them need, and the rest of the few wider ones."""
+    d = np.diff(keys, prepend=np.uint64(0))
+    bits = np.sort(np.frexp(d.astype(float))[1])
+    w = min(8, max(1, -(-int(bits[len(bits) * 99 // 100]) // 8))) if len(d) else 1
+    wide = np.flatnonzero(d >> np.uint64(8 * w)) if w < 8 else np.zeros(0, np.int64)
+    return [np.array([len(d), w], np.uint32), np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8)[:, :w]).reshape(-1), wide.astype(np.uint32), (d[wide] >> np.uint64(8 * w)).astype(np.uint64) if w < 8 else np.zeros(0, np.uint64)]
+
+
+def _keys(shape: np.ndarray, low: np.ndarray, wide: np.ndarray, high: np.ndarray) -> np.ndarray:
+    n, w = shape.tolist()
+    d = np.zeros((n, 8), np.uint8)
+    d[:, :w] = low.reshape(n, w)
+    d = d.view(np.uint64).reshape(-1)
+    if len(wide):
+        d[wide] |= high << np.uint64(8 * w)
+    return np.cumsum(d, dtype=np.uint64)
+
+
 def _block(docs: list[tuple[int | None, list[bytes]]]) -> tuple[int, bytes]:
     """(tokens, packed: ids, null flags, lengths, word hashes, word numbers). Number 0 is the end mark."""
     number: dict[bytes, int] = {b"": 0}
@@ -130,7 +149,7 @@ class Block:
         for p in range(ranges):
             some = [slice(c[p], c[p + 1]) for c in cuts]
             if any(s.stop > s.start for s in some):
-                yield p, _pack(*(x for k, n, o, s in zip(keys, counts, self.order, some, strict=True) for x in (k[s], n[o][s])))
+                yield p, _pack(*(x for k, n, o, s in zip(keys, counts, self.order, some, strict=True) for x in (*_gaps(k[s]), n[o][s])))
 
     def answered(self, answers: list[tuple[int, bytes]]) -> list[np.ndarray]:
         """Counts of words and bigrams in the block's own numbering."""
@@ -161,7 +180,7 @@ def _answer(group: pa.Table) -> pa.Table:
     (as tokens) of all training and of the main documents.
     """
     blocks, kinds = group.column("block").to_pylist(), group.column("kind").to_pylist()
-    asked = [_unpack(d) for d in group.column("data").to_pylist()]
+    asked = [[x for i in (0, 5) for x in (_keys(*a[i : i + 4]), a[i + 4])] for a in map(_unpack, group.column("data").to_pylist())]
     part = group.column("part")[0].as_py()
     whole: list[list[np.ndarray]] = [[] for _ in blocks]
     main: list[list[np.ndarray]] = [[] for _ in blocks]
