@@ -295,6 +295,15 @@ def fts_search_documents(spark, sf_dir):
     return hits.select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
 
 
+@query(
+    f"""WITH d AS ({_WORDS_SQL}), l AS (SELECT doc_id, len(ws) AS n, ws FROM d), i AS (SELECT doc_id, n, w, count(*) AS tf FROM (SELECT doc_id, n, unnest(ws) AS w FROM l) WHERE w IN ('the', 'this') GROUP BY ALL), f AS (SELECT w, count(*) AS df FROM i GROUP BY 1), s AS (SELECT count(*) AS c, avg(n) AS m FROM l)
+    SELECT doc_id, round(sum(ln(1 + (c - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / m))), 6) AS rank FROM i JOIN f USING (w), s GROUP BY doc_id HAVING count(*) = 2"""
+)
+def fts_scan_documents(spark, sf_dir):
+    hits = search.scan_hits(table(spark, sf_dir, "documents"), "doc_id", ["text"], "the this")
+    return hits.select(F.col("id").alias("doc_id"), F.round("rank", 6).alias("rank"))
+
+
 @query("SELECT doc_id, lang, 1.0::DOUBLE AS rank FROM documents WHERE lang = 'en' AND source ILIKE '%SRC1%' ORDER BY n_chars DESC NULLS LAST, doc_id LIMIT 200")
 def record_search_filters(spark, sf_dir):
     d = table(spark, sf_dir, "documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +27,13 @@ STATE_POINTS = {"Vigente": 25, "En Evaluación": 12}
 
 
 def _any(text: Column, terms: tuple[str, ...]) -> Column:
-    return text.rlike("|".join(terms))
+    """Whether one of the terms occurs; plain searches are faster than an alternation."""
+    return reduce(lambda a, b: a | b, (text.contains(t) for t in terms))
+
+
+def _telemetry(t: Column) -> Column:
+    words = "|".join(TELEMETRY_WORDS)
+    return _any(t, TELEMETRY) | t.rlike(f"(^|[^a-z0-9])({words})([^a-z0-9]|$)")
 
 
 def has_real_ai(text: Column) -> Column:
@@ -35,8 +43,7 @@ def has_real_ai(text: Column) -> Column:
 def overlay(text: Column) -> Column:
     """``telemetria``, else ``integracion``, else null."""
     t = fold(text)
-    words = t.rlike(f"(^|[^a-z0-9])({'|'.join(TELEMETRY_WORDS)})([^a-z0-9]|$)")
-    return F.when(_any(t, TELEMETRY) | words, "telemetria").when(_any(t, INTEGRATION), "integracion")
+    return F.when(_telemetry(t), "telemetria").when(_any(t, INTEGRATION), "integracion")
 
 
 def rank(level: Column) -> Column:
@@ -54,11 +61,12 @@ def level_of(category: Column, levels: dict[str, str] = LEVEL_OF) -> Column:
 
 def rubric(category: Column, relevance: Column, description: Column, title: Column) -> Column:
     """The category's level, raised by overlays and by real AI of high relevance; never lowered."""
-    text = F.concat_ws(" ", F.coalesce(description, F.lit("")), F.coalesce(title, F.lit("")))
-    over = overlay(text)
-    raised = F.when(over == "telemetria", "nucleo").when(over == "integracion", "adyacente")
-    core = F.when((F.upper(F.coalesce(relevance, F.lit(""))) == "ALTA") & has_real_ai(text) & (F.coalesce(category, F.lit("")) != "Firma digital"), "nucleo")
-    return higher(higher(level_of(category), raised), core)
+    t = fold(F.concat_ws(" ", F.coalesce(description, F.lit("")), F.coalesce(title, F.lit(""))))
+    place = {level: i + 1 for i, level in enumerate(LEVELS)}
+    own = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for c, level in LEVEL_OF.items() for x in (c, place[level]))), category), F.lit(0))
+    raised = F.when(_telemetry(t), place["nucleo"]).when(_any(t, INTEGRATION), place["adyacente"]).otherwise(0)
+    core = F.when((F.upper(F.coalesce(relevance, F.lit(""))) == "ALTA") & (F.coalesce(category, F.lit("")) != "Firma digital") & _any(t, REAL_AI), place["nucleo"]).otherwise(0)
+    return F.try_element_at(F.array(*map(F.lit, LEVELS)), F.nullif(F.greatest(own, raised, core), F.lit(0)))
 
 
 def urgency_points(days: Column) -> Column:

@@ -47,6 +47,21 @@ def text_hits(index: DataFrame, docs: DataFrame, query: str, stop: Sequence[str]
     return scored.groupBy("id").agg(F.count(F.lit(1)).alias("found"), F.sum(part).alias("rank")).filter(F.col("found") == len(row.w)).drop("found")
 
 
+def scan_hits(df: DataFrame, id_col: str, columns: Sequence[str], query: str, stop: Sequence[str] = (), k1: float = 1.2, b: float = 0.75) -> DataFrame | None:
+    """As text_hits, for one search without an index: words are counted in place, and only statistics are shuffled."""
+    words = df.sparkSession.range(1).select(F.array_distinct(tokens(F.lit(query), stop)).alias("w")).first().w
+    if not words:
+        return None
+    ws = tokens(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in columns)), stop)
+    tf = lambda w: F.size(F.filter("ws", lambda x: x == w))
+    rows = df.select(F.col(id_col).alias("id"), ws.alias("ws"))
+    rows = rows.select("id", F.size("ws").alias("length"), F.array(*map(tf, words)).alias("tf"))
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *(F.count_if(F.col("tf")[i] > 0).alias(f"df{i}") for i in range(len(words))))
+    found = rows.filter(reduce(lambda x, y: x & y, (F.col("tf")[i] > 0 for i in range(len(words))))).crossJoin(F.broadcast(stats))  # one row
+    part = lambda i: F.log1p((F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5)) * F.col("tf")[i] * (k1 + 1) / (F.col("tf")[i] + k1 * (1 - b + b * F.col("length") / F.col("mean")))
+    return found.select("id", sum((part(i) for i in range(len(words))), F.lit(0.0)).alias("rank"))
+
+
 def search_records(df: DataFrame, term: str | None = "", equals: dict[str, str | None] | None = None, like: dict[str, str | None] | None = None, text: Sequence[str] = ("descripcion", "entidad", "descripcion_contrato", "objeto"), id_col: str = "id", date_col: str = "fecha_publica", limit: int = 50, offset: int = 0) -> DataFrame:
     """All words of the term, optional filters (null: none), by rank, then newest; at most 200 rows. A blank term finds all rows at rank 1."""
     for c, v in (equals or {}).items():
@@ -55,9 +70,7 @@ def search_records(df: DataFrame, term: str | None = "", equals: dict[str, str |
         df = df.filter(F.col(c).ilike(f"%{v}%")) if v is not None else df
     hits = None
     if term and term.strip():
-        index = postings(df, id_col, text)
-        lengths = df.select(F.size(tokens(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in text)))).alias("length"))
-        hits = text_hits(index, lengths, term)
+        hits = scan_hits(df, id_col, text, term)
     found = df.withColumn("rank", F.lit(1.0)) if hits is None else df.join(hits.withColumnRenamed("id", "__id"), F.col(id_col) == F.col("__id")).drop("__id")
     return found.orderBy(F.desc("rank"), F.col(date_col).desc_nulls_last(), F.asc(id_col)).offset(offset).limit(min(limit, MOST_ROWS))
 
