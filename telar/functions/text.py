@@ -145,14 +145,13 @@ def without_letterhead(c: Column, patterns: Sequence[str] = LETTERHEAD) -> Colum
     lines = F.split(F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n?", "\n"), "\n")
     head = "(?iu)^(?:" + "|".join(patterns) + ")$"
 
-    def drop(line: Column) -> Column:
-        s = strip(line)
+    def drop(s: Column) -> Column:
         words = F.size(F.split(s, r"\s+"))
-        label = (F.length(s) <= 40) & ~s.rlike(r"^\d") & words.between(1, 4) & s.rlike(r"\p{L}") & ~s.rlike(r"\p{Ll}") & ~s.endswith(":")
-        return (s != "") & (s.rlike(head) | label)
+        label = (F.length(s) <= 40) & ~s.endswith(":") & ~s.rlike(r"\p{Ll}") & s.rlike(r"\p{L}") & ~s.rlike(r"^\d") & words.between(1, 4)
+        return (s != "") & (label | s.rlike(head))
 
-    kept = F.filter(lines, lambda x: ~drop(x))
-    blank = F.transform(kept, lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x))
+    kept = F.filter(F.transform(lines, lambda x: F.struct(x.alias("line"), strip(x).alias("s"))), lambda p: ~drop(p["s"]))
+    blank = F.transform(kept, lambda p: F.when(p["s"] == "", F.lit("")).otherwise(p["line"]))
     return strip(F.regexp_replace(F.array_join(blank, "\n"), r"\n{3,}", "\n\n"))
 
 

@@ -63,13 +63,13 @@ def _number() -> Column:
 def contract_chunks(contracts: DataFrame) -> DataFrame:
     """Description parts, one chunk an item, one of metadata; chunk_index runs on from 0."""
     header = T.long_header(F.col("entidad"), T.subject(F.col("descripcion"), F.col("objeto")), _number())
-    description = parts(F.col("descripcion"))
-    own = F.transform(description, lambda p, i: F.struct(_label("Descripción general", i + 1, F.size(description)).alias("tipo"), p.alias("t")))
+    rows = contracts.withColumns({"__h": header, "__parts": parts(F.col("descripcion"))}).withColumn("__n", F.size("__parts"))  # each once a row
+    own = F.transform("__parts", lambda p, i: F.struct(_label("Descripción general", i + 1, F.col("__n")).alias("tipo"), p.alias("t")))
     items = F.transform(F.coalesce("items_json", F.array().cast(contracts.schema["items_json"].dataType)), lambda it, i: F.struct(F.concat(F.lit("Ítem técnico "), (i + 1).cast("string")).alias("tipo"), _item(it).alias("t")))
     fields = (("Entidad", "entidad"), ("Área usuaria", "nom_area_usuaria"), ("Objeto", "objeto"), ("Estado", "estado"), ("Número", "nro_contratacion"))
     meta = F.concat_ws(" ", *(F.concat(F.lit(f"{k}: "), _text(F.col(c)), F.lit(".")) for k, c in fields))
     every = F.concat(own, items, F.array(F.struct(F.lit("Metadata").alias("tipo"), meta.alias("t"))))
-    rows = contracts.select("id", header.alias("h"), F.posexplode(every).alias("chunk_index", "c"))
+    rows = rows.select("id", F.col("__h").alias("h"), F.posexplode(every).alias("chunk_index", "c"))
     return rows.select(F.col("id").alias("contrato_id"), "chunk_index", F.col("c.tipo").alias("tipo"), F.concat("h", F.lit("\n"), F.col("c.t")).alias("texto"), F.lit("api").alias("fuente"))
 
 
@@ -80,7 +80,8 @@ def document_chunks(contracts: DataFrame, existing: DataFrame | None = None) ->
         base = contracts.join(existing.groupBy(F.col("contrato_id").alias("id")).agg((F.max("chunk_index") + 1).cast("int").alias("__from")), "id", "left").withColumn("__from", F.coalesce("__from", F.lit(0)))
     texts = parts(F.col("tdr_texto"))
     number = _number()
-    rows = base.select("id", "entidad", "descripcion", "objeto", number.alias("nro"), "__from", F.size(texts).alias("n"), F.posexplode(texts).alias("i", "part"))
+    rows = base.select("id", "entidad", "descripcion", "objeto", number.alias("nro"), "__from", texts.alias("ts"))
+    rows = rows.select("id", "entidad", "descripcion", "objeto", "nro", "__from", F.size("ts").alias("n"), F.posexplode("ts").alias("i", "part"))
     shown = F.concat(T.short_header(F.col("entidad"), F.col("nro")), F.lit("\n"), F.col("part"))
     return rows.select(
         F.col("id").alias("contrato_id"), (F.col("__from") + F.col("i")).alias("chunk_index"), _label("TDR PDF", F.col("i") + 1, F.col("n")).alias("tipo"), shown.alias("texto"), F.lit("pdf").alias("fuente"),
