@@ -23,7 +23,7 @@ BLOCK_QUERIES = 10_000
 
 def tokens(c: Column, stop: Sequence[str] = ()) -> Column:
     """Folded words without stop words."""
-    words = F.filter(F.split(F.regexp_replace(fold(c), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    words = F.filter(F.split(fold(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.filter(words, lambda w: ~w.isin(*stop)) if stop else words
 
 
