@@ -53,9 +53,9 @@ def scan_hits(df: DataFrame, id_col: str, columns: Sequence[str], query: str, st
     if not words:
         return None
     ws = tokens(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in columns)), stop)
-    tf = lambda w: F.size(F.filter("ws", lambda x: x == w))
-    rows = df.select(F.col(id_col).alias("id"), ws.alias("ws"))
-    rows = rows.select("id", F.size("ws").alias("length"), F.array(*map(tf, words)).alias("tf"))
+    tf = lambda w, q: F.size(F.filter(w, lambda x: x == q))
+    counted = F.transform(F.array(ws), lambda w: F.struct(F.size(w).alias("length"), F.array(*(tf(w, q) for q in words)).alias("tf")))[0]  # the words are made once a row
+    rows = df.select(F.col(id_col).alias("id"), counted.alias("c")).select("id", "c.length", "c.tf")
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *(F.count_if(F.col("tf")[i] > 0).alias(f"df{i}") for i in range(len(words))))
     found = rows.filter(reduce(lambda x, y: x & y, (F.col("tf")[i] > 0 for i in range(len(words))))).crossJoin(F.broadcast(stats))  # one row
     part = lambda i: F.log1p((F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5)) * F.col("tf")[i] * (k1 + 1) / (F.col("tf")[i] + k1 * (1 - b + b * F.col("length") / F.col("mean")))
