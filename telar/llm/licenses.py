@@ -1,6 +1,8 @@
 """Licence scans: a trained paragraph classifier, confirmed by template comparison.
 
-A paragraph is a line of a text. Its features are the word 1- to 3-grams
+A paragraph is a line of a text, or a run of its lines without an empty one
+between them (a line of comment marks alone is empty): all runs are looked at
+that can hold a template, however it is wrapped. Features are the word 1- to 3-grams
 (lower case, each number as 0) that occur in the training texts. A multinomial
 logistic regression with sparse weights (proximal gradient, L1) gives each
 licence family and the class ``unknown`` a probability; a temperature fitted on
@@ -10,6 +12,10 @@ if the paragraph holds at least ``MIN_OVERLAP`` of the n-grams of one of the
 family's templates. Training sees the templates below alone and takes about a
 second on the driver; scoring uses DataFrame functions only.
 
+Of confirmed paragraphs that overlap and have one family, or of which one holds
+the other, the one with the larger overlap stays, then the shorter, then the
+first. A line within a paragraph that stays is not counted again.
+
 Paragraphs without any of the ``ANCHORS`` words have no licence: they are not
 scored. Matches of other paragraphs meet the weights in a broadcast join; the
 weights' size is fixed by the templates.
@@ -104,11 +110,18 @@ OTHERS = [
 ]
 UNKNOWN = "unknown"
 
+# Words that mark a comment line.
+COMMENT_WORDS = ("dnl", "rem")
+
 
 def _words(text: str) -> list[str]:
     return re.sub("[^a-z0]+", " ", re.sub("[0-9]+", "0", text.lower())).split()
 
 
+#: Words between the first and the last line of a run: no template has more.
+MAX_WORDS = max(len(_words(t)) for texts in TEMPLATES.values() for t in texts)
+
+
 def grams(text: str) -> set[str]:
     w = _words(text)
     return {" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
@@ -169,35 +182,78 @@ def _weights(df: DataFrame) -> DataFrame:
     return df.sparkSession.range(1, numPartitions=1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), "array<struct<g string, w array<double>, ts array<int>>>")).alias("r")).select("r.*")
 
 
-def _grams(line: Column) -> Column:
+def _line_words(line: Column) -> Column:
     w = F.filter(F.split(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), "[^a-z0]+", " "), " "), lambda x: x != "")
+    return F.filter(w, lambda x, i: ~((i == 0) & x.isin(*COMMENT_WORDS)))
 
+
+def _grams(w: Column) -> Column:
     def of(n: int) -> Column:
         return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
     return F.array_distinct(F.concat(w, of(2), of(3)))
 
 
+def _between(sizes: Column, s: Column, e: Column) -> Column:
+    """Words of the lines after s and before e."""
+    return F.when(e - s > 1, F.aggregate(F.slice(sizes, s + 2, e - s - 1), F.lit(0), lambda a, x: a + x)).otherwise(0)
+
+
+def _runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, row (of its text), s and e (first and last line), h (of the lines), gs: each run once, from its first line with an anchor."""
+    anchor, reach = rf"(?i){_ANCHOR}", MAX_WORDS + 1  # lines of a run have a word at least
+    texts = docs.filter(F.col(text_col).rlike(anchor)).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.split(text_col, "\n").alias("ls")).dropDuplicates(["doc_id", "row"])
+    marked = F.filter(F.sequence(F.lit(0), F.size("ls") - 1), lambda i: F.get("ls", i).rlike(anchor))
+    near = F.transform(marked, lambda i: F.struct(i.alias("line"), F.slice("ls", F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("near")))
+    lines = texts.select("doc_id", "row", F.explode(near).alias("x")).select("doc_id", "row", "x.line", "x.near", F.least("x.line", F.lit(reach)).alias("p"), F.transform("x.near", _line_words).alias("ws"))
+    lines = lines.withColumn("sizes", F.transform("ws", F.size)).withColumn("on", F.transform("near", lambda x: x.rlike(anchor)))
+    p, sizes, last = F.col("p"), F.col("sizes"), F.size("sizes") - 1
+
+    def unbroken(s: Column, e: Column) -> Column:
+        return ~F.exists(F.slice(sizes, s + 1, e - s + 1), lambda n: n == 0) & (_between(sizes, s, e) < MAX_WORDS)
+
+    starts = F.filter(F.sequence(F.lit(0), p), lambda s: (s == p) | ~F.exists(F.slice("on", s + 1, p - s), lambda x: x) & unbroken(s, p))
+    ends = F.filter(F.sequence(p, last), lambda e: (e == p) | unbroken(p, e))
+    lines = lines.withColumn("starts", starts).withColumn("ends", ends)
+    pairs = F.flatten(F.transform("starts", lambda s: F.transform(F.filter("ends", lambda e: _between(sizes, s, e) < MAX_WORDS), lambda e: F.struct(s.alias("s"), e.alias("e")))))
+    runs = lines.select("doc_id", "row", "line", "p", "near", "ws", F.explode(pairs).alias("x"))
+    part = lambda c: F.slice(c, F.col("x.s") + 1, F.col("x.e") - F.col("x.s") + 1)
+    runs = runs.select("doc_id", "row", (F.col("line") - F.col("p") + F.col("x.s")).alias("s"), (F.col("line") - F.col("p") + F.col("x.e")).alias("e"), F.xxhash64(part("near")).alias("h"), F.flatten(part("ws")).alias("w"))
+    return runs.select("doc_id", "row", "s", "e", "h", _grams(F.col("w")).alias("gs"))
+
+
+def _clash(a: Column, b: Column) -> Column:
+    """One family and a common line, or one within the other."""
+    return (a["family"] == b["family"]) & (a["s"] <= b["e"]) & (b["s"] <= a["e"]) | (a["s"] <= b["s"]) & (b["e"] <= a["e"]) | (b["s"] <= a["s"]) & (a["e"] <= b["e"])
+
+
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The scored paragraphs: doc_id, line (its place), family, probability, confirmed, overlap."""
+    """The scored paragraphs: doc_id, line and last (its place), family, probability, confirmed, overlap."""
     m = model()
-    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "p"))
-    lines = lines.filter(F.col("p").rlike(rf"(?i){_ANCHOR}")).select("doc_id", "line", _grams(F.col("p")).alias("gs"), F.xxhash64("p").alias("h")).dropDuplicates(["doc_id", "line", "h"])
-    hits = lines.select("doc_id", "line", "h", F.explode("gs").alias("g")).join(F.broadcast(_weights(docs)), "g")
+    key = ["doc_id", "row", "s", "e", "h"]
+    hits = _runs(docs, id_col, text_col).select(*key, F.explode("gs").alias("g")).join(F.broadcast(_weights(docs)), "g")
     k = len(m["families"])
-    sums = hits.groupBy("doc_id", "line", "h").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)), F.flatten(F.collect_list("ts")).alias("ts"))
+    sums = hits.groupBy(*key).agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)), F.flatten(F.collect_list("ts")).alias("ts"))
     logits = F.array(*((F.col(f"z{i}") + F.lit(m["bias"][i])) / F.lit(m["temperature"]) for i in range(k)))
-    scored = sums.select("doc_id", "line", "ts", logits.alias("z")).withColumn("top", F.array_max("z"))
-    scored = scored.select("doc_id", "line", "ts", (F.array_position(F.col("z"), F.col("top")) - 1).cast("int").alias("k"), (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
+    scored = sums.select(*key, "ts", logits.alias("z")).withColumn("top", F.array_max("z"))
+    scored = scored.select(*key, "ts", (F.array_position(F.col("z"), F.col("top")) - 1).cast("int").alias("k"), (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
     sizes = F.from_json(F.lit(json.dumps([{"t": t, "k": f, "n": len(gs)} for t, (f, gs) in enumerate(m["templates"])])), "array<struct<t int, k int, n int>>")
     overlap = F.coalesce(F.array_max(F.transform(F.filter(sizes, lambda s: s["k"] == F.col("k")), lambda s: F.size(F.filter("ts", lambda t: t == s["t"])) / s["n"])), F.lit(0.0))
     sure = (F.col("k") < k - 1) & (F.col("probability") >= MIN_PROBABILITY)
     family = F.when(sure, F.element_at(F.array(*map(F.lit, m["families"])), F.col("k") + 1)).otherwise(UNKNOWN)
-    return scored.withColumn("overlap", overlap).select("doc_id", "line", family.alias("family"), "probability", (sure & (F.col("overlap") >= MIN_OVERLAP)).alias("confirmed"), "overlap")
+    scored = scored.withColumn("overlap", overlap).select(*key, family.alias("family"), "probability", (sure & (F.col("overlap") >= MIN_OVERLAP)).alias("confirmed"), "overlap").filter("s = e OR confirmed")
+    one = F.struct((-F.col("overlap")).alias("order"), (F.col("e") - F.col("s")).alias("more"), "s", "e", "h", "family", "probability", "confirmed", "overlap")
+    by_text = scored.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    sure_ones = F.filter("all", lambda x: x["confirmed"])
+    kept = F.aggregate(sure_ones, F.filter("all", lambda x: F.lit(False)), lambda got, x: F.when(F.exists(got, lambda y: _clash(x, y)), got).otherwise(F.concat(got, F.array(x))))
+    by_text = by_text.withColumn("kept", kept)
+    rest = F.filter("all", lambda x: ~x["confirmed"] & ~F.exists("kept", lambda y: (y["s"] <= x["s"]) & (x["e"] <= y["e"])))
+    found = by_text.select("doc_id", F.explode(F.concat("kept", rest)).alias("x")).select("doc_id", "x.*").dropDuplicates(["doc_id", "s", "e", "h"])
+    return found.select("doc_id", F.col("s").alias("line"), F.col("e").alias("last"), "family", "probability", "confirmed", "overlap")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_paragraphs, n_scored, n_licensed (confirmed), n_unconfirmed, families (sorted, comma-joined), probability (the largest of a confirmed paragraph, 6 digits, else 0)."""
+    """doc_id, n_paragraphs (lines that are not empty), n_scored, n_licensed (confirmed), n_unconfirmed, families (sorted, comma-joined), probability (the largest of a confirmed paragraph, 6 digits, else 0)."""
     count = F.size(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.trim(x) != ""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), count.cast("long").alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_paragraphs"))
     known = F.col("family") != UNKNOWN
@@ -216,23 +272,29 @@ def brute_force(text: str | None) -> tuple[int, int, int, int, str, float]:
     """The report of one document in plain Python, for tests."""
     m = model()
     lines = (text or "").split("\n")
-    scored = licensed = loose = 0
-    families, best = set(), 0.0
-    for line in lines:
-        if not re.search(_ANCHOR, line, re.I | re.A):
-            continue
-        gs = grams(line) & m["weights"].keys()
-        if not gs:
-            continue
-        scored += 1
-        z = [(sum(m["weights"][g][i] for g in gs) + b) / m["temperature"] for i, b in enumerate(m["bias"])]
-        top = max(z)
-        k, p = z.index(top), 1 / sum(math.exp(v - top) for v in z)
-        if k == len(z) - 1 or p < MIN_PROBABILITY:
-            continue
-        if max(len(gs & set(t)) / len(t) for f, t in m["templates"] if f == k) >= MIN_OVERLAP:
-            licensed, best = licensed + 1, max(best, p)
-            families.add(m["families"][k])
-        else:
-            loose += 1
-    return sum(bool(x.strip(" ")) for x in lines), scored, licensed, loose, ",".join(sorted(families)), round(best, 6)
+    words = [w[1:] if w and w[0] in COMMENT_WORDS else w for w in map(_words, lines)]
+    marked = [bool(re.search(_ANCHOR, x, re.I | re.A)) for x in lines]
+    sure, loose = [], []  # (-overlap, lines more, first, last, family, probability); (line, family known)
+    for s in range(len(lines)):
+        for e in range(s, len(lines)):
+            if e > s and (not words[s] or not words[e] or sum(map(len, words[s + 1 : e])) >= MAX_WORDS):
+                break
+            if not any(marked[s : e + 1]) or not (gs := grams(" ".join(x for w in words[s : e + 1] for x in w)) & m["weights"].keys()):
+                continue
+            z = [(sum(m["weights"][g][i] for g in gs) + b) / m["temperature"] for i, b in enumerate(m["bias"])]
+            top = max(z)
+            k, p = z.index(top), 1 / sum(math.exp(v - top) for v in z)
+            known = k < len(z) - 1 and p >= MIN_PROBABILITY
+            overlap = max((len(gs & set(t)) / len(t) for f, t in m["templates"] if f == k), default=0)
+            if known and overlap >= MIN_OVERLAP:
+                sure.append((-overlap, e - s, s, e, k, p))
+            elif s == e:
+                loose.append((s, known))
+    kept: list[tuple] = []
+    for x in sorted(sure):
+        s, e = x[2:4]
+        if not any(x[4] == y[4] and s <= y[3] and y[2] <= e or s <= y[2] and y[3] <= e or y[2] <= s and e <= y[3] for y in kept):
+            kept.append(x)
+    loose = [known for i, known in loose if not any(y[2] <= i <= y[3] for y in kept)]
+    families = ",".join(sorted({m["families"][y[4]] for y in kept}))
+    return sum(bool(x.strip(" ")) for x in lines), len(kept) + len(loose), len(kept), sum(loose), families, round(max((y[5] for y in kept), default=0.0), 6)

@@ -36,6 +36,33 @@ def test_same_as_brute_force(spark, docs):
         assert tuple(r)[1:] == L.brute_force(texts[r.doc_id])
 
 
+def wrapped(text, width, prefix=""):
+    import textwrap
+
+    return "\n".join(prefix + x for x in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize(("width", "prefix"), [(30, ""), (50, "# "), (60, " * "), (70, ""), (72, "// "), (76, "dnl ")])
+def test_wrapped_notices(width, prefix):
+    """A template is found however it is wrapped, with text and other notices around it."""
+    for family, texts in L.TEMPLATES.items():
+        for t in texts:
+            got = L.brute_force(wrapped(t, width, prefix))
+            assert got[2:5] == (1, 0, family), t
+            assert family in L.brute_force(f"A first line of prose\n{wrapped(t, width, prefix)}\nand a last one.")[4].split(","), t
+    both = f"{wrapped(L.TEMPLATES['MIT'][1], width, prefix)}\n{prefix}\n{wrapped(L.TEMPLATES['BSD'][0], width, prefix)}\n\nReleased under the ISC License."
+    assert L.brute_force(both)[2:5] == (3, 0, "BSD,ISC,MIT")
+
+
+def test_wrapped_same_as_brute_force(spark):
+    texts = [wrapped(t, width, prefix) for width, prefix in ((30, ""), (70, "# ")) for ts in L.TEMPLATES.values() for t in ts]
+    texts += ["\n".join(texts[i : i + 3]) for i in range(0, 40, 3)] + ["word\n" * 60 + texts[5] + "\nword" * 60, "Permission is hereby granted\n\nfree of charge, to any person", *L.OTHERS]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in L.report(df.filter("doc_id > 0")).collect()}
+    assert got == {i: L.brute_force(t) for i, t in enumerate(texts) if i}
+    assert next(iter(L.report(df.filter("doc_id = 0")).collect())).n_licensed == 1
+
+
 def test_odd_rows(spark, odd, none):
     more = odd.select("doc_id", "text", "kind").unionByName(spark.createDataFrame([(8, "émit\nReleased under the MIT License.\n\n", "k"), (None, "Released under the MIT License.", "k"), (8, "émit\nReleased under the MIT License.\n\n", "k")], "doc_id long, text string, kind string"))
     got = {r.doc_id: r for r in L.report(more).collect()}
