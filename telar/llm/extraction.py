@@ -4,8 +4,10 @@ A page is cut into text nodes with their paths from the root (tag names with
 class, id and role). Per distinct path the text length and the punctuation are
 summed and divided by its nodes; the two ratios are fused (length times one
 plus punctuation), smoothed over paths by a Gaussian of their distance in the
-tree, and a path is content if its smoothed ratio is at least ``THRESHOLD`` of
-the page's largest. Paths through elements that name themselves as something
+tree, and a path is chosen if its smoothed ratio is at least ``THRESHOLD`` of
+the page's largest. The chosen paths choose the content: all candidates beneath
+their article or main element; without one, those beneath their parents and
+their common ancestor, except subtrees of these that are mostly links. Paths through elements that name themselves as something
 else (navigation, header, footer, aside, form, script, advert, notice, comment
 ...) are no candidates; where the page has an article or main element, paths
 outside it count for a tenth.
@@ -51,8 +53,8 @@ NOISE = re.compile(
 _HEADERLIKE = re.compile(r"(?:^|\s)(?:site|page|global|top)[_-]?header(?:$|\s)|(?:^|\s)header(?:$|\s)", re.I)
 
 
-def nodes(html: str) -> list[tuple[tuple[str, ...], bool, bool, str, int]]:
-    """(path, may be content, in the main element, text, block number) of each text node."""
+def nodes(html: str) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
+    """(path, may be content, depth of the innermost main element or 0, text, block number) of each text node."""
     stack: list[tuple[str, str, bool, bool]] = []  # tag, name in the path, noise, main
     out, block, at, size = [], 0, 0, len(html)
     while at < size:
@@ -63,7 +65,7 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, bool, str, int]]:
             text = m[0]
             if text.startswith(("<!", "<?")):
                 continue
-            noise, main = any(s[2] for s in stack), any(s[3] for s in stack)
+            noise, main = any(s[2] for s in stack), max((i + 1 for i, s in enumerate(stack) if s[3]), default=0)
             out.append((tuple(s[1] for s in stack), not noise, main, entities.unescape(text), block))
             continue
         tag, closing, attrs = tag.lower(), bool(m[1] or m[4]), m[3] if m[2] else m[6]
@@ -83,7 +85,7 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, bool, str, int]]:
                         pass
             continue
         if tag == "br":
-            out.append((tuple(s[1] for s in stack), False, False, " ", block))
+            out.append((tuple(s[1] for s in stack), False, 0, " ", block))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at) if not attrs.rstrip().endswith("/") else None
@@ -106,6 +108,28 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, bool, str, int]]:
     return out
 
 
+def _tag(name: str) -> str:
+    return name.partition(".")[0]
+
+
+def beneath(on: set[tuple[str, ...]], paths: list[tuple[str, ...]], main: dict[tuple[str, ...], int], length: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
+    """The candidate paths of the subtrees that the chosen paths stand in."""
+    if any(main.values()):
+        tops = {p[: main[p]] for p in on if main[p]}
+        return {p for p in paths if any(p[:n] in tops for n in range(1, len(p) + 1))}
+    tops = {p[:n] for p in on for n in [next((i for i in range(len(p) - 1, -1, -1) if _tag(p[i]) not in INLINE), 0)]}
+    tops.add(min(on)[: next((n for n, (a, b) in enumerate(zip(min(on), max(on), strict=False)) if a != b), min(map(len, on)))])
+    out = set()
+    for n in {len(t) for t in tops}:
+        total, linked = defaultdict(int), defaultdict(int)
+        under = [p for p in paths if p[:n] in tops]
+        for p in under:
+            total[p[: n + 1]] += length[p]
+            linked[p[: n + 1]] += length[p] * any(_tag(x) == "a" for x in p)
+        out |= {p for p in under if 2 * linked[p[: n + 1]] < total[p[: n + 1]]}
+    return out
+
+
 def extract(html: str | None, threshold: float = THRESHOLD, sigma: float = SIGMA) -> str:
     found = nodes(html or "")
     length, marks, count, main = defaultdict(int), defaultdict(int), defaultdict(int), {}
@@ -127,9 +151,10 @@ def extract(html: str | None, threshold: float = THRESHOLD, sigma: float = SIGMA
         near = np.array([len(p) + len(q) - 2 * next((k for k, (a, b) in enumerate(zip(p, q, strict=False)) if a != b), min(len(p), len(q))) for q in paths])
         k = np.exp(-(near**2) / (2 * sigma**2))
         if any(main.values()):
-            k *= [main[q] == main[p] for q in paths]
+            k *= [bool(main[q]) == bool(main[p]) for q in paths]
         smooth[i] = (k * fused).sum() / k.sum()
     on = {p for p, s in zip(paths, smooth, strict=True) if s >= threshold * smooth.max()}
+    on |= beneath(on, paths, main, length)
     blocks: dict[int, list[str]] = {}
     for path, may, _, text, block in found:
         if may and path in on or not may and text == " " and block in blocks:

@@ -33,6 +33,19 @@ def test_ratios_without_article():
     assert got.count("\n") == 7
 
 
+TEXT = "A sentence of some length, with marks; it goes on and on, and then ends. " * 4
+DATA = "<table><tbody><tr><th>Year</th><td>12</td></tr><tr><th>Sum</th><td><b>7</b> kg</td></tr></tbody></table><ul><li>first<ul><li>in one</li><li><a href=/y>in two</a></li></ul></li><li>last</li></ul>"
+CELLS = ["Year", "12", "Sum", "7 kg", "first", "in one", "in two", "last"]
+LINKS = "<div class=x><ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(20)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><div><article>{}</article></div></main>", "<div role=main>{}</div>", "<div class=y>{}</div>", "<div class=y><div>{}</div></div>", "{}"])
+def test_tables_and_nested_lists(around):
+    """Nothing beneath the content subtree is lost for being short or deep; link lists beside it stay out."""
+    got = extract(f"<body>{LINKS}{around.format(f'<h1>Title</h1><p>{TEXT}</p>{DATA}<p>{TEXT}</p>')}<footer>foot</footer></body>")
+    assert got.split("\n") == ["Title", TEXT.strip(), *CELLS, TEXT.strip()]
+
+
 def test_generated_pages(spark, sf):
     import html
     import re
