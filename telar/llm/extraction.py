@@ -7,10 +7,15 @@ plus punctuation), smoothed over paths by a Gaussian of their distance in the
 tree, and a path is chosen if its smoothed ratio is at least ``THRESHOLD`` of
 the page's largest. The chosen paths choose the content: all candidates beneath
 their article or main element; without one, those beneath their parents and
-their common ancestor, except subtrees of these that are mostly links. Paths through elements that name themselves as something
-else (navigation, header, footer, aside, form, script, advert, notice, comment
-...) are no candidates; where the page has an article or main element, paths
-outside it count for a tenth.
+their common ancestor, except subtrees of these that are mostly links. Paths
+through elements that are or name themselves as something else (navigation,
+header, footer, aside, form, script, advert, notice, comment ...) are noise and
+no candidates; a class that tells a state (has-sidebar, comments-open) names
+nothing, and main elements and what they stand in are never noise. Where that
+leaves less than a fifth of the text, and none in an article or main element,
+the articles under least noise and what they stand in are no noise either; in
+pages without, the text under least noise stays. Where the page has an article
+or main element, paths outside it count for a tenth.
 
 Defined cases: null, empty and markup-free html (its text is then the content)
 never fail; unclosed and crossed tags are closed at the next block or parent;
@@ -22,6 +27,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import defaultdict
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +56,67 @@ NOISE = re.compile(
     r"nav\w*|menu\w*|breadcrumbs?|pagination|pager|sidebar\w*|side|rail|widget\w*|related|recommend\w*|comments?\w*|disqus|replies|respond|footer\w*|foot|masthead|topbar|toolbar|login|signup|search\w*|skip|copyright|legal|navigation|contentinfo|complementary|banner|search|form)(?:$|[\s_-])",
     re.I,
 )
+_STATE = re.compile(r"(?:has|have|no|not|with|without|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|active|inactive|on|off|none|visible|hidden|layout)", re.I)
 _HEADERLIKE = re.compile(r"(?:^|\s)(?:site|page|global|top)[_-]?header(?:$|\s)|(?:^|\s)header(?:$|\s)", re.I)
 
 
+class Element(NamedTuple):
+    parent: int
+    path: tuple[str, ...]
+    noise: bool
+    apart: bool  # in an element that stands apart from any content
+    main: bool
+    article: bool
+    depth: int  # of the innermost main element or article, 0 without
+
+
+def noisy(label: str) -> bool:
+    """Whether a class, id or role names something else than content, by its tokens; those that tell a state do not."""
+    return any(NOISE.search(token) and not _STATE.fullmatch(token) for token in label.split())
+
+
+def _judged(elements: list[Element], texts: list[tuple[int, str, int, bool]]) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
+    own = [e.noise for e in elements]
+
+    def spare(i: int) -> None:
+        while i >= 0:
+            own[i] = False
+            i = elements[i].parent
+
+    def counts() -> list[int]:
+        out: list[int] = []
+        for e, noise in zip(elements, own, strict=True):
+            out.append(noise + (out[e.parent] if e.parent >= 0 else 0))
+        return [*out, 0]  # the last for text without an element
+
+    for i, e in enumerate(elements):
+        if e.main:
+            spare(i)
+    noise, level = counts(), 0
+    seen = [(noise[i], i, n) for i, text, _, br in texts if not br and (n := len(text.strip())) and not (i >= 0 and elements[i].apart and noise[i])]
+    free = sum(n for k, _, n in seen if not k)
+    if 5 * free < sum(n for _, _, n in seen) and not any(i >= 0 and elements[i].depth and not k for k, i, _ in seen):
+        articles = [i for i, e in enumerate(elements) if e.article and not e.apart]
+        if articles:
+            least = min(noise[i] for i in articles)
+            for i in [i for i in articles if noise[i] == least]:
+                spare(i)
+            noise = counts()
+        else:
+            total, got = sum(n for _, _, n in seen), 0
+            for level in sorted({k for k, _, _ in seen}):
+                got += sum(n for k, _, n in seen if k == level)
+                if 5 * got >= total:
+                    break
+    return [((elements[i].path if i >= 0 else ()), not br and noise[i] <= level and not (noise[i] and i >= 0 and elements[i].apart), elements[i].depth if i >= 0 and not br else 0, text, block) for i, text, block, br in texts]
+
+
 def nodes(html: str) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
     """(path, may be content, depth of the innermost main element or 0, text, block number) of each text node."""
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, name in the path, noise, main
-    out, block, at, size = [], 0, 0, len(html)
+    stack: list[tuple[str, int]] = []  # tag, element
+    elements: list[Element] = []
+    out: list[tuple[int, str, int, bool]] = []  # element or -1, text, block, a break
+    block, at, size = 0, 0, len(html)
     while at < size:
         m = _TOKEN.match(html, at)
         at = m.end()
@@ -65,8 +125,7 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
             text = m[0]
             if text.startswith(("<!", "<?")):
                 continue
-            noise, main = any(s[2] for s in stack), max((i + 1 for i, s in enumerate(stack) if s[3]), default=0)
-            out.append((tuple(s[1] for s in stack), not noise, main, entities.unescape(text), block))
+            out.append((stack[-1][1] if stack else -1, entities.unescape(text), block, False))
             continue
         tag, closing, attrs = tag.lower(), bool(m[1] or m[4]), m[3] if m[2] else m[6]
         if tag not in INLINE:
@@ -85,7 +144,7 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
                         pass
             continue
         if tag == "br":
-            out.append((tuple(s[1] for s in stack), False, 0, " ", block))
+            out.append((stack[-1][1] if stack else -1, " ", block, True))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at) if not attrs.rstrip().endswith("/") else None
@@ -101,11 +160,18 @@ def nodes(html: str) -> list[tuple[tuple[str, ...], bool, int, str, int]]:
                     stack.pop()
         named = {k.lower(): a or b or c for k, a, b, c in _NAME.findall(attrs)} if attrs.strip() else {}
         label = " ".join(named.get(k, "") for k in ("class", "id", "role")).strip()
-        noise = tag in NOT_CONTENT or "hidden" in named or named.get("aria-hidden") == "true" or bool(label and tag not in ("html", "body") and (NOISE.search(label) or _HEADERLIKE.search(label)))
-        if tag == "header" and any(s[3] for s in stack):  # of the article itself
-            noise = bool(label and NOISE.search(label))
-        stack.append((tag, f"{tag}.{label}" if label else tag, noise, tag in MAIN or named.get("role") == "main" or named.get("id") in ("content", "main")))
-    return out
+        role, parent = named.get("role"), stack[-1][1] if stack else -1
+        main = tag == "main" or role == "main" or named.get("id") in ("content", "main")
+        inside = parent >= 0 and elements[parent].depth > 0
+        soft = tag not in ("html", "body") and noisy(label)
+        hard = (tag in NOT_CONTENT and not (tag == "header" and inside)) or "hidden" in named or named.get("aria-hidden") == "true"
+        if not (tag == "header" and inside) and tag not in ("html", "body") and _HEADERLIKE.search(label):
+            soft = True
+        path = (*(elements[parent].path if parent >= 0 else ()), f"{tag}.{label}" if label else tag)
+        apart = (hard and tag not in ("form", "fieldset", "label", "object")) or parent >= 0 and elements[parent].apart
+        elements.append(Element(parent, path, soft or hard, apart, main, tag == "article", len(path) if main or tag in MAIN else elements[parent].depth if inside else 0))
+        stack.append((tag, len(elements) - 1))
+    return _judged(elements, out)
 
 
 def _tag(name: str) -> str:

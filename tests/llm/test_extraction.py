@@ -46,6 +46,26 @@ def test_tables_and_nested_lists(around):
     assert got.split("\n") == ["Title", TEXT.strip(), *CELLS, TEXT.strip()]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'>{}</div>", "<div id='page' class='no-sidebar'>{}</div>", "<article class='post comments-open'>{}</article>", "<div class='sidebar-left'><main>{}</main></div>", "<div class='page sidebar-right'><article>{}</article></div>",
+        "<div id='page' class='sidebar-left'><div class=entry>{}</div></div>", "<form id=all><div>{}</div></form>", "<form id=all><main class=search-page>{}</main></form>", "<div class='sidebar-left'><article class='search-result'>{}</article><div id=comments><article class=comment>%s</article></div></div>" % TEXT,
+    ],
+)
+def test_noisy_wrappers(page):
+    """A wrapper whose name holds a word of noise does not take the text with it; real noise stays out."""
+    rest = f"<div class='cookie-notice'>{TEXT}</div><nav>Menu</nav><div class='sidebar widget-area'>Archive</div>"
+    assert extract(f"<body>{page.format(f'<h1>Title</h1><p>{TEXT}</p>' + '<div class=share>Share it</div>')}</body>").split("\n")[:2] == ["Title", TEXT.strip()]
+    if "main" in page or "article" in page or "has-" in page or "no-" in page:
+        assert extract(f"<body>{rest}{page.format(f'<h1>Title</h1><p>{TEXT}</p>' + '<div class=share>Share it</div>')}</body>") == f"Title\n{TEXT.strip()}"
+
+
+@pytest.mark.parametrize("noise", ["<aside><article>{}</article></aside>", "<div id=comments><article class=comment>{}</article></div>", "<div class='cookie-notice'>{}</div>", "<section class='comments-area'>{}</section>", "<div class='related_posts'>{}</div>"])
+def test_noise_stays_out(noise):
+    assert extract(f"<body><div class=entry><h1>Title</h1><p>{TEXT}</p></div>{noise.format(f'<p>{TEXT}</p>')}</body>") == f"Title\n{TEXT.strip()}"
+
+
 def test_generated_pages(spark, sf):
     import html
     import re
