@@ -7,7 +7,8 @@ bytes of payload. The side information of a frame is zero, so a decoder plays
 silence, and the payload stands in its ancillary data. The last byte of a frame
 is the low byte of the payload's crc32.
 
-``parse`` reads any MPEG audio stream: it skips ID3v2, APE and ID3v1 tags,
+``parse`` reads any MPEG audio stream: it skips ID3v2, APE and ID3v1 tags (at
+the end only where the frames end before them; payloads may look like tags),
 resynchronises over junk on two consistent frame headers, checks the CRC-16 of
 protected layer III frames, reads Xing/Info and VBRI tables, and gives the exact
 duration (samples over rate) and the offset of each frame.
@@ -163,23 +164,45 @@ def _table(frame: bytes, h: Header) -> dict:
     return {}
 
 
+def _follows(h: Header, four: bytes) -> bool:
+    """Whether the four bytes are the header of a frame after one with header h."""
+    return (g := header(four)) is not None and (g.version, g.layer, g.rate) == (h.version, h.layer, h.rate)
+
+
+def _trailer(data: bytes, end: int) -> int:
+    """Where a tag that ends at ``end`` starts; ``end`` if there is none."""
+    if end >= 128 and data[end - 128 : end - 125] == b"TAG":
+        return end - 128
+    if end >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
+        size, flags = struct.unpack("<I", data[end - 20 : end - 16])[0], struct.unpack("<I", data[end - 12 : end - 8])[0]
+        return max(0, end - max(size, 32) - (32 if flags >> 31 else 0))
+    return end
+
+
 def parse(data: bytes) -> Stream:
     """Walk a whole stream; never fails on damaged bytes."""
-    s, at, end, lost = Stream(), 0, len(data), False
+    tags, at, end, title = {}, 0, len(data), None
     while (n := _id3v2(data, at))[0]:
-        s.tags.update(n[1])
+        tags.update(n[1])
         at += n[0]
-    if data[end - 128 : end - 125] == b"TAG" and end >= 128:
-        end -= 128
-        s.tags.setdefault("TIT2", data[end + 3 : end + 33].rstrip(b"\0 ").decode("latin-1"))
-    if end >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
-        size, flags = struct.unpack("<I", data[end - 20 : end - 16])[0], struct.unpack("<I", data[end - 12 : end - 8])[0]
-        end = max(at, end - size - (32 if flags >> 31 else 0))
+    s, solid = _walk(data, at, end)
+    while (start := _trailer(data, end)) < end and start >= solid:
+        if title is None and data[start : start + 3] == b"TAG":
+            title = data[start + 3 : start + 33].rstrip(b"\0 ").decode("latin-1")
+        end = start
+        s, solid = _walk(data, at, end)
+    s.tags = tags if title is None else {"TIT2": title} | tags
+    return s
+
+
+def _walk(data: bytes, at: int, end: int) -> tuple[Stream, int]:
+    """The stream of the bytes up to ``end``, and the offset before which all is of frames beyond doubt: a last frame counts if it ends at ``end`` or at another's header."""
+    s, lost, solid = Stream(), False, at
     crcs: dict[bytes, int] = {}
     while at + 4 <= end:
         h = header(data[at : at + 4])
         nxt = at + h.size if h else 0
-        sure = h and nxt <= end and (not (lost or not s.offsets) or nxt == end or ((g := header(data[nxt : nxt + 4])) is not None and (g.version, g.layer, g.rate) == (h.version, h.layer, h.rate)))
+        sure = h and nxt <= end and (not (lost or not s.offsets) or nxt == end or _follows(h, data[nxt : nxt + 4]))
         if not sure or s.rate and h.rate != s.rate:
             s.resyncs += not lost
             lost = True
@@ -188,6 +211,7 @@ def parse(data: bytes) -> Stream:
             at = end if to < 0 else to
             continue
         lost = False
+        solid = nxt if nxt == end or _follows(h, data[nxt : nxt + 4]) else at
         if not s.offsets and not s.vbr and (t := _table(data[at:nxt], h)):
             s.vbr, s.rate, at = t | {"offset": at}, h.rate, nxt
             continue
@@ -203,7 +227,7 @@ def parse(data: bytes) -> Stream:
         s.rate = h.rate
         s.kbps.add(h.kbps)
         at = nxt
-    return s
+    return s, solid
 
 
 _HEAD = bytes([0xFF, 0xFA, 0x38, 0xC0])  # MPEG-1 layer III, protected, 48 kbit/s, 32 kHz, mono

@@ -48,6 +48,32 @@ def test_variable_rate_and_tags():
     assert s.seek(10**9) is None
 
 
+@pytest.mark.parametrize("n", [10, 192, 193, 384, 1000])
+@pytest.mark.parametrize(("mark", "place"), [(b"TAG", 127), (b"VINTAGE", 131), (b"APETAGEX", 31), (b"APETAGEX" + b"\0" * 24, 31)])
+def test_payload_like_a_tag(n, mark, place):
+    """A payload that has a tag's name where a tag would stand is read back whole, also before real tags."""
+    size = len(mpeg.pad(b"x" * n))
+    text = bytearray(b"x" * size)
+    text[size - place : size - place + len(mark)] = mark
+    text = bytes(text[:size])
+    data = mpeg.store(text, size)
+    v1 = b"TAG" + b"Old".ljust(30, b"\0") + bytes(95)
+    ape = b"APETAGEX" + struct.pack("<IIII", 2000, 32, 0, 0) + bytes(8)
+    for end in (b"", v1, ape, ape + v1):
+        back, s, wrong = mpeg.restore(data + end)
+        assert back == text
+        assert (len(s.offsets), wrong, s.resyncs) == (size // 192, 0, 0)
+        assert ("TIT2" in s.tags) == end.endswith(v1)
+
+
+def test_cut_frame_before_a_tag():
+    v1 = b"TAG" + b"Old".ljust(30, b"\0") + bytes(95)
+    s = mpeg.parse(frame(9, 417) * 3 + frame(9, 417)[:300] + v1)
+    assert (len(s.offsets), s.tags["TIT2"]) == (3, "Old")
+    data = mpeg.store(b"x" * 64 + b"TAG" + b"x" * 317, 384)  # cut within its last frame
+    assert mpeg.restore(data[:-100])[0] == mpeg.restore(data)[0][:192]
+
+
 def test_vbri():
     first = bytearray(frame(9, 417))
     first[36 : 36 + 26] = b"VBRI" + struct.pack(">HHHIIHHHH", 1, 0, 0, 1251, 2, 2, 1, 2, 1)
