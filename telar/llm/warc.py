@@ -13,7 +13,8 @@ a record, so candidates prove nothing: a record is real if the chain of
 successors from offset 0 of its file reaches it. Tasks jump pointers within
 their split first (candidate to the first offset beyond the split), then the
 exits of the splits are joined with themselves, doubling the distance each
-time, and only reached records are kept.
+time, and only reached records are kept. A file whose chain does not end at the
+file's size is damaged: reading it raises an error. Heads may have any length.
 
 Defined cases: null html is an empty payload; null identifiers are stored as
 ``null`` and read back as null; repeated rows give a record each (of rows that
@@ -108,24 +109,43 @@ def write(pages: DataFrame, id_col: str = "page_id", min_bytes: int = 1000, fold
 RECORD = "path string, split int, at long, next long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
 
-def _parse(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | None:
-    """(length of the whole record, its head, its block), or None if no record can start here."""
-    end = data.find(b"\r\n\r\n", at, at + HEAD_BYTES)
-    if end < 0:
-        return None
-    head = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        k, colon, v = line.partition(b":")
+class _Buffer:
+    """The bytes of a file from an offset on, read further as they are needed. Positions count from the offset."""
+
+    def __init__(self, f, start: int, first: int, size: int):
+        self.f, self.start, self.size = f, start, size - start
+        self.data = f.read_at(min(first, self.size), start)
+
+    def find(self, what: bytes, at: int) -> int:
+        """As bytes.find, to the file's end."""
+        while (i := self.data.find(what, at)) < 0 and len(self.data) < self.size:
+            at = max(at, len(self.data) - len(what) + 1)
+            more = self.f.read_at(min(max(HEAD_BYTES, len(self.data)), self.size - len(self.data)), self.start + len(self.data))
+            self.data += more
+        return i
+
+    def slice(self, at: int, end: int) -> bytes:
+        return self.data[at:end] if end <= len(self.data) else self.f.read_at(end - at, self.start + at)
+
+
+def _parse(b: _Buffer, at: int) -> tuple[int, dict[str, str], bytes] | None:
+    """(length of the whole record, its head, its block), or None if no whole record can start here."""
+    head, p = {}, at + len(MAGIC)
+    while (end := b.find(b"\r\n", p)) > p:
+        k, colon, v = b.data[p:end].partition(b":")
         if not colon:
             return None
         head[k.decode("latin-1").lower()] = v.decode("utf-8", "replace").strip()
-    if not (n := head.get("content-length", "")).isascii() or not n.isdigit():
+        p = end + 2
+    n = _number(head.get("content-length"))
+    if end < 0 or n is None or n < 0 or end + 2 + n + 4 > b.size:
         return None
-    return end + 4 - at + int(n) + 4, head, data[end + 4 : end + 4 + int(n)]
+    return end + 2 - at + n + 4, head, b.slice(end + 2, end + 2 + n)
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and re.fullmatch(r"-?\d{1,18}", text) else None
+    """A 64-bit integer."""
+    return n if text and re.fullmatch(r"-?[0-9]{1,19}", text) and -(1 << 63) <= (n := int(text)) < 1 << 63 else None
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,13 +154,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, split, start, stop, size in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             fs, p = arrow_fs(path)
             with fs.open_input_file(p) as f:
-                data = f.read_at(min(size, stop + len(MAGIC) + HEAD_BYTES) - start, start)
-                rows, i = [], data.find(MAGIC)
+                b = _Buffer(f, start, stop - start + len(MAGIC) + HEAD_BYTES, size)
+                rows, i = [], b.data.find(MAGIC)
                 while 0 <= i < stop - start:
-                    got = _parse(data, i)
-                    if got and i + got[0] > len(data):  # the block ends beyond what was read
-                        got = _parse(f.read_at(min(got[0], size - start - i), start + i), 0) if start + i + got[0] <= size else None
-                    if got:
+                    if got := _parse(b, i):
                         n, head, block = got
                         http, _, body = block.partition(b"\r\n\r\n")
                         kind = head.get("warc-type", "")
@@ -154,7 +171,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         else:
                             digest, length = head.get("warc-payload-digest", "").removeprefix("sha1:"), _number(head.get("x-payload-length"))
                         rows.append((path, split, start + i, start + i + n, _number(head.get("x-page-id")), length, digest, kind, _number(head.get("x-refers-to-page")), head.get("warc-target-uri")))
-                    i = data.find(MAGIC, i + 1)
+                    i = b.data.find(MAGIC, i + 1)
             if rows:
                 yield pa.RecordBatch.from_pydict({n: pa.array(c, pa.int32() if n == "split" else pa.string() if n in ("path", "payload_digest", "record_type", "url") else pa.int64()) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
 
@@ -197,7 +214,7 @@ def _walk(group: pa.Table) -> pa.Table:
 
 
 def reached(found: DataFrame, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The candidates that the chain from the start of their file reaches.
+    """The candidates that the chain from the start of their file reaches; an error if a chain does not end at its file's size.
 
     A group is one split, so its size has a bound. The splits of the longest
     file bound the rounds: each doubles the distance of a jump.
@@ -210,5 +227,8 @@ def reached(found: DataFrame, files: DataFrame, split_bytes: int = SPLIT_BYTES)
         far = step.select("path", F.col("at").alias("exit"), F.col("exit").alias("far"))
         step = written(step.join(far, ["path", "exit"]).select("path", "at", F.col("far").alias("exit")), "warc-jumps")
         on = written(on, "warc-on")
+    ends = on.join(jumps, ["path", "at"]).select("path", F.col("exit").alias("size"))
+    if broken := [r.path for r in files.filter("size > 0").join(ends, ["path", "size"], "left_anti").limit(3).collect()]:
+        raise ValueError(f"records do not reach the end of the file: {', '.join(broken)}")
     entries = found.join(on.withColumn("entry", F.lit(True)), ["path", "at"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
     return entries.select(*found.columns, "entry").groupBy("path", "split").applyInArrow(_walk, RECORD)

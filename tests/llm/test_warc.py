@@ -52,6 +52,30 @@ def test_candidates_are_rejected(spark, pages, tmp_path):
     assert got == [8, 9]
 
 
+@pytest.mark.parametrize("split", [200, 20_000, 1 << 20])
+def test_long_heads_and_wide_numbers(spark, split):
+    """Heads of any length, identifiers of 64 bits, and the records after them."""
+    big = "<p>" + "x" * 1000
+    rows = [(i, "u" * n, f"{i} {FAKE}") for i, n in enumerate((10, 16_000, 17_000, 300_000, 5))]
+    rows += [((1 << 63) - 1, "u", big), (-(1 << 63), "u", big), (1_234_567_890_123_456_789, "u", "z")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.read(warc.write(df), split_bytes=split).collect()
+    assert sorted((r.page_id, r.url) for r in got) == sorted(r[:2] for r in rows)
+    assert [r.refers_to for r in got if r.record_type == "revisit"] == [(1 << 63) - 1]
+
+
+@pytest.mark.parametrize("split", [300, 1 << 20])
+def test_a_broken_chain_is_an_error(spark, pages, tmp_path, split):
+    files = warc.write(pages.filter("page_id > 100").coalesce(1))
+    data = open(files.first().path.removeprefix("file://"), "rb").read()
+    at = data.index(b"\r\n\r\nWARC/1.1", len(data) // 2) + 4
+    for name, bad in (("cut", data[:-3]), ("hurt", data[:at] + b"X" + data[at + 1 :])):
+        (tmp_path / name).write_bytes(bad)
+        f = spark.createDataFrame([(f"file://{tmp_path}/{name}", len(bad))], "path string, size long")
+        with pytest.raises(ValueError, match=name):
+            warc.read(f, split_bytes=split).count()
+
+
 def test_empty(spark, pages):
     files = warc.write(pages.limit(0))
     assert warc.read(files).count() == 0
