@@ -5,15 +5,16 @@ at most four bytes, so they share at least four of the eight positional bytes:
 the guaranteed minimum. Of any seven positions they then share at least three,
 so the index lists each distinct fingerprint under all triples of its first
 seven positional bytes (35 composite postings; single bytes would make lists of
-1/256 of the corpus). Within a posting list the shared positional bytes of a
+1/256 of the corpus). Other distances have keys of their own: pairs for five
+bits, single bytes for six and seven; there is none for eight or more. Within a posting list the shared positional bytes of a
 pair are tallied, pairs below the minimum are dropped, and the rest is verified
 by its differing bits.
 
 No list emits its pairs: it gives a spanning forest of its links, found by
 growing components against what is not yet linked, so a dense list costs little
 more than its length. A list longer than ``split_over`` is dealt out again by
-each of its other five bytes, of which a pair must share one more: every pair
-stays in some list. Components come from rounds of large-star and small-star
+each of its other bytes, of which a pair must share one more (not at seven bits,
+where lists stay as they are): every pair stays in some list. Components come from rounds of large-star and small-star
 links over the forest's edges, as tables; links never come to the driver.
 
 Defined cases: null and empty texts have fingerprint zero and link like any
@@ -42,6 +43,13 @@ SPLIT_OVER = 200_000
 INDEX_ROWS = 20_000
 TRIPLES = list(combinations(range(7), 3))
 
+
+def positions(distance: int) -> list[tuple[int, ...]]:
+    """The byte positions of the index keys: two fingerprints within the distance share all bytes of one of them."""
+    if not 0 <= distance <= 7:
+        raise ValueError(f"no bytes are sure to be shared at distance {distance}")
+    return TRIPLES if distance <= 4 else list(combinations(range(7), 7 - distance)) if distance < 7 else list(combinations(range(8), 1))
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -75,20 +83,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_batches(docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")), run, "doc_id long, fp long")
 
 
-def _index(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _index(batch: pa.RecordBatch, places: list[tuple[int, ...]] = TRIPLES) -> pa.RecordBatch:
     fp, rep = batch.column("fp").to_numpy(), batch.column("rep").to_numpy()
     b = fp.view(np.uint8).reshape(-1, 8).astype(np.int64)
-    keys = np.concatenate([n << 24 | b[:, i] << 16 | b[:, j] << 8 | b[:, k] for n, (i, j, k) in enumerate(TRIPLES)])
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.tile(fp, len(TRIPLES))), pa.array(np.tile(rep, len(TRIPLES)))], ["key", "fp", "rep"])
+    keys = np.concatenate([n << 24 | sum(b[:, p] << 8 * i for i, p in enumerate(reversed(at))) for n, at in enumerate(places)])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.tile(fp, len(places))), pa.array(np.tile(rep, len(places)))], ["key", "fp", "rep"])
 
 
-def _deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Longer keys for hot lists: one more positional byte, each of the five others in turn."""
+def _deal(batch: pa.RecordBatch, places: list[tuple[int, ...]] = TRIPLES) -> pa.RecordBatch:
+    """Longer keys for hot lists: one more positional byte, each of the others in turn."""
     key, fp, rep = (batch.column(i).to_numpy() for i in range(3))
     b = fp.view(np.uint8).reshape(-1, 8).astype(np.int64)
     out = [], [], []
     for p in range(8):
-        other = np.array([p not in TRIPLES[k >> 24] for k in key.tolist()], bool)
+        other = np.array([p not in places[k >> 24] for k in key.tolist()], bool)
         for to, x in zip(out, (1 << 62 | key[other] << 16 | p << 8 | b[other, p], fp[other], rep[other]), strict=True):
             to.append(x)
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["key", "fp", "rep"])
@@ -155,13 +163,13 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
 
 def links(prints: DataFrame, distance: int = DISTANCE, split_over: int = SPLIT_OVER) -> DataFrame:
     """Edges (a, b) between representatives that span every component. prints: distinct fp with rep, an identifier of its own."""
-    n = prints.count()
-    spread = prints.select("fp", "rep").repartition(max(1, -(-n // INDEX_ROWS)))  # each row becomes 35
-    index = map_batches(spread, _index, "key long, fp long, rep long")
-    if n > split_over:
+    places, n = positions(distance), prints.count()
+    spread = prints.select("fp", "rep").repartition(max(1, -(-n // INDEX_ROWS)))  # each row becomes 35 at four bits
+    index = map_batches(spread, partial(_index, places=places), "key long, fp long, rep long")
+    if n > split_over and distance < 7:
         hot = written(index.groupBy("key").count().filter(F.col("count") > split_over).select("key"), "hot-lists")
         if not hot.isEmpty():
-            dealt = map_batches(index.join(hot, "key", "left_semi"), _deal, "key long, fp long, rep long")
+            dealt = map_batches(index.join(hot, "key", "left_semi"), partial(_deal, places=places), "key long, fp long, rep long")
             index = index.join(hot, "key", "left_anti").unionByName(dealt)
     lists = index.repartition(F.col("key")).sortWithinPartitions("key")
     return bounded(lists).mapInArrow(partial(_links, distance=distance), "a long, b long").distinct()

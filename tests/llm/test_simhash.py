@@ -80,6 +80,29 @@ def test_dense_and_chained_groups(spark, split):
     assert {i: label.get(i, i) for i in fps} == groups(fps)
 
 
+@pytest.mark.parametrize("split", [H.SPLIT_OVER, 20])
+@pytest.mark.parametrize("distance", [3, 5, 6, 7])
+def test_other_distances(spark, distance, split):
+    """No pair is lost at distances whose differing bits may lie in as many bytes."""
+    rnd = random.Random(distance)
+    fps = []
+    for _ in range(150):
+        f = rnd.getrandbits(64)
+        for n in (distance, distance + 1):
+            fps += [f, f ^ sum(1 << 8 * byte + rnd.randrange(8) for byte in rnd.sample(range(8), n))]
+    fps = dict(enumerate(dict.fromkeys(fps)))
+    df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)), i) for i, f in fps.items()], "fp long, rep long").repartition(3)
+    label = {r.node: r.component for r in H.components(H.links(df, distance, split)).collect()}
+    assert {i: label.get(i, i) for i in fps} == groups(fps, distance)
+
+
+def test_distances_without_keys(spark):
+    df = spark.createDataFrame([(1, 1)], "fp long, rep long")
+    for distance in (-1, 8):
+        with pytest.raises(ValueError, match="distance"):
+            H.links(df, distance)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 300), (300, 400), (7, 7)]
     got = {r.node: r.component for r in H.components(spark.createDataFrame(edges, "a long, b long")).collect()}
