@@ -61,9 +61,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 class ChunkEncoder(dict):
@@ -75,7 +73,9 @@ class ChunkEncoder(dict):
     encoded on their own. This is the table of parts, of bounded size. A part
     that it lacks goes through the library: a run of Latin letters with at most
     a space before and ASCII marks after it is one or two pre-tokens, which the
-    library's model takes at once; any other part goes through all of it.
+    library's model takes at once; any other part goes through all of it. Special tokens
+written out in a text get their own id, as in the library; they hold no white
+space, so no cut falls within one.
     """
 
     def __init__(self, path: str):

@@ -28,6 +28,19 @@ def test_encoder_cases(text):
     assert S.chunk_encoder(PATH).encode([text], b"")[0] == library(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "a", "it's", " ", "  ", "\n", "\t", ",", ".)", "é", "日"]), max_size=9))
+def test_special_tokens_as_in_the_library(parts):
+    """Against a tokenizer of the test's own, as the file gives it."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    for text in ("".join(parts), "a <|endoftext|> b"):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert S.chunk_encoder(PATH).encode([text], b"")[0] == struct.pack(f"<{len(ids)}I", *ids)
+    assert 50256 in plain.encode("a <|endoftext|> b", add_special_tokens=False).ids
+
+
 def test_files(tmp_path):
     rnd = random.Random(3)
     ids = {k: struct.pack(f"<{n}I", *(rnd.randrange(70_000 if k % 3 else 500) for _ in range(n))) for k in rnd.sample(range(-5000, 5000), 3000) for n in [rnd.randrange(90)]}
