@@ -23,10 +23,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; documents without an id all stay."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    some = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The row with the smallest id of each group of near duplicates; rows without an id are chosen among themselves."""
+    h = free_name(docs, "h")
+    rows, kept = docs.withColumn(h, F.xxhash64("text")), simhash.survivors(docs)
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows[h] == kept["h"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", h]).drop(h)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

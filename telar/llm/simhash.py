@@ -68,8 +68,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, for each row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, hashes: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long, for each row; also h, Spark's xxhash64 of its text, on request."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         seen: dict[bytes, int] = {}
@@ -78,9 +78,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if text not in seen:
                 seen[text] = fingerprint(text, shingle)
             out.append(seen[text])
-        return pa.RecordBatch.from_arrays([batch.column("k"), pa.array(np.array(out, "<u8").view("<i8"))], ["doc_id", "fp"])
+        more = {"h": batch.column("h")} if hashes else {}
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("k"), "fp": pa.array(np.array(out, "<u8").view("<i8"))} | more)
 
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")), run, "doc_id long, fp long")
+    more = [F.xxhash64(text_col).alias("h")] if hashes else []
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), *more), run, "doc_id long, fp long" + ", h long" * hashes)
 
 
 def _index(batch: pa.RecordBatch, places: list[tuple[int, ...]] = TRIPLES) -> pa.RecordBatch:
@@ -187,7 +189,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("x"), "m", "u")
         e = written(small.select(F.col("x").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "small-star")
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum("v"), F.sum(F.hash("u", "v").cast("long"))).first())
+        now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor("v"), F.sum(F.hash("u", "v").cast("long"))).first())
         if now == before:
             break
         before = now
@@ -203,3 +205,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = components(links(groups.filter("rep IS NOT NULL"), distance, split_over))
     label = groups.join(joined, groups["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, split_over: int = SPLIT_OVER) -> DataFrame:
+    """doc_id and h (xxhash64 of the text) of the row that stays of each component of fingerprints: the smallest identifier, then fingerprint, then h.
+
+    Rows without an identifier are chosen among themselves. Components link
+    fingerprints, so rows that share an identifier but not their text stay apart.
+    """
+    prints = fingerprints(docs, id_col, text_col, shingle, hashes=True)
+    best = written(prints.groupBy("fp", F.col("doc_id").isNull().alias("loose")).agg(F.min(F.struct("doc_id", "fp", "h")).alias("row")), "best-rows")
+    joined = components(links(best.select("fp", F.col("fp").alias("rep")).distinct(), distance, split_over))
+    label = best.join(joined, best["fp"] == joined["node"], "left").select(F.coalesce("component", "fp").alias("component"), "loose", "row")
+    return label.groupBy("component", "loose").agg(F.min("row").alias("row")).select("row.doc_id", "row.h")

@@ -48,6 +48,15 @@ def test_odd_rows(spark, odd, none, sf):
             assert sum(r.doc_id is None for r in out) == 2
 
 
+def test_shared_and_missing_ids(spark, sf):
+    """Rows are chosen by their text: an id shared by unrelated texts loses none of them, copies without an id leave one."""
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, one), (1, two), (1, one), (2, two), (3, three), (2, three), (None, one), (None, one), (None, "no other"), (None, None), (None, None), (5, "ends here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in P.one_of_each(spark, df, sf).collect()]
+    assert sorted(got, key=repr) == sorted([(1, one), (1, two), (2, three), (5, "ends here"), (None, one), (None, "no other"), (None, None)], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, sf, name):
     df = QUERIES[name](spark, sf)

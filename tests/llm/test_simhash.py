@@ -111,6 +111,12 @@ def test_components(spark):
     assert H.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_large_identifiers(spark):
+    edges = [(k * (1 << 61) + i, k * (1 << 61) + i + 1) for k in (-4, -1, 3) for i in range(6)]
+    got = {r.node: r.component for r in H.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {k: v for k, v in got.items() if k != v} == {b: b >> 61 << 61 for _, b in edges}
+
+
 def test_odd_rows(odd, none):
     got = H.near_duplicates(odd).collect()
     assert len(got) == odd.count()
