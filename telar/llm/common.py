@@ -23,11 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode alone, one of our own where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    app = spark.sparkContext.applicationId
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that the driver and the executors share")
     if app not in _OWN:
         own = tempfile.mkdtemp(prefix="telar-")
         atexit.register(shutil.rmtree, own, True)
@@ -35,15 +37,38 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that this application writes to."""
+    return f"{shared_dir(spark)}/telar/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/telar/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows from a table in the shared folder: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once nothing reads them any more."""
+    for t in tables:
+        removed(t.sparkSession, t.written_to)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application's operators wrote to the shared folder; their results can't be read after that."""
+    removed(spark, run_dir(spark))
 
 
 def free_name(df: DataFrame, name: str) -> str:
