@@ -139,7 +139,7 @@ def _id3v2(data: bytes, at: int) -> tuple[int, dict[str, str]]:
     v = data[at + 3]
     while v >= 3 and p + 10 <= min(end, len(data)) and data[p : p + 4].isalnum():
         n = _syncsafe(data[p + 4 : p + 8]) if v == 4 else struct.unpack(">I", data[p + 4 : p + 8])[0]
-        if data[p : p + 1] == b"T" and n:
+        if data[p : p + 1] == b"T" and n and p + 10 < len(data):
             text = data[p + 11 : p + 10 + n].decode({0: "latin-1", 1: "utf-16", 2: "utf-16-be"}.get(data[p + 10], "utf-8"), "replace")
             tags[data[p : p + 4].decode()] = text.strip("\0")
         p += 10 + n
@@ -147,23 +147,34 @@ def _id3v2(data: bytes, at: int) -> tuple[int, dict[str, str]]:
 
 
 def _table(frame: bytes, h: Header) -> dict:
-    """The variable-bit-rate table of a first frame, if it has one."""
+    """The variable-bit-rate table of a first frame, if it has a whole one."""
+    try:
+        return _xing(frame, h) or _vbri(frame)
+    except struct.error:  # the frame ends within the table
+        return {}
+
+
+def _xing(frame: bytes, h: Header) -> dict:
     for at in {4 + h.side, 6 + h.side} if h.layer == 3 else ():
         if (kind := frame[at : at + 4]) in (b"Xing", b"Info"):
-            flags, p, out = struct.unpack(">I", frame[at + 4 : at + 8])[0], at + 8, {"kind": kind.decode()}
+            (flags,), p, out = struct.unpack_from(">I", frame, at + 4), at + 8, {"kind": kind.decode()}
             for bit, name in ((1, "frames"), (2, "bytes")):
                 if flags & bit:
-                    out[name], p = struct.unpack(">I", frame[p : p + 4])[0], p + 4
+                    (out[name],), p = struct.unpack_from(">I", frame, p), p + 4
             if flags & 4:
-                out["toc"] = list(frame[p : p + 100])
+                out["toc"] = list(struct.unpack_from("100B", frame, p))
             return out
-    if frame[36:40] == b"VBRI":
-        _, _, _, size, frames, entries, scale, width, per = struct.unpack(">HHHIIHHHH", frame[40:62])
-        toc = [int.from_bytes(frame[62 + i * width : 62 + (i + 1) * width], "big") * scale for i in range(entries)]
-        return {"kind": "VBRI", "frames": frames, "bytes": size, "toc": toc, "frames_per_entry": per}
     return {}
 
 
+def _vbri(frame: bytes) -> dict:
+    if frame[36:40] != b"VBRI":
+        return {}
+    _, _, _, size, frames, entries, scale, width, per = struct.unpack_from(">HHHIIHHHH", frame, 40)
+    raw = struct.unpack_from(f"{entries * width}s", frame, 62)[0]
+    return {"kind": "VBRI", "frames": frames, "bytes": size, "toc": [int.from_bytes(raw[i * width : (i + 1) * width], "big") * scale for i in range(entries)], "frames_per_entry": per}
+
+
 def _follows(h: Header, four: bytes) -> bool:
     """Whether the four bytes are the header of a frame after one with header h."""
     return (g := header(four)) is not None and (g.version, g.layer, g.rate) == (h.version, h.layer, h.rate)
@@ -266,7 +277,7 @@ def restore(data: bytes) -> tuple[bytes, Stream, int]:
     """(payload from the ancillary data, the parsed stream, frames whose check byte fails)."""
     s = parse(data)
     offsets = np.array(s.offsets, np.int64)
-    if len(offsets) and (np.diff(offsets) == FRAME).all():  # an unbroken run of frames
+    if set(s.sizes) == {FRAME} and (np.diff(offsets) == FRAME).all():  # an unbroken run of frames
         frames = np.frombuffer(data, np.uint8, len(offsets) * FRAME, int(offsets[0])).reshape(-1, FRAME)
     else:
         frames = np.array([np.frombuffer(data, np.uint8, FRAME, o) for o in s.offsets if o + FRAME <= len(data)], np.uint8).reshape(-1, FRAME)
@@ -294,16 +305,23 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return map_batches(docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")), run, "doc_id long, n_bytes long, media binary")
 
 
+_FEATURES = {
+    "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(),
+    "samples": pa.int64(), "sample_rate": pa.int32(), "duration_num": pa.int64(), "duration_den": pa.int64(), "seek_offsets": pa.list_(pa.int64()),
+}
+
+
 def media_features(media: DataFrame) -> DataFrame:
-    """Digests and features of each stored stream, all from its bytes."""
+    """Digests and features of each stored stream, all from its bytes: also its exact duration, duration_num / duration_den seconds, and the offset of each of its frames."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: dict[str, list] = {k: [] for k in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")}
+        rows = []
         for data in batch.column("media").to_pylist():
             payload, s, wrong = restore(data)
-            for k, v in zip(out, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature(s, wrong)), strict=True):
-                out[k].append(v)
-        cols = {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes")} | {k: pa.array(v, pa.string() if k in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for k, v in out.items()}
-        return pa.RecordBatch.from_pydict(cols)
+            d = s.duration
+            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature(s, wrong), s.samples, s.rate, d.numerator, d.denominator, s.offsets))
+        made = {k: pa.array(v, t) for (k, t), v in zip(_FEATURES.items(), zip(*rows, strict=True), strict=True)}
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes")} | made)
 
-    return map_batches(media, run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.list_(pa.int64()): "array<long>"}
+    return map_batches(media, run, "doc_id long, n_bytes long, " + ", ".join(f"{k} {kinds[t]}" for k, t in _FEATURES.items()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import extraction, interpolation, licenses, mpeg, simhash, sstable, toxicity, warc, wfst, wumanber
-from .common import table
+from .common import table, written
 
 
 def vocabulary(name: str) -> str:
@@ -29,7 +29,7 @@ def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mpeg.media_features(mpeg.to_media(table(spark, sf_dir, "documents")))
+    return mpeg.media_features(written(mpeg.to_media(table(spark, sf_dir, "documents")), "media"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from telar.llm import mpeg
 
@@ -100,6 +101,39 @@ def test_damage_is_seen():
     assert (s.bad, wrong) == (1, 1)
 
 
+@given(st.lists(st.sampled_from([frame(9, 417)[:40], b"ID3\3\0\0\0\0\0\7", b"ID3\4\0\0\0\0\0\7TIT2\0\0\0\x05\0\0", b"VBRI", b"Xing", b"Info\0\0\0\7", b"TAG", b"APETAGEX", b"\0" * 32, b"\xff" * 5, b"\xff\xe3\x14\xc0", b"\xff\xfb\x90\xc0"]), max_size=14), st.binary(max_size=60), st.integers(0, 400))
+def test_damage_never_fails(parts, more, cut):
+    data = (b"".join(parts) + more)[: cut or None]
+    s = mpeg.parse(data)
+    assert len(s.offsets) == len(s.sizes)
+    mpeg.restore(data)
+
+
+def test_tables_that_do_not_fit():
+    """A frame of 48 bytes that begins a VBRI table, and a tag frame whose text would start at the end."""
+    h = bytes([0xFF, 0xE3, 0x14, 0xC0])
+    n = mpeg.header(h).size
+    assert n == 48
+    one = h + bytes(32) + b"VBRI" + bytes(n - 40)
+    s = mpeg.parse(one + h + bytes(n - 4))
+    assert (s.vbr, len(s.offsets)) == ({}, 2)
+    assert mpeg.parse(b"ID3\4\0\0\0\0\0\x0aTIT2\0\0\0\x05\0\0").offsets == []
+
+
+def test_stored_columns(spark, docs):
+    """What the query gives of every stored stream: its exact duration and where each frame starts."""
+    from telar.llm.common import written
+
+    media = written(mpeg.to_media(docs), "media")
+    got = mpeg.media_features(media).join(media.withColumnRenamed("doc_id", "k").select("k", "media"), F.col("doc_id") == F.col("k")).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        n = r.payload_bytes // 192
+        assert (Fraction(r.duration_num, r.duration_den), r.samples, r.sample_rate) == (Fraction(36 * n, 1000), 1152 * n, 32000)
+        assert len(r.seek_offsets) == n
+        assert all(mpeg.header(bytes(r.media[o : o + 4])) for o in r.seek_offsets)
+
+
 def test_rows(spark, odd, none):
     got = mpeg.media_features(mpeg.to_media(odd)).collect()
     texts = sorted((r.text or "").encode() for r in odd.collect())
