@@ -129,3 +129,36 @@ def test_odd_rows(odd, none):
     assert {r.component_id for r in got if r.doc_id is None} == {2, None}
     assert H.near_duplicates(none).count() == 0
     assert H.near_duplicates(odd.withColumn("doc_id", F.lit(None).cast("long"))).filter("component_id IS NOT NULL").count() == 0
+
+
+def test_links_through_rows_without_an_id(spark, monkeypatch):
+    """A chain of fingerprints whose middle belongs to a row without an id, and an id shared by two texts."""
+    bits = {"a": 0, "b": 0b1111 << 20, "c": 0b11111111 << 20, "d": 0xFFFFF << 40, "e": (1 << 64) - 1}
+    monkeypatch.setattr(H, "fingerprints", lambda docs, *_: docs.select("doc_id", F.element_at(F.create_map(*(F.lit(x) for k, v in bits.items() for x in (k, int(np.uint64(v).astype(np.int64))))), F.col("text")).alias("fp")))
+    rows = [((1 << 63) - 1, "a"), (None, "b"), (-(1 << 63), "c"), (None, "d"), ((1 << 63) - 1, "e")]
+    got = H.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.fingerprint: r.component_id for r in got} == {f"{bits[k]:016x}": v for k, v in (("a", -(1 << 63)), ("b", -(1 << 63)), ("c", -(1 << 63)), ("d", None), ("e", (1 << 63) - 1))}
+
+
+@pytest.mark.parametrize("sample", [1, 64])
+def test_hot_lists_are_dealt_out(spark, sample):
+    """Many fingerprints that share seven bytes' triples: known beforehand or met, lists end below the limit or at the last kind."""
+    rnd, base = random.Random(4), 0x0123456789ABCDEF
+    fps = {base ^ rnd.getrandbits(16) << 8 * (i % 7) for i in range(1500)} | {rnd.getrandbits(64) for _ in range(300)}
+    fps |= {f ^ sum(1 << b for b in rnd.sample(range(64), 4)) for f in rnd.sample(sorted(fps), 200)}
+    fps = dict(enumerate(sorted(fps)))
+    df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)), i) for i, f in fps.items()], "fp long, rep long").repartition(3)
+    label = {r.node: r.component for r in H.components(H.links(df, split_over=50, sample=sample)).collect()}
+    assert {i: label.get(i, i) for i in fps} == groups(fps)
+
+
+def test_a_long_list_is_passed_on_or_cut_down():
+    """A list of a million fingerprints with seven common bytes' triples never stays whole in a worker; one of the last kind has few components."""
+    fp = (np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).view(np.int64)
+    key = np.zeros(len(fp), np.int64)
+    cut = [H.pa.RecordBatch.from_arrays([H.pa.array(key[i : i + 50_000]), H.pa.array(fp[i : i + 50_000])], ["key", "fp"]) for i in range(0, len(fp), 50_000)]
+    out = list(H._links(iter(cut), 4, 20_000))
+    assert sum(b.num_rows for b in out) == len(fp)
+    assert max(b.num_rows for b in out) <= 70_000
+    last = list(H._links((H.pa.RecordBatch.from_arrays([H.pa.array(np.full(b.num_rows, -5)), b.column(1)], ["key", "fp"]) for b in cut), 4, 20_000))
+    assert sum(b.num_rows for b in last) == len(fp) - 1  # one component
