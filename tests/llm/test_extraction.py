@@ -1,4 +1,9 @@
+import math
+import time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from telar.llm.extraction import extract, extracted
 
@@ -83,3 +88,121 @@ def test_odd_rows(spark):
     got = sorted(extracted(df).collect(), key=lambda r: (r.page_id or 0))
     assert [r.n_chars for r in got] == [0, 1, 1, len("long text. " * 100_000) - 1]
     assert extracted(df.limit(0)).count() == 0
+
+
+WORDS = st.sampled_from(["a", "word", "and more, here.", "one; two! three?", "a much longer run of words that goes on, and on, and on until it ends at last."])
+TREES = st.recursive(
+    WORDS | st.builds(lambda t: ("p", "", [t]), WORDS),
+    lambda kids: st.tuples(st.sampled_from(["div", "section", "blockquote", "table", "a", "span"]), st.sampled_from(["", "x", "y", "legal"]), st.lists(kids, max_size=5)),
+    max_leaves=30,
+)
+
+
+def written_out(node):
+    if isinstance(node, str):
+        return node
+    tag, cls, kids = node
+    return f"<{tag}{f' class={cls}' if cls else ''}>{''.join(map(written_out, kids))}</{tag}>"
+
+
+def flat(node):
+    """Blocks within inline elements and paragraphs within paragraphs would be closed by the reader: those trees are left out."""
+    if isinstance(node, str):
+        return True
+    tag, _, kids = node
+    return all(flat(k) and (tag not in ("a", "span", "p") or isinstance(k, str) or k[0] in ("a", "span")) for k in kids)
+
+
+def brute(tree):
+    """All pairs of paths, by definition; no page is read."""
+    texts, block = [], 0
+
+    def walk(node, path):
+        nonlocal block
+        if isinstance(node, str):
+            texts.append((path, node, block))
+            return
+        tag, cls, kids = node
+        block += tag not in ("a", "span")
+        for k in kids:
+            walk(k, (*path, (tag, cls)))
+        block += tag not in ("a", "span")
+
+    walk(tree, ())
+    paths = sorted({p for p, _, _ in texts})
+    if not paths:
+        return ""
+    own = {p: [(len(t), sum(c in ".,;!?" for c in t)) for q, t, _ in texts if q == p] for p in paths}
+    # characters next to each other in one element come as one node
+    joined = {p: [] for p in paths}
+    last = None
+    for p, t, b in texts:
+        if last == (p, b):
+            joined[p][-1] += t
+        else:
+            joined[p].append(t)
+        last = (p, b)
+    own = {p: [(len(t), sum(c in ".,;!?" for c in t)) for t in ts] for p, ts in joined.items()}
+    fused = {p: (0.1 if any(c == "legal" for _, c in p) else 1) * sum(a for a, _ in x) / len(x) * (1 + sum(b for _, b in x) / len(x)) for p, x in own.items()}
+
+    def common(p, q):
+        return next((i for i, (a, b) in enumerate(zip(p, q, strict=False)) if a != b), min(len(p), len(q)))
+
+    smooth = {}
+    for p in paths:
+        near = [(q, len(p) + len(q) - 2 * common(p, q)) for q in paths]
+        w = [(q, math.exp(-(d**2) / 2)) for q, d in near if d <= 6]
+        smooth[p] = sum(k * fused[q] for q, k in w) / sum(k for _, k in w)
+    on = [p for p in paths if smooth[p] >= 0.2 * max(smooth.values()) - 1e-12]
+    tops = {p[: next((i for i in range(len(p) - 1, -1, -1) if p[i][0] not in ("a", "span")), 0)] for p in on}
+    tops.add(on[0][: min(common(on[0], q) for q in on)])
+    length = {p: sum(a for a, _ in own[p]) for p in paths}
+    keep = set(on)
+    for t in tops:
+        for p in paths:
+            if p[: len(t)] == t:
+                group = [q for q in paths if q[: len(t) + 1] == p[: len(t) + 1] and (len(p) > len(t) or q == p)]
+                linked = sum(length[q] for q in group if any(tag == "a" for tag, _ in q))
+                if 2 * linked < sum(length[q] for q in group):
+                    keep.add(p)
+    lines = {}
+    for p, t, b in texts:
+        if p in keep:
+            lines.setdefault(b, []).append(t)
+    return "\n".join(x for x in (" ".join("".join(v).split()) for v in lines.values()) if x)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(TREES.filter(flat), max_size=6))
+def test_same_as_brute_force(kids):
+    page = ("body", "", [k if isinstance(k, tuple) else ("div", "", [k]) for k in kids])
+    assert extract(written_out(page)) == brute(page)
+
+
+def test_pages_without_article(spark, sf):
+    """The driver's pages with a neutral element for the article: ratios find the same text. With a neutral advert, most."""
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    plain = [h.replace("<article>", "<div>").replace("</article>", "</div>") for h in pages]
+    assert [extract(h) for h in plain] == [extract(h) for h in pages]
+    assert sum(extract(h.replace('class="ad"', "class=z")) == extract(o) for h, o in zip(plain, pages, strict=True)) > 0.7 * len(pages)
+
+
+def test_names_that_decide_nothing():
+    """Elements of doubtful name stay within the content."""
+    for around in ("<article>{}</article>", "<div class=y>{}</div>"):
+        rest = "<div class='legal'>A law, of 1990.</div><div class='search-results'><p>Found it, at last.</p></div>"
+        assert extract(f"<body>{around.format(f'<p>{TEXT}</p>{rest}<p>{TEXT}</p>')}</body>").split("\n") == [TEXT.strip(), "A law, of 1990.", "Found it, at last.", TEXT.strip()]
+
+
+@pytest.mark.parametrize("tag", ["svg", "noscript", "template", "math", "title", "textarea", "svg class=icon", "iframe src=x"])
+def test_unclosed_elements(tag):
+    """The rest of the page is not lost."""
+    assert extract(f"<body><article><p>Before it, text.</p><{tag}><p>After it, more.</p></article></body>") == "Before it, text.\nAfter it, more."
+
+
+def test_linear_time():
+    """Paths, quotes and depth that would cost the square of the page's length."""
+    began = time.time()
+    for html in ("".join(f"<div id=b{i}><div class=c{i}>text, {i}</div></div>" for i in range(50_000)), '<a "' * 250_000, '<a "><a "' * 100_000, "<div>" * 100_000 + "x", "<!" * 300_000, "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000, "<svg>" * 50_000 + "<p>x", "<title>a" * 50_000, "<main>" * 50_000):
+        extract(html)
+    assert time.time() - began < 60
