@@ -7,14 +7,15 @@ five bytes of longer words, present or not. The machine scores
 
 through a sigmoid, so a pair of terms can count for more, or less, than both
 alone. It learns on the driver from at most ``per_class`` labelled rows of each
-class (chosen by the hash of the identifier), on the ``features`` buckets that
-say most about the label in that sample (likelihood ratio); the others weigh
-nothing. Scoring reads every whole text.
+class (chosen by the hash of the identifier; one text an id), on the ``features``
+buckets that say most about the label in that sample (likelihood ratio) and on
+those of pairs that say far more together than alone; the others weigh nothing.
+Scoring reads every whole text.
 
 Defined cases: null and empty texts have no features and get the score of the
 bias; null ids are scored, not held out; repeated documents get a row each;
 labels that are null or not 0/1 and repeated labels of an id add nothing but
-their first row; with no labelled rows of both classes every score is the base
+their least value, repeated documents of a labelled id their least text; with no labelled rows of both classes every score is the base
 rate (0 without labels). Labels, language, source and id are no inputs of a score.
 """
 
@@ -35,6 +36,9 @@ BITS = 28
 PER_CLASS = 3000
 FEATURES = 256
 FACTORS = 4
+PAIR_TERMS = 2000
+PAIR_GAIN = 60.0
+ENOUGH = 0.95
 THRESHOLD = 0.7
 _MASK = (1 << BITS) - 1
 
@@ -66,11 +70,35 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], features: int = FEATURES, factors: int = FACTORS, steps: int = 200, penalty: float = 1e-4) -> Machine:
+def _surprise(seen: np.ndarray, total: np.ndarray, toxic: int, n: int) -> np.ndarray:
+    """Twice the log likelihood ratio of presence and label: seen of the toxic rows and total of all n have it."""
+    g = np.zeros(np.shape(seen))
+    for cell, row, column in ((seen, total, toxic), (total - seen, total, n - toxic), (toxic - seen, n - total, toxic), (n - toxic - total + seen, n - total, n - toxic)):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g += np.where(cell > 0, 2 * cell * np.log(cell * n / (row * column)), 0)
+    return g
+
+
+def _telling_pairs(x: np.ndarray, y: np.ndarray, alone: np.ndarray, most: int) -> np.ndarray:
+    """Columns of x of the pairs whose presence together says far more about the label than either alone."""
+    toxic, n = int(y.sum()), len(y)
+    together, all_ = x[y > 0].T @ x[y > 0], x.T @ x
+    gain = _surprise(together, all_, toxic, n) - np.maximum(alone[:, None], alone[None, :])
+    gain[(all_ < 5) | np.tri(len(alone), dtype=bool)] = 0
+    best = np.argsort(-gain, axis=None, kind="stable")[:most]
+    i, j = np.unravel_index(best[gain.reshape(-1)[best] > PAIR_GAIN], gain.shape)
+    return np.unique(np.concatenate([i, j]))
+
+
+def fit(rows: list[tuple[np.ndarray, int]], features: int = FEATURES, factors: int = FACTORS, steps: int = 300, penalty: float = 1e-4) -> Machine:
     """rows: (sorted buckets of a text, its label).
 
-    Each toxic row is learnt from once more with three in ten of its features,
-    if one that is nearly always toxic is left, so that one such term suffices.
+    The machine's buckets are those that say most about the label alone, and
+    those of the pairs of the ``PAIR_TERMS`` buckets with most toxic rows that
+    together say far more than alone. Where single terms are toxic in more than
+    ``ENOUGH`` of their rows, each toxic row that has one is learnt from once
+    more with three in ten of its features and one such term at least, so that
+    one suffices; where only pairs tell, no row is.
     """
     y = np.array([r[1] for r in rows], np.float32)
     none = np.zeros(0)
@@ -81,21 +109,27 @@ def fit(rows: list[tuple[np.ndarray, int]], features: int = FEATURES, factors: i
     b, inv = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
     one, all_ = np.bincount(inv, y[at], len(b)), np.bincount(inv, minlength=len(b)).astype(float)
     n1, n = y.sum(), len(y)
-    g = np.zeros(len(b))
-    for seen, total, of in ((one, all_, n1), (all_ - one, all_, n - n1), (n1 - one, n - all_, n1), (n - n1 - all_ + one, n - all_, n - n1)):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g += np.where(seen > 0, 2 * seen * np.log(seen * n / (total * of)), 0)
+
+    def columns(keep: np.ndarray) -> np.ndarray:
+        slot = np.full(len(b), -1)
+        slot[keep] = np.arange(len(keep))
+        x = np.zeros((n, len(keep)), np.float32)
+        own = slot[inv] >= 0
+        x[at[own], slot[inv[own]]] = 1
+        return x
+
+    g = _surprise(one, all_, n1, n)
     g[all_ < 3] = 0
-    keep = np.sort(np.lexsort((b, -g))[:features])
-    keep = keep[g[keep] > 15]
-    slot = np.full(len(b), -1)
-    slot[keep] = np.arange(len(keep))
-    x = np.zeros((n, len(keep)), np.float32)
-    own = slot[inv] >= 0
-    x[at[own], slot[inv[own]]] = 1
+    keep = np.lexsort((b, -g))[:features]
+    alone = keep = keep[g[keep] > 15]
+    if factors:
+        often = np.lexsort((b, -one))[:PAIR_TERMS]
+        keep = np.union1d(keep, often[_telling_pairs(columns(often), y, g[often], features)])
+    keep = np.sort(keep)
+    x = columns(keep)
     rng = np.random.default_rng(7)
-    telling = one[keep] / all_[keep] > 0.95
-    thin = x[y > 0] * (rng.random((int(n1), len(keep))) < 0.3)
+    telling = one[keep] / all_[keep] > ENOUGH
+    thin = x[y > 0] * (rng.random((int(n1), len(keep))) < 0.3) * np.isin(keep, alone)
     thin = thin[thin[:, telling].any(1)].astype(np.float32)
     x, y = np.concatenate([x, thin]), np.concatenate([y, np.ones(len(thin), np.float32)])
     n, n1 = len(y), y.sum()
@@ -131,6 +165,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_co
         return pa.RecordBatch.from_arrays([batch.column("k"), pa.array([np.array(sorted(terms(x)), "<i4").tobytes() for x in utf8(batch, "t")], pa.binary())], ["k", "b"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t")).join(chosen, "k", "left_semi")
+    texts = texts.groupBy("k").agg(F.min("t").alias("t"))  # one text an id
     got = map_batches(texts, run, "k long, b binary").collect()
     return [(np.frombuffer(r.b, "<i4").astype(np.int64), label[r.k]) for r in sorted(got, key=lambda r: (r.k, bytes(r.b)))]
 

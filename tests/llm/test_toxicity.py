@@ -18,6 +18,47 @@ def test_fit_learns_pairs():
     assert max(m.score({1}), m.score({2}), m.score(set())) < 0.5
 
 
+def test_pairs_tell_more_than_additive_weights(docs):
+    """Insults and group mentions put into texts of documents; both together are toxic, several of one kind are not."""
+    rng = np.random.default_rng(3)
+    insults, groups = ([toxicity.terms(w.encode()) for w in ws] for ws in (("fools", "vermin", "dirt", "dregs"), ("bakers", "tailors", "miners", "sailors")))
+    texts = [toxicity.terms((r.text or "").encode()) for r in docs.collect()]
+    rows = []
+    for i in range(2400):
+        a, b = rng.choice([0, 0, 1, 2, 3], 2)
+        words = set(texts[i % len(texts)])
+        for of, n in ((insults, a), (groups, b)):
+            words = words.union(*(of[j] for j in rng.choice(4, n, replace=False)))
+        rows.append((np.array(sorted(words), np.int64), int(a > 0 and b > 0)))
+    held = rows[1600:]
+
+    def right(m):
+        return sum((m.score(set(x.tolist())) >= 0.5) == bool(y) for x, y in held) / len(held)
+
+    additive, machine = right(toxicity.fit(rows[:1600], factors=0)), right(toxicity.fit(rows[:1600]))
+    assert machine > 0.97
+    assert additive < 0.9
+
+
+def test_terms_that_tell_in_pairs_alone():
+    """Terms that say nothing alone (as often toxic as not) become features by their pair."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(2000):
+        a, b = rng.random(2) < 0.5
+        rows.append((np.unique(np.array([1] * int(a) + [2] * int(b) + (100 + rng.integers(0, 400, 8)).tolist(), np.int64)), int(a == b)))
+    m = toxicity.fit(rows, features=64)
+    assert {1, 2} <= set(m.buckets.tolist())
+    assert min(m.score({1, 2}), m.score(set())) > 0.7
+    assert max(m.score({1}), m.score({2})) < 0.3
+
+
+def test_one_text_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    assert len(toxicity.sample(docs, labels)) <= 3
+
+
 def test_score_is_the_formula():
     rng = np.random.default_rng(2)
     m = toxicity.Machine(-0.3, np.array([3, 5, 9]), rng.normal(size=3), rng.normal(size=(3, 4)))
