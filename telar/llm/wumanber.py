@@ -7,9 +7,10 @@ on, suffix-block buckets select windows (split by their first block), and the
 words are compared to confirm an occurrence. Windows of each length have tables
 of their own, so one short test item doesn't shorten the shifts of the others.
 
-The windows go to the executors in parts of at most ``part_words`` words; every
-part sees all documents, and the hit spans of the parts are merged, so any
-number of items gives whole results in bounded memory.
+The windows go to the executors in parts of at most ``part_words`` words and item
+identifiers; every part sees all documents, and what the parts find is merged, so
+any number of items, and of items with one window, gives whole results in bounded
+memory (a document's own list of items is as long as its items are many).
 
 Defined cases: null and empty texts have no words; null ids are kept (items
 with a null id are searched, and listed as nothing); repeated documents are
@@ -99,57 +100,82 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def window_parts(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS):
-    """The distinct windows with their items, in parts of at most so many words each.
+    """The distinct windows with their items, in parts of at most so many words and item ids each, but for a window.
 
     Items stream through the driver one by one; only one part is held at a time.
+    A long item, or a window of many items, goes on in the next part.
     """
-    part: dict[tuple[bytes, ...], list[int]] = {}
+    part: dict[tuple[bytes, ...], set[int]] = {}
     size = 0
     for row in benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
         ws = words((row.t or "").encode())
         for at in range(max(1, len(ws) - window + 1) if ws else 0):
             w = tuple(ws[at : at + window])
-            items = part.setdefault(w, [])
-            size += len(w) * (not items)
-            if row.i is not None and row.i not in items:
-                items.append(row.i)
-        if size >= part_words:
-            yield list(part.items())
-            part, size = {}, 0
+            if w not in part:
+                part[w] = set()
+                size += len(w)
+            if row.i is not None and row.i not in part[w]:
+                part[w].add(row.i)
+                size += 1
+            if size >= part_words:
+                yield [(w, sorted(items)) for w, items in part.items()]
+                part, size = {}, 0
     if part:
-        yield list(part.items())
+        yield [(w, sorted(items)) for w, items in part.items()]
+
+
+FOUND = "__spans binary, __items array<long>"
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``__n_words`` int, ``__spans`` binary (pairs of little-endian uint32) and ``__items`` array<long>."""
+    """The rows of ``docs`` with ``__n_words`` int, ``__spans`` binary (pairs of little-endian uint32) and ``__items`` array<long>.
+
+    With one part, it is one pass over the rows. Each further part reads the
+    texts again and writes spans and items of the texts it finds, by two hashes
+    of the text; these are merged and joined to the rows.
+    """
     spark = docs.sparkSession
     out = docs.withColumns({"__n_words": F.lit(-1), "__spans": F.lit(b""), "__items": F.array().cast("array<bigint>")})
-    parts = 0
+    key = [F.xxhash64(text_col).alias("__h"), F.hash(text_col).alias("__g")]
+    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t"), F.lit(b"").alias("__spans"), F.array().cast("array<bigint>").alias("__items"))
+    found, first = None, None
     for part in window_parts(benchmark, item_col, item_text, window, part_words):
-        if parts:  # one set of windows at a time in a worker
-            out = written(out, "wu-manber")
-        out = _search(out, spark.sparkContext.broadcast(part), text_col)
-        parts += 1
-    return out if parts else _search(out, spark.sparkContext.broadcast([]), text_col)
+        if first is None:
+            first = part
+            continue
+        for p in [first, part] if found is None else [part]:  # one set of windows at a time in a worker
+            some = _search(texts, spark.sparkContext.broadcast(p), "t").filter(F.length("__spans") > 0)
+            some = written(some.select(F.xxhash64("t").alias("__h"), F.hash("t").alias("__g"), "__spans", "__items").dropDuplicates(["__h", "__g"]), "wu-manber")
+            found = some if found is None else found.unionByName(some)
+    if found is None:
+        return _search(out, spark.sparkContext.broadcast(first or []), text_col)
+
+    def union(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [merged([x for s in own for x in struct.iter_unpack("<II", s)]) for own in batch.column("__spans").to_pylist()]
+        return pa.RecordBatch.from_pydict({"__h": batch.column("__h"), "__g": batch.column("__g"), "__spans": pa.array([struct.pack(f"<{2 * len(s)}I", *(x for pair in s for x in pair)) for s in spans], pa.binary()), "__items": batch.column("__items")})
+
+    by_text = found.groupBy("__h", "__g").agg(F.collect_list("__spans").alias("__spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
+    by_text = map_batches(by_text, union, f"__h long, __g int, {FOUND}").withColumnsRenamed({"__spans": "__s", "__items": "__i"})
+    joined = _search(out, spark.sparkContext.broadcast([]), text_col).withColumns({"__h": key[0], "__g": key[1]}).join(by_text, ["__h", "__g"], "left")
+    return joined.select(*docs.columns, "__n_words", F.coalesce("__s", "__spans").alias("__spans"), F.coalesce("__i", "__items").alias("__items"))
 
 
 def _search(docs: DataFrame, part, text_col: str) -> DataFrame:
+    """The rows with ``__spans`` and ``__items`` of the part's windows, and ``__n_words`` where there is such a column."""
     own: dict = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if "m" not in own:
             own["m"] = Matcher(part.value)
         n, spans, items = [], [], []
-        for text, s0, i0 in zip(utf8(batch, text_col), batch.column("__spans").to_pylist(), batch.column("__items").to_pylist(), strict=True):
+        for text in utf8(batch, text_col):
             ws = words(text)
             s, i = own["m"](ws)
-            if s0:
-                s = merged(s + list(struct.iter_unpack("<II", s0)))
             n.append(len(ws))
             spans.append(struct.pack(f"<{2 * len(s)}I", *(x for pair in s for x in pair)))
-            items.append(sorted(i.union(i0)) if i0 else sorted(i))
-        cols = {k: batch.column(k) for k in batch.schema.names} | {"__n_words": pa.array(n, pa.int32()), "__spans": pa.array(spans, pa.binary()), "__items": pa.array(items, pa.list_(pa.int64()))}
-        return pa.RecordBatch.from_pydict(cols)
+            items.append(sorted(i))
+        made = {"__n_words": pa.array(n, pa.int32()), "__spans": pa.array(spans, pa.binary()), "__items": pa.array(items, pa.list_(pa.int64()))}
+        return pa.RecordBatch.from_pydict({k: made[k] if k in made else batch.column(k) for k in batch.schema.names})
 
     return map_batches(docs, run, docs.schema)
 
@@ -171,6 +197,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with their own columns."""
-    names = {c: free_name(docs, c) if c in ("__n_words", "__spans", "__items") else c for c in docs.columns}
+    names = {c: free_name(docs, c) if c in ("__n_words", "__spans", "__items", "__h", "__g", "__s", "__i") else c for c in docs.columns}
     found = find(docs.withColumnsRenamed(names), benchmark, names[text_col], **how).filter(F.length("__spans") == 0)
     return found.select(*(F.col(f"`{kept}`").alias(c) for c, kept in names.items()))

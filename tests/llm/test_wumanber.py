@@ -66,3 +66,18 @@ def test_odd_rows(spark, odd, none):
     kept = W.clean(odd, bench)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect() if r.doc_id) == [2, 3, 6, 7]
+
+
+def test_parts_are_bounded(spark):
+    """A window of very many items and one very long item are cut into parts; the result is the same."""
+    hot = " ".join(f"w{i}" for i in range(10))
+    items = [(i, hot) for i in range(250)] + [(1000, " ".join(f"v{i}" for i in range(30)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    parts = list(W.window_parts(bench, part_words=100))
+    assert len(parts) > 4
+    assert max(sum(len(w) + len(i) for w, i in p) for p in parts) <= 120
+    docs = spark.createDataFrame([(1, f"x {hot} y", 0), (1, f"x {hot} y", 0), (None, "v5 v6 v7 v8 v9 v10 v11 v12 v13 v14 v15", 0), (2, None, 0), (3, "clean Text, é9", 0)], "doc_id long, text string, __h int")
+    want = sorted(((r.doc_id, *brute(r.text, items)) for r in docs.collect()), key=repr)
+    for size in (100, W.PART_WORDS):
+        assert sorted((tuple(r) for r in W.report(docs, bench, part_words=size).collect()), key=repr) == want
+        assert W.clean(docs, bench, part_words=size).columns == docs.columns
