@@ -16,8 +16,9 @@ first) or byte 1 and the identifier as big-endian with the sign flipped, so
 that byte order is numeric order.
 
 Defined cases: null text is empty and stored as the end id alone; null and
-repeated identifiers are stored, repeated ones in an unspecified order among
-themselves; an empty table gives no shards. Columns other than the two named
+repeated identifiers are stored, repeated ones in the order of Spark's xxhash64 of
+their texts, by which an identifier of many rows is split over shards (rows equal
+in both stand together); an empty table gives no shards. Columns other than the two named
 ones are never read.
 """
 
@@ -272,8 +273,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col:
     """
     folder = folder or fresh_path(docs.sparkSession, "sst")
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
-    rows = rows.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first())
-    return written(bounded(rows).mapInArrow(partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id), MANIFEST), "sst-manifest")
+    order = [F.col("k").asc_nulls_first(), F.col("h").asc()]
+    rows = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(bounded(rows.select("k", "t")).mapInArrow(partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id), MANIFEST), "sst-manifest")
 
 
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

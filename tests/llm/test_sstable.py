@@ -87,3 +87,18 @@ def test_odd_rows(odd, none):
     assert sorted(r.start for r in got) == sorted(sum(x.n_tokens for x in got if x.start < r.start) for r in got)
     assert {r.n_tokens for r in got if r.doc_id in (2, 3)} == {1}
     assert S.read_shards(S.write_shards(none, PATH)).count() == 0
+
+
+def test_repeated_identifiers(spark):
+    """One identifier with half of the rows: it is split over shards, and two runs give the same starts."""
+    rows = [(7, f"text {i} " * (i % 5 + 1)) for i in range(400)] + [(None, f"no id {i}") for i in range(200)] + [(i, f"own {i}") for i in range(300)]
+    a = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    b = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    first, second = (S.write_shards(x, PATH) for x in (a, b))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted(map(tuple, S.read_shards(first).collect()), key=repr)
+    assert got == sorted(map(tuple, S.read_shards(second).collect()), key=repr)
+    assert max(r.docs for r in first.collect()) < 400
+    starts = sorted((r[1], r[2]) for r in got)
+    assert [s for s, _ in starts] == [sum(n for _, n in starts[:i]) for i in range(len(starts))]
