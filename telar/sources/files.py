@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CSV_BYTES = 100 << 20
 CSV_ROWS = 1000
 
 
@@ -53,12 +52,11 @@ def attachments(payload: Column) -> Column:
     return F.from_json(F.when(F.trim(payload).startswith("["), payload).otherwise(inner), kind)
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, key: str = "id", most_bytes: int = CSV_BYTES) -> bool:
-    """CSV with header and byte-order mark. Above the size (of all text), the newest 1000 rows; returns whether all rows were written."""
+def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, key: str = "id", most_bytes: int = 0) -> bool:
+    """CSV with header and byte-order mark, all rows. Only if ``most_bytes`` is given, the newest 1000 rows where all text is larger; returns whether all rows were written."""
     columns = list(columns or df.columns)
     flat = df.select(*(F.to_json(c).alias(c) if df.schema[c].dataType.typeName() in ("array", "struct", "map") else F.col(c).cast("string").alias(c) for c in columns))
-    size = flat.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0)))).first()[0] or 0
-    whole = size <= most_bytes
+    whole = not most_bytes or (flat.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0)))).first()[0] or 0) <= most_bytes
     rows = flat if whole else df.orderBy(F.desc(key)).limit(CSV_ROWS).select(*(F.col(c).cast("string").alias(c) for c in columns))
     first, *rest = columns
     rows.select(*columns).coalesce(1).write.mode("overwrite").option("header", False).csv(path) if not columns else rows.withColumnRenamed(first, "﻿" + first).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -4,8 +4,11 @@
 ``spark.read.format("paged").option("base", ...)``. The transport is a class
 named by the option ``transport`` (module:Class) so that tests, captured pages
 and browsers can stand in; the default reads JSON over HTTP.
-Options: ``size`` (rows a page), ``max_pages``, ``known_id`` (stop at the first
-page with an id at or below it), ``tries``, and any ``param.NAME`` pushed to the API.
+Options: ``size`` (rows a page), ``max_pages`` (no limit unless given), ``known_id``
+(stop at the first page with an id at or below it), ``tries``, ``fallback`` (a base
+used once the first one refuses with 401 or 403), and any ``param.NAME`` pushed to
+the API. Records that are no objects or have no integer id come through with a null
+id, for validation to turn down.
 """
 
 from __future__ import annotations
@@ -26,21 +29,29 @@ class HttpTransport:
     """fetch(page, size, params) -> {"pageable": {...}, "data": [...]}."""
 
     def __init__(self, options: dict):
-        self.base, self.tries = options["base"], int(options.get("tries", 3))
+        self.base, self.tries, self.fallback = options["base"], int(options.get("tries", 3)), options.get("fallback")
 
     def fetch(self, page: int, size: int, params: dict) -> dict:
-        url = f"{self.base}?{urlencode({'page': page, 'size': size} | params)}"
         for attempt in range(self.tries):
             try:
-                with urllib.request.urlopen(url, timeout=60) as r:
+                with urllib.request.urlopen(f"{self.base}?{urlencode({'page': page, 'size': size} | params)}", timeout=60) as r:
                     return json.load(r)
-            except OSError:
+            except OSError as e:
+                if getattr(e, "code", None) in (401, 403) and self.fallback:
+                    self.base, self.fallback = self.fallback, None
+                    return self.fetch(page, size, params)
                 if attempt + 1 == self.tries:
                     raise
                 time.sleep(2**attempt)
         return {}
 
 
+def record_id(record) -> int | None:
+    """The integer id of a record, if it has one."""
+    key = record.get("idContrato") if isinstance(record, dict) else None
+    return key if isinstance(key, int) and not isinstance(key, bool) else None
+
+
 def transport(options: dict):
     module, _, name = options.get("transport", f"{__name__}:HttpTransport").partition(":")
     return getattr(importlib.import_module(module), name)(options)
@@ -58,16 +69,20 @@ class PagedReader(DataSourceReader):
         self.params = {k.removeprefix("param."): v for k, v in self.options.items() if k.startswith("param.")}
 
     def partitions(self) -> list[Pages]:
-        """The first page tells how many there are. With ``known_id`` (ids fall from page to page), pages are cut where it is met."""
-        source, most = transport(self.options), int(self.options.get("max_pages", 500))
+        """The first page tells how many there are. With ``known_id`` (ids fall from page to page) the last page needed is found by halving."""
+        source, most = transport(self.options), int(self.options.get("max_pages", 0))
         head = source.fetch(1, self.size, self.params)
-        pages = min(most, int(head.get("pageable", {}).get("totalPages") or 1))
+        pages = int(head.get("pageable", {}).get("totalPages") or 1)
+        pages = min(most, pages) if most else pages
         known = int(self.options.get("known_id", 0))
         if known:
-            page = 1
-            while page < pages and (rows := source.fetch(page, self.size, self.params).get("data")) and min(int(r.get("idContrato") or known + 1) for r in rows) > known:
-                page += 1
-            pages = page
+            first, last = 1, pages  # the first page with an id at or below the known one, or the last
+            while first < last:
+                middle = (first + last) // 2
+                rows = head.get("data") if middle == 1 else source.fetch(middle, self.size, self.params).get("data")
+                ids = [k for k in map(record_id, rows or []) if k is not None]
+                first, last = (first, middle) if not rows or ids and min(ids) <= known else (middle + 1, last)
+            pages = first
         step = max(1, pages // int(self.options.get("partitions", 32)) or 1)
         return [Pages(a, min(pages, a + step - 1)) for a in range(1, pages + 1, step)]
 
@@ -76,7 +91,7 @@ class PagedReader(DataSourceReader):
         for page in range(partition.first, partition.last + 1):
             rows = source.fetch(page, self.size, self.params).get("data") or []
             for r in rows:
-                key = r.get("idContrato") if isinstance(r, dict) and isinstance(r.get("idContrato"), int) else None
+                key = record_id(r)
                 if key is None or key > known:
                     yield page, key, json.dumps(r, ensure_ascii=False)
             if not rows:

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from telar.sources import discovery, files, lookup
-from telar.sources.rest import PagedSource
+from telar.sources.rest import HttpTransport, PagedReader, PagedSource
 from telar.streaming import events
 
 
@@ -26,6 +26,63 @@ def test_paged_source(spark):
     assert read.option("known_id", 0).option("param.least", 25).load().count() == 25
 
 
+class Whole:
+    """763 pages; some records are no objects or have no integer id. Counts what the driver asks for."""
+
+    asked: list[int] = []
+
+    def __init__(self, options):
+        pass
+
+    def fetch(self, page, size, params):
+        self.asked.append(page)
+        ids = range(763 * 3 - (page - 1) * 3, 763 * 3 - page * 3, -1)
+        return {"pageable": {"totalPages": 763}, "data": [{"idContrato": i} for i in ids] + ([{"idContrato": "abc"}, "x", {"idContrato": True}] if page % 100 == 0 else [])}
+
+
+def test_full_ingestion_reads_every_page(spark):
+    """763 pages, as many as a full run of the source has, and no limit unless one is given."""
+    spark.dataSource.register(PagedSource)
+    read = spark.read.format("paged").option("transport", "tests.test_sources:Whole").option("size", 3)
+    rows = read.load()
+    assert rows.select("page").distinct().count() == 763
+    assert rows.filter("id IS NOT NULL").count() == 763 * 3
+    assert rows.filter("id IS NULL").count() == 3 * 7
+    assert read.option("max_pages", 500).load().select("page").distinct().count() == 500
+
+
+def test_known_id_is_found_by_halving():
+    reader = PagedReader({"transport": "tests.test_sources:Whole", "size": 3, "known_id": 300})
+    Whole.asked.clear()
+    assert max(p.last for p in reader.partitions()) == 763 - 99
+    assert len(Whole.asked) < 15
+
+
+def test_fallback_when_refused(monkeypatch):
+    import io
+    import urllib.error
+
+    seen = []
+
+    def urlopen(url, timeout):
+        seen.append(url.split("?")[0])
+        if url.startswith("http://first"):
+            raise urllib.error.HTTPError(url, 403, "no", None, None)
+        return io.BytesIO(b'{"data": [1]}')
+
+    monkeypatch.setattr("urllib.request.urlopen", urlopen)
+    t = HttpTransport({"base": "http://first", "fallback": "http://second"})
+    assert t.fetch(1, 10, {}) == {"data": [1]}
+    assert t.fetch(2, 10, {}) == {"data": [1]}
+    assert seen == ["http://first", "http://second", "http://second"]
+
+
+def test_csv_is_whole(spark, tmp_path):
+    df = spark.range(5000).withColumn("t", F.lit("x" * 100))
+    assert files.write_csv(df, str(tmp_path / "all"))
+    assert len(next((tmp_path / "all").glob("*.csv")).read_text().splitlines()) == 5001
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("\n".join(json.dumps(x) for x in [{"id": 1, "v": "a"}, {"id": 2, "v": "b"}, {"id": 1, "v": "c"}]) + "\nbroken\n")
     got = files.read_sidecar(spark, str(tmp_path / "a.jsonl"), "id long, v string").orderBy("id").collect()
