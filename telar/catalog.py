@@ -510,19 +510,6 @@ def chunk_body(spark, sf_dir):
     return d.select("doc_id", F.md5(F.when(F.col("text").rlike(r"^\s"), F.col("text")).otherwise(T.body(headed))).alias("body"))
 
 
-@query()
-def strip_boilerplate(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    text = F.concat(F.lit("--- pagina 1 ---\nMINISTERIO\nhttps://x.example/\n\n\n"), F.col("text"))
-    return d.select("doc_id", F.md5(T.without_letterhead(text)).alias("digest"))
-
-
-@query()
-def contract_chunks(spark, sf_dir):
-    c = contracts(spark, sf_dir).withColumns({"nom_area_usuaria": F.lit("area"), "items_json": F.from_json(F.lit('[{"cod_cubso":"1","nom_cubso":"x","cantidad":2.0}]'), f"array<{'struct<cod_cubso: string, nom_cubso: string, descripcion: string, cantidad: double, unidad: string, distrito: string>'}>")})
-    return chunking.contract_chunks(c).select("contrato_id", "chunk_index", "tipo", F.md5("texto").alias("digest"))
-
-
 # Streams (an extension)
 
 
@@ -533,3 +520,6 @@ def daily_event_windows(spark, sf_dir):
 
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return windowed(e, "1 day", "event_type").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+from telar import catalog_more as _more  # noqa: E402, F401  # registers its queries here

@@ -181,15 +181,15 @@ def page_kind(pages: Column, scanned: Column) -> Column:
     return F.when(F.coalesce(scanned, F.lit(0)) <= 0, "nativo_puro").when((pages > 0) & (scanned >= pages), "imagen_total").otherwise("mixto")
 
 
-def page_mark(page: Column) -> Column:
-    return F.concat(F.lit("--- pagina "), page.cast("string"), F.lit(" ---"))
+def page_mark(page: Column, note: str = "") -> Column:
+    return F.concat(F.lit("--- pagina "), page.cast("string"), F.lit(f" ({note}) ---" if note else " ---"))
 
 
-def append_page(text: Column, page: Column, more: Column) -> Column:
-    """Append a page's text under its mark, once."""
-    t = F.coalesce(text, F.lit(""))
-    added = F.concat(page_mark(page), F.lit("\n"), strip(more))
-    return F.when(t.contains(page_mark(page)), t).when(strip(t) == "", added).otherwise(F.concat(F.rtrim(t), F.lit("\n\n"), added))
+def append_page(text: Column, page: Column, more: Column, note: str = "") -> Column:
+    """Append a page's text under its mark, once; ``note`` (``ocr`` for recognised text) is part of the mark."""
+    t, mark = strip(F.coalesce(text, F.lit(""))), page_mark(page, note)
+    added = strip(F.concat(mark, F.lit("\n"), strip(F.coalesce(more, F.lit("")))))
+    return F.when(t.contains(mark), t).when(t == "", added).otherwise(F.concat(t, F.lit("\n\n"), added))
 
 
 def cache_key(key: Column, digest: Column, query: Column) -> Column:
