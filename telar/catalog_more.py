@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.catalog import AS_OF, CONTRACTS_SQL, NOW, _with, contracts, query, table
+from telar.functions import spanish
 from telar.functions import text as T
 from telar.functions import time as D
 from telar.functions import vector as V
@@ -499,3 +500,87 @@ def context_of_contracts(spark, sf_dir):
 def found_contract(spark, sf_dir):
     c = contracts(spark, sf_dir)
     return search.find_contract(c, number="n-3").select("id").unionByName(search.find_contract(c, key=5).select("id"))
+
+
+# Spanish full text
+
+_TOKENS = "SELECT {id} AS id, list_filter(string_split(regexp_replace(lower({text}), '[^\\pL\\pN]+', ' ', 'g'), ' '), lambda w: w <> '') AS ws FROM {table}"
+_STOP = "(" + ", ".join(f"'{w}'" for w in spanish.STOP) + ")"
+
+
+@query("WITH d AS (" + _TOKENS.format(id="doc_id", text="text", table="documents") + "), v AS (SELECT DISTINCT unnest(ws) AS w FROM d) " + spanish.stem_sql("v"))
+def spanish_stems(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select(F.explode(search.spanish_words(F.col("text"))).alias("w")).distinct()
+    return spanish.stemmed(words, "w")
+
+
+def _described(spark, sf_dir):
+    """Contracts with the phrases as descriptions."""
+    c = contracts(spark, sf_dir)
+    p, n = F.array(*map(F.lit, _PHRASES)), len(_PHRASES)
+    at = lambda i: F.element_at(p, (i % n + 1).cast("int"))
+    return c.withColumn("descripcion", F.concat(at(F.col("id")), F.lit(" para las "), at(F.floor(F.col("id") / 32)), F.lit(" de "), F.col("entidad"), F.when(F.col("id") % 6 == 0, F.concat(F.lit(" y "), at(F.col("id")))).otherwise("")))
+
+
+_DESCRIBED = f"""c AS ({CONTRACTS_SQL}), g AS (SELECT c.* REPLACE (p[1 + id % {len(_PHRASES)}] || ' para las ' || p[1 + (id // 32) % {len(_PHRASES)}] || ' de ' || entidad || CASE WHEN id % 6 = 0 THEN ' y ' || p[1 + id % {len(_PHRASES)}] ELSE '' END AS descripcion) FROM c, (SELECT {_PHRASES!r} AS p)),
+    k AS ({_TOKENS.format(id="id", text="concat_ws(' ', coalesce(descripcion, ''), coalesce(entidad, ''), coalesce(descripcion_contrato, ''), coalesce(objeto, ''))", table="g")}),
+    u AS (SELECT id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS place FROM k), v AS (SELECT DISTINCT w FROM u WHERE w NOT IN {_STOP}), z AS ({spanish.stem_sql("v")}), lex AS (SELECT DISTINCT stem, id, place FROM u JOIN z USING (w))"""
+
+
+def _rank_sql(terms: str) -> str:
+    """hits (term, id, rank) of a table terms (term, stem) in SQL."""
+    return f"""t AS ({terms}), n AS (SELECT term, count(*) AS n FROM t GROUP BY 1), f AS (SELECT term, id, n FROM t JOIN (SELECT DISTINCT stem, id FROM lex) USING (stem) JOIN n USING (term) GROUP BY ALL HAVING count(*) = n),
+    o AS (SELECT term, id, stem, place, row_number() OVER (PARTITION BY term, id, stem ORDER BY place) AS j FROM f JOIN t USING (term) JOIN lex USING (stem, id)),
+    one AS (SELECT term, id, sum(0.1::DOUBLE / (j * j)) / 1.64493406685 AS rank FROM o JOIN f USING (term, id) WHERE n = 1 GROUP BY 1, 2),
+    two AS (SELECT a.term, a.id, 1 - product(CASE WHEN a.place = b.place THEN 1 ELSE 1 - 0.1 * sqrt(CASE WHEN abs(a.place - b.place) > 100 THEN 1e-30 ELSE 1 / (1.005 + 0.05 * exp(abs(a.place - b.place) / 1.5 - 2)) END) END) AS rank FROM o a JOIN o b ON a.term = b.term AND a.id = b.id AND a.stem < b.stem GROUP BY 1, 2),
+    hits AS (SELECT * FROM one UNION ALL SELECT term, id, CASE WHEN rank > 0 THEN rank ELSE 1e-20 END FROM two)"""
+
+
+@query(f"WITH {_DESCRIBED}, {_rank_sql("SELECT 'x' AS term, unnest(['servici', 'sistem']) AS stem")} SELECT id, round(rank, 6) AS rank FROM hits JOIN g USING (id) WHERE estado = 'Vigente' AND entidad ILIKE '%0%' ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id LIMIT 200")
+def spanish_record_search(spark, sf_dir):
+    found = search.search_records(_described(spark, sf_dir), "los Servicios de SISTEMAS", {"estado": "Vigente", "objeto": None}, {"entidad": "0"}, limit=500)
+    return found.select("id", F.round("rank", 6).alias("rank"))
+
+
+_TERMS = {"servidores": "el mantenimiento de sistemas", "digital": "firmas digitales", "big": "big data", "web": "sistema web", "agua": "aguas"}
+_TERM_STEMS = {"servidores": ["manten", "sistem"], "digital": ["firm", "digital"], "big": ["big", "dat"], "web": ["sistem", "web"], "agua": ["agu"]}
+
+
+def _terms(spark):
+    rows = [(k, v) for k, v in _TERMS.items()]
+    return spark.createDataFrame(rows, "query_id string, term string")
+
+
+@query(f"WITH {_DESCRIBED}, {_rank_sql('SELECT * FROM (VALUES ' + ', '.join(f"('{k}', '{s}')" for k, ss in _TERM_STEMS.items() for s in ss) + ') AS x(term, stem)')} SELECT term AS query_id, id, round(rank, 6) AS rank, CAST(row_number() OVER (PARTITION BY term ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id) AS INT) AS pos FROM hits JOIN g USING (id) WHERE estado = 'Vigente' QUALIFY pos <= 20")
+def spanish_search_many(spark, sf_dir):
+    c = _described(spark, sf_dir)
+    index = search.lexemes(c, "id", ("descripcion", "entidad", "descripcion_contrato", "objeto"))
+    hits = search.spanish_hits(index, _terms(spark), 20, [F.col("fecha_publica").desc_nulls_last()], c.filter("estado = 'Vigente'").select("id", "fecha_publica"))
+    return hits.join(_terms(spark), "term").select("query_id", "id", F.round("rank", 6).alias("rank"), "pos")
+
+
+_HYBRID_TERMS = "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q, (['servidores', 'digital', 'big', 'web', 'agua'])[1 + (vec_id // 100) % 5] AS term FROM embeddings WHERE vec_id % 100 = 0"
+
+
+@query(
+    f"""WITH {_DESCRIBED}, {_rank_sql('SELECT * FROM (VALUES ' + ', '.join(f"('{k}', '{s}')" for k, ss in _TERM_STEMS.items() for s in ss) + ') AS x(term, stem)')},
+    q AS ({_HYBRID_TERMS}), oids AS (SELECT id, estado, row_number() OVER (ORDER BY id) - 1 AS r FROM g), m AS (SELECT count(*) AS m FROM g), ch AS (SELECT vec_id, id AS contrato_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings, m JOIN oids ON r = (vec_id // 3) % m WHERE estado = 'Vigente'),
+    near AS (SELECT query_id, contrato_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY list_cosine_similarity(v, q) DESC, vec_id) AS rank FROM ch, q WHERE list_cosine_similarity(v, q) > -0.5 QUALIFY rank <= 20),
+    fa AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY min(rank)) AS pa FROM near GROUP BY 1, 2),
+    fb AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id) AS pb FROM q JOIN hits USING (term) JOIN g USING (id) WHERE estado = 'Vigente' QUALIFY pb <= 20)
+    SELECT query_id, id, round_even(coalesce(1.0::DOUBLE / (60 + pa), 0) + coalesce(1.0::DOUBLE / (60 + pb), 0), 6) AS rrf, CAST(row_number() OVER (PARTITION BY query_id ORDER BY coalesce(1.0::DOUBLE / (60 + pa), 0) + coalesce(1.0::DOUBLE / (60 + pb), 0) DESC, pa NULLS LAST, pb NULLS LAST, id) AS INT) AS place FROM fa FULL JOIN fb USING (query_id, id) QUALIFY place <= 10"""
+)
+def hybrid_records(spark, sf_dir):
+    """Twenty chunks and twenty records by all words of a term, the first hit of each record, fused."""
+    from pyspark.sql import Window
+
+    from telar.plans.hybrid import hybrid_records as plan
+
+    c, e = _described(spark, sf_dir), table(spark, sf_dir, "embeddings")
+    m = c.count()
+    rank = c.select("id", (F.row_number().over(Window.orderBy("id")) - 1).cast("long").alias("r"))  # which record a vector belongs to
+    chunks = e.withColumn("r", F.floor(F.col("vec_id") / 3) % m).join(rank.withColumnRenamed("id", "contrato_id"), "r").select(F.col("vec_id").alias("id"), "contrato_id", F.col("embedding").alias("embedding_v2"))
+    names = F.array(*map(F.lit, _TERMS.values()))
+    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.element_at(names, (F.floor(F.col("vec_id") / 100) % len(_TERMS) + 1).cast("int")).alias("term"))
+    index = search.lexemes(c, "id", ("descripcion", "entidad", "descripcion_contrato", "objeto"))
+    return plan(chunks, c, index, q, min_similarity=-0.5)
