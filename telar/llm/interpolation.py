@@ -283,14 +283,16 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
     rows = rows.select("k", "t", F.when(fold == 0, HELD_OUT).when(fold == 1, DELETED).otherwise(MAIN).alias("kind"))
     blocks = written(bounded(rows).mapInArrow(partial(_blocks, block_bytes=block_bytes), BLOCKS), "lm-blocks")
-    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
-    asked = bounded(blocks).mapInArrow(partial(_ask, ranges=max(1, -(-tokens // range_tokens))), BLOCKS)
-    answers = written(asked.groupBy("part").applyInArrow(_answer, BLOCKS), "lm-answers")
+    tokens, n_blocks = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count(F.lit(1))).first()
+    ranges = max(1, -(-tokens // range_tokens))
+    asked = bounded(blocks).mapInArrow(partial(_ask, ranges=ranges), BLOCKS)
+    # As many partitions as there are ranges, then blocks: a task's share does not grow with the corpus.
+    answers = written(asked.repartition(ranges, "part").groupBy("part").applyInArrow(_answer, BLOCKS), "lm-answers")
     sums = {r.block: (r.n, r.v) for r in answers.filter("block < 0").groupBy("block").agg(F.sum("part").alias("n"), F.sum("tokens").alias("v")).collect()}
     (n, v), (main_n, main_v) = sums.get(-1, (0, 0)), sums.get(-2, (0, 0))
     held = blocks.filter(F.col("kind") == DELETED)
     held = held.unionByName(answers.filter("block >= 0 AND kind = 0").join(held.select("block"), "block", "left_semi"))
     cells = held.groupBy("block").applyInArrow(lambda g: _histogram(g, main_n), "b long, q2 long, q1 long, n long").groupBy("b", "q2", "q1").agg(F.sum("n").alias("n")).orderBy("b", "q2", "q1").collect()
     weights = learn(np.array([tuple(r) for r in cells], np.int64).reshape(-1, 4), main_v)
-    both = blocks.unionByName(answers.filter("block >= 0"))
+    both = blocks.unionByName(answers.filter("block >= 0")).repartition(max(1, n_blocks // 2), "block")
     return both.groupBy("block").applyInArrow(lambda g: _score(g, n, v, weights), SCORES)
