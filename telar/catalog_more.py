@@ -6,6 +6,8 @@ tables lack are made from their keys in both languages.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -584,3 +586,162 @@ def hybrid_records(spark, sf_dir):
     q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.element_at(names, (F.floor(F.col("vec_id") / 100) % len(_TERMS) + 1).cast("int")).alias("term"))
     index = search.lexemes(c, "id", ("descripcion", "entidad", "descripcion_contrato", "objeto"))
     return plan(chunks, c, index, q, min_similarity=-0.5)
+
+
+# Sources and files
+
+
+class Numbered:
+    """A paged source of as many records as the option ``param.rows`` says, ids falling to 1."""
+
+    def __init__(self, options: dict):
+        self.rows = int(options["param.rows"])
+
+    def fetch(self, page: int, size: int, params: dict) -> dict:
+        first = self.rows - (page - 1) * size
+        return {"pageable": {"totalPages": -(-self.rows // size)}, "data": [{"idContrato": i} for i in range(first, max(0, first - size), -1)]}
+
+
+def _folder(spark) -> str:
+    """The cluster's shared folder; in local mode one of our own where there is none."""
+    import tempfile
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    return f"{shared.rstrip('/')}/telar-files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="telar-files-")
+
+
+@query("SELECT i AS id, CAST((n - i) // 10 + 1 AS INT) AS page, '{\"idContrato\": ' || i || '}' AS payload FROM (SELECT unnest(range(41, n + 1)) AS i, n FROM (SELECT count(*) AS n FROM customer))")
+def paged_records(spark, sf_dir):
+    from telar.sources.rest import PagedSource
+
+    spark.dataSource.register(PagedSource)
+    n = table(spark, sf_dir, "customer").count()
+    return spark.read.format("paged").option("transport", "telar.catalog_more:Numbered").option("size", 10).option("param.rows", n).option("known_id", 40).load()
+
+
+def _detail(key: int) -> dict | None:
+    if key % 7 == 0:
+        raise ValueError("refused")
+    return None if key % 5 == 0 else {"estado": f"s{key % 3}", "more": 1}
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 5 <> 0 THEN 's' || c_custkey % 3 END AS estado, CASE WHEN c_custkey % 7 = 0 THEN 'ValueError: refused' END AS error FROM customer")
+def looked_up(spark, sf_dir):
+    from telar.sources.lookup import lookup
+
+    got = lookup(table(spark, sf_dir, "customer"), "c_custkey", _detail, "estado string", tries=2)
+    return got.select("c_custkey", "payload.estado", "error")
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderkey END AS file_id, CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE CASE WHEN o_orderkey % 3 = 1 THEN '.data' ELSE '' END || '[0].nombre=anexo ' || o_orderkey END AS hints FROM orders")
+def attachment_lists(spark, sf_dir):
+    from telar.sources.files import attachments
+    from telar.sources.lookup import json_hints
+
+    k = F.col("o_orderkey")
+    item = F.concat(F.lit('[{"idContratoArchivo": '), k.cast("string"), F.lit(', "nombre": "anexo '), k.cast("string"), F.lit('"}]'))
+    payload = F.when(k % 3 == 0, item).when(k % 3 == 1, F.concat(F.lit('{"n": 1, "data": '), item, F.lit("}"))).otherwise("{}")
+    rows = _orders(spark, sf_dir).select(k.alias("k"), payload.alias("p"))
+    return rows.select("k", F.get(attachments(F.col("p")), 0)["idContratoArchivo"].alias("file_id"), F.array_join(json_hints(F.col("p")), ";").alias("hints"))
+
+
+@query("SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN 'second' ELSE 'first' END AS v, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS seq FROM events")
+def sidecar_round_trip(spark, sf_dir):
+    """Lines appended in two runs; the later line of a key counts."""
+    from telar.sources.files import append_json, read_sidecar
+
+    path = f"{_folder(spark)}/side"
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("first").alias("v"), F.lit(1).alias("seq"))
+    append_json(e, path)
+    append_json(e.filter("id % 3 = 0").withColumns({"v": F.lit("second"), "seq": F.lit(2)}), path)
+    return read_sidecar(spark, path, "id long, v string, seq int", seq="seq")
+
+
+@query("SELECT doc_id, lang, md5(text) AS digest, (SELECT count(*) FROM documents) AS n FROM documents")
+def snapshot_round_trip(spark, sf_dir):
+    """A snapshot by language and the log of its run, written and read back; the first source has no rows."""
+    from telar.sources.files import first_nonempty, read_log, summary_lines
+
+    folder = _folder(spark)
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.md5("text").alias("digest"))
+    back = merge.write_snapshot(d, f"{folder}/snapshot", ["lang"])
+    spark.createDataFrame([(summary_lines({"n": back.count(), "url": "a=b"}).rstrip(),)], "t string").coalesce(1).write.text(f"{folder}/log")
+    log = read_log(spark, f"{folder}/log/part-*").select(F.col("kv")["n"].cast("long").alias("n"))
+    return first_nonempty(d.limit(0), back).crossJoin(F.broadcast(log))  # one row
+
+
+@query("SELECT o_orderkey AS id, CAST(o_orderpriority AS VARCHAR) AS objeto, CAST(NULL AS VARCHAR) AS entidad, CAST(NULL AS BOOLEAN) AS cotizar FROM orders")
+def conformed_records(spark, sf_dir):
+    from telar import schema
+
+    o = _orders(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("objeto"), F.lit("x").alias("dropped"))
+    assert "entidad" in schema.missing_columns(o, "contratos")
+    return schema.conform(o, "contratos").select("id", "objeto", "entidad", "cotizar")
+
+
+@query("SELECT 'telar_customer' AS \"table\", column_name AS \"column\" FROM (DESCRIBE customer) UNION ALL SELECT 'telar_missing', NULL")
+def described_tables(spark, sf_dir):
+    from telar import schema
+
+    table(spark, sf_dir, "customer").createOrReplaceTempView("telar_customer")
+    return schema.describe(spark, "telar_customer", "telar_missing").select("table", "column")
+
+
+@query("SELECT k, lower(strip_accents(t0)) AS folded, contains(lower(strip_accents(t0)), 'chatbot') OR contains(lower(strip_accents(t0)), 'chatgpt') OR contains(lower(strip_accents(t0)), 'openai') OR contains(lower(strip_accents(t0)), 'inteligencia artificial') OR contains(lower(strip_accents(t0)), 'big data') OR contains(lower(strip_accents(t0)), 'aprendizaje automatico') AS ai, CASE k % 3 WHEN 0 THEN 'nucleo' WHEN 1 THEN 'marginal' END AS level FROM (SELECT o_orderkey AS k, p[1 + o_orderkey % " + str(len(_PHRASES)) + f"] AS t0 FROM orders, (SELECT {_PHRASES!r} AS p))")
+def sql_functions(spark, sf_dir):
+    from telar.functions import rubric
+
+    rubric.register(spark)
+    p, k = F.array(*map(F.lit, _PHRASES)), F.col("o_orderkey")
+    _orders(spark, sf_dir).select(k.alias("k"), F.element_at(p, (k % len(_PHRASES) + 1).cast("int")).alias("t")).createOrReplaceTempView("telar_phrases")
+    return spark.sql("SELECT k, fold_text(t) AS folded, has_real_ai(t) AS ai, level_of(CASE k % 3 WHEN 0 THEN 'IA/analytics' WHEN 1 THEN 'Hardware' ELSE 'none' END) AS level FROM telar_phrases")
+
+
+@query(
+    """WITH e AS (SELECT event_id AS t, 'http://h/' || CASE WHEN event_id % 4 = 0 THEN 'archivo/' ELSE 'x/' END || event_id || CASE WHEN event_id % 5 = 0 THEN '.js' ELSE '' END AS url, event_id % 3 = 0 AS pdf, event_id % 2 = 0 AS xhr FROM events),
+    s AS (SELECT url, t, CASE WHEN t >= 500 THEN 25 ELSE 0 END + CASE WHEN pdf THEN 100 ELSE 0 END + CASE WHEN contains(url, 'archivo') THEN 35 ELSE 0 END + CASE WHEN xhr THEN 10 ELSE 0 END + CASE WHEN contains(url, '42') THEN 8 ELSE 0 END - CASE WHEN contains(url, '.js') THEN 40 ELSE 0 END - CASE WHEN xhr THEN 0 ELSE 50 END AS score FROM e)
+    SELECT url, CAST(score AS INT) AS score, regexp_replace(url, '/42(/|$)', '/{id}\\1') AS template FROM s WHERE score >= 30 ORDER BY score DESC, t LIMIT 12"""
+)
+def ranked_events(spark, sf_dir):
+    from telar.sources import discovery
+
+    k = F.col("event_id")
+    url = F.concat(F.lit("http://h/"), F.when(k % 4 == 0, "archivo/").otherwise("x/"), k.cast("string"), F.when(k % 5 == 0, ".js").otherwise(""))
+    none = F.lit(None).cast("string")
+    e = table(spark, sf_dir, "events").select(F.lit("GET").alias("method"), url.alias("url"), F.when(k % 3 == 0, "application/pdf").alias("content_type"), none.alias("content_disposition"), none.alias("kind"), F.lit(False).alias("magic_pdf"), F.when(k % 2 == 0, "xhr").otherwise("script").alias("resource_type"), k.cast("double").alias("t"))
+    best = discovery.candidates(e, F.lit(42), F.lit(500.0))
+    return best.select("url", F.col("score").cast("int").alias("score"), discovery.url_template(F.col("url"), F.lit(42)).alias("template"))
+
+
+@query(
+    _C
+    + """SELECT id, CAST(ceil(id / 80.0) AS BIGINT) AS batch FROM c WHERE estado = 'Vigente' AND fecha_fin_cotizacion IS NOT NULL AND fecha_publica < TIMESTAMP '1998-01-01'
+    ORDER BY CASE WHEN relevancia_ia = 'ALTA' THEN 0 WHEN coalesce(categoria_it, '') <> '' THEN 1 WHEN relevancia_ia = 'MEDIA' THEN 2 WHEN relevancia_ia = 'BAJA' THEN 3 ELSE 9 END, strftime(fecha_publica, '%d/%m/%Y'), id LIMIT 100"""
+)
+def ordered_records(spark, sf_dir):
+    """Plain filters, an order by priority and by the date as text, and a limit."""
+    c = contracts(spark, sf_dir).filter((F.col("estado") == state.OPEN) & F.col("fecha_fin_cotizacion").isNotNull() & (F.col("fecha_publica") < F.lit("1998-01-01").cast("timestamp")))
+    return c.orderBy(state.priority(), F.date_format("fecha_publica", "dd/MM/yyyy"), "id").limit(100).select("id", F.ceil(F.col("id") / 80.0).alias("batch"))
+
+
+@query("SELECT l_orderkey AS id, l_linenumber, l_returnflag FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey, l_quantity, l_extendedprice) AS n FROM lineitem) WHERE n = 1")
+def merged_stream(spark, sf_dir):
+    """Batches of line items upserted by a stream, one file a batch at most; the last line of an order stays."""
+    from telar.streaming.events import merge_sink
+
+    folder = _folder(spark)
+    li = table(spark, sf_dir, "lineitem")
+    own = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    li.select(*own).coalesce(1).write.parquet(f"{folder}/in")
+    state_of = {"df": spark.createDataFrame([], li.select(*own).schema)}
+
+    def publish(df, number):
+        df.write.parquet(f"{folder}/out-{number}")
+        state_of["df"] = spark.read.parquet(f"{folder}/out-{number}")
+
+    stream = spark.readStream.schema(li.select(*own).schema).parquet(f"{folder}/in")
+    order = [F.desc("l_linenumber"), F.desc("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"), F.col("l_extendedprice")]
+    merge_sink(stream, lambda: state_of["df"], publish, ["l_orderkey"], order, f"{folder}/checkpoint").awaitTermination()
+    return state_of["df"].select(F.col("l_orderkey").alias("id"), "l_linenumber", "l_returnflag")
