@@ -108,10 +108,12 @@ def stem_expression(column: str) -> str:
         parts = expression.split("'")  # names stand outside the quotes
         return "'".join(known.sub(r"s.\1", x) if i % 2 == 0 else x for i, x in enumerate(parts))
 
+    used = [set(known.findall(" ".join(e.split("'")[::2]))) for _, e in STEPS]
     out = f"array(named_struct('w', {column}))"
     for i, (name, expression) in enumerate(STEPS):
-        kept = ", ".join(f"'{n}', s.{n}" for n in names[: i + 1])
-        out = f"transform({out}, s -> named_struct({kept}, '{name}', {bound(expression)}))"
+        later = set().union(*used[i + 1 :])
+        kept = "".join(f"'{n}', s.{n}, " for n in names[: i + 1] if n in later)
+        out = f"transform({out}, s -> named_struct({kept}'{name}', {bound(expression)}))"
     return f"element_at({out}, 1).stem"
 
 

@@ -125,9 +125,8 @@ def spanish_hits(index: DataFrame, queries: DataFrame, k: int = 0, order: Sequen
     Distinct terms are searched once, however many queries share them. The
     stems of the terms are a stated query set of checked size.
     """
-    terms = spanish_terms(queries, term)
-    n = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    asked = terms.join(n, "term")
+    terms = spanish_terms(queries, term).groupBy("term").agg(F.collect_set("stem").alias("stems"))
+    asked = terms.select("term", F.size("stems").alias("n"), F.explode("stems").alias("stem"))
     asked = F.broadcast(asked) if queries.count() <= BLOCK_QUERIES else asked
     found = index.join(asked, "stem").groupBy("term", "id").agg(F.first("n").alias("n"), F.collect_list("places").alias("places")).filter(F.size("places") == F.col("n"))
     hits = found.select("term", "id", text_rank(F.col("places")).alias("rank"))
