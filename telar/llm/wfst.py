@@ -13,12 +13,11 @@ into three transducers, composed with each input:
   its UTF-8 bytes, without regard to neighbours.
 
 Weights are zero or infinite, so the tropical-semiring shortest path is the one
-path of weight zero. It is searched depth first along arcs of weight zero, the
-longest piece first; a state from which the end is not reached is not entered
-again. No piece holds a U+2581 after another character, so a text is a
-concatenation of words; and where two neighbouring characters stand together in
-no piece, no arc crosses their border. The parts between such borders have
-paths of their own, which are kept in a bounded table.
+path of weight zero. An automaton of all pieces reads a word once and gives the
+arcs by the places they end at; each is relaxed from the place it starts at. A
+prefix has one path of weight zero too, so a place keeps one state. No piece
+holds a U+2581 after another character, so a text is a concatenation of words,
+whose paths are kept in a bounded table.
 
 ``decode`` is the inverse: pieces to bytes, U+2581 to spaces, the space in front dropped.
 
@@ -34,8 +33,10 @@ import hashlib
 import re
 import struct
 import zlib
+from collections import defaultdict
 from functools import cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,7 +48,7 @@ SPACE = "▁"
 TABLE_WORDS = 800_000
 INF = float("inf")
 _WORD = re.compile(r" *[^ \n]+| +|\n")
-_START = ""  # the state at the start of a part
+_START = ""  # the state at the start of a word
 
 
 def _fields(data: bytes):
@@ -121,15 +122,20 @@ class Transducer:
             if t == Model.BYTE:
                 self.byte_ids[int(p[3:5], 16)] = i
             self.surface.append(bytes([int(p[3:5], 16)]) if t == Model.BYTE else b"" if t == Model.CONTROL else " ⁇ ".encode() if t == Model.UNKNOWN else p.replace(SPACE, " ").encode())
-        #: Of each string with which a piece begins, whether it is a piece itself.
-        self.starts: dict[str, bool] = {p[:n]: False for p in self.ids for n in range(1, len(p))} | dict.fromkeys(self.ids, True)
-        self.weights: dict[str, dict[str, float]] = {}
+        #: The arcs of the pieces as an automaton: of each place in a word, the (length, id) of the pieces that end there.
+        self.arcs = ahocorasick.Automaton()
+        for p, i in self.ids.items():
+            self.arcs.add_word(p, (len(p), i))
+        self.arcs.make_automaton()
+        self.names = [p for p, _, _ in m.pieces]
+        self.sizes = [len(p) for p in self.names]
+        #: Of each piece last written (-1 at the start of a word), the weights of the arcs tried.
+        self.weights: defaultdict[int, dict[int, float]] = defaultdict(dict)
         self.known = 0
-        #: Pairs of characters that stand together in a piece.
-        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        if any(c not in self.ids for pair in self.inside for c in pair):
+        #: Characters that are pieces; all others are read by the byte fallback, and the state after them is the start.
+        self.characters = {p for p in self.ids if len(p) == 1}
+        if any(not self.characters.issuperset(p) for p in self.ids):
             raise ValueError("a piece has a character that is no piece")
-        self.parts: dict[str, bytes] = {}
         self.words = _Words(self.ids_of)
 
     def _merged(self, text: str) -> list[str]:
@@ -150,71 +156,56 @@ class Transducer:
         """Of the arc that writes v in state u."""
         return 0.0 if self._merged(u + v) == ([u, v] if u else [v]) else INF
 
-    def path(self, part: str) -> list[str]:
-        """The pieces along the shortest path of a part; the part's characters are all in pieces."""
-        starts, n = self.starts, len(part)
-        trail: list[tuple[int, str, list[int]]] = []
-        dead: set[tuple[int, str]] = set()
-        at, u = 0, _START
-        while True:
-            row = self.weights.get(u)
-            if row is None:
-                row = self.weights[u] = {}
-            ends = []
-            for j in range(at + 1, n + 1):  # the arcs that read from here on
-                piece = starts.get(part[at:j])
-                if piece is None:
-                    break
-                if piece:
-                    ends.append(j)
-            while True:
-                while ends:
-                    j = ends.pop()
-                    v = part[at:j]
-                    w = row.get(v)
-                    if w is None:
-                        w = row[v] = self.weight(u, v)
-                        self.known += 1
-                    if w < INF and (j, v) not in dead:
-                        break
-                else:
-                    dead.add((at, u))
-                    at, u, ends = trail.pop()
-                    row = self.weights[u]
-                    continue
-                break
-            trail.append((at, u, ends))
-            if j == n:
-                return [*(u for _, u, _ in trail[1:]), v]
-            at, u = j, v
+    def shortest(self, word: str) -> list[int]:
+        """The ids along the shortest path of a word.
+
+        Each prefix of a word has one path of finite weight as well (its own
+        segmentation), so one arc at most is relaxed into a place, and it stays.
+        """
+        n, weights, sizes = len(word), self.weights, self.sizes
+        last, rows = [-1] * n, [None] * n
+        rows.append(weights[-1])  # places are those of a piece's last character; index -1 is the start
+        if not self.characters.issuperset(word):
+            for i, c in enumerate(word):
+                if c not in self.characters:
+                    rows[i] = weights[-1]
+        for end, (size, v) in self.arcs.iter(word):
+            if rows[end] is None and (row := rows[end - size]) is not None:
+                w = row.get(v)
+                if w is None:
+                    at = end - size + 1
+                    u = last[at - 1] if at else -1
+                    w = row[v] = self.weight(word[at - sizes[u] : at] if u >= 0 else _START, word[at : end + 1])
+                    self.known += 1
+                if w < INF:
+                    last[end], rows[end] = v, weights[v]
+        out, at = [], n - 1
+        while at >= 0:
+            v = last[at]
+            if v < 0:
+                out += [self.byte_ids[x] for x in reversed(word[at].encode("utf-8", "replace"))]
+                at -= 1
+            else:
+                out.append(v)
+                at -= sizes[v]
+        return out[::-1]
+
+    def path(self, word: str) -> list[str]:
+        """The pieces along the shortest path of a word."""
+        return [self.names[v] for v in self.shortest(word)]
 
     def ids_of(self, word: str) -> bytes:
-        """Ids of a word as little-endian int32, part by part."""
-        key, word = word, word.replace(" ", SPACE)
-        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside), len(word)]
-        out = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            part = word[a:b]
-            ids = self.parts.get(part)
-            if ids is None:
-                if part in self.ids or len(part) > 1:
-                    found = [self.ids[p] for p in self.path(part)]
-                else:
-                    found = [self.byte_ids[x] for x in part.encode("utf-8", "replace")]
-                ids = struct.pack(f"<{len(found)}i", *found)
-                if len(part) < len(word):
-                    self.parts[part] = ids
-            out.append(ids)
-        self.words[key] = ids = b"".join(out)
+        """Ids of a word as little-endian int32."""
+        found = self.shortest(word.replace(" ", SPACE))
+        self.words[word] = ids = struct.pack(f"<{len(found)}i", *found)
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32."""
         words, out = self.words, []
         for text in texts:
-            if len(words) + len(self.parts) > TABLE_WORDS:
+            if len(words) > TABLE_WORDS:
                 words.clear()
-                self.parts.clear()
             if self.known > 2 * TABLE_WORDS:
                 self.weights.clear()
                 self.known = 0

@@ -66,3 +66,10 @@ def test_other_models_are_refused(tmp_path):
     (tmp_path / "m.model").write_bytes(open(PATH, "rb").read().replace(b"\x0a\x08identity", b"\x0a\x08identitz") + b"\x12\x02\x18\x01")
     with pytest.raises(ValueError, match="BPE"):
         wfst.Transducer(str(tmp_path / "m.model"))
+
+
+def test_documents_as_library(docs):
+    """Whole texts, and words that mix pieces with characters that only the byte fallback reads."""
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    texts += ["ab𝔘cd𝔫", "𝔘" * 30, "x𝔘 𝔫y", "the" * 20_000 + "𝔘"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in wfst.transducer(PATH).encode(texts)] == [LIBRARY.encode(t) for t in texts]
