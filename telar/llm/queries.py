@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, interpolation, licenses, mpeg, simhash, sstable, toxicity, warc, wfst, wumanber
+from . import extraction, interpolation, licenses, mpeg, periodic, simhash, sstable, toxicity, warc, wfst, wumanber
 from .common import table, written
 
 
@@ -57,6 +58,20 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def tail_repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of one document in ten (by the hash of its identifier), the words from some place on repeat with a period; a null identifier changes nothing."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"), before=tail_repeated)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -68,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_pieces": op10_pieces,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 SQL: dict[str, str] = {
