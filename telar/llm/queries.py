@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extraction, interpolation, licenses, mpeg, periodic, simhash, sstable, toxicity, warc, wfst, wumanber
+from . import extraction, interpolation, language, licenses, mpeg, periodic, simhash, sstable, toxicity, variants, warc, wfst, wumanber
 from .common import table, written
 
 
@@ -58,6 +58,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def tail_repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Of one document in ten (by the hash of its identifier), the words from some place on repeat with a period; a null identifier changes nothing."""
     n, h = len(words), zlib.crc32(str(doc_id).encode())
@@ -72,6 +76,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"), before=tail_repeated)
 
 
+def letter_lost(doc_id: int | None, word: str) -> str:
+    """One word of a document in 199 (by the hash of both) loses a letter; a null identifier changes nothing."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    if doc_id is None or h % 199:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.counted(table(spark, sf_dir, "documents"), change=letter_lost))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -83,7 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_pieces": op10_pieces,
+    "op11_language": op11_language,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
