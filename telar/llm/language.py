@@ -41,8 +41,8 @@ from .common import crc_mod, map_batches, utf8
 
 BITS = 13
 LONGEST = 4
-PER_LANGUAGE = 500
-IN_ALL = 2000
+PER_LANGUAGE = 300
+IN_ALL = 1200
 PASSAGES = (3, 12)
 COST = 10.0
 UNKNOWN = "und"
@@ -124,26 +124,30 @@ def passages(c: np.ndarray, at: int) -> list[np.ndarray]:
     return out
 
 
-def fit_pair(x: np.ndarray, y: np.ndarray, cost: float = COST, rounds: int = 30) -> np.ndarray:
-    """Weights and bias of a linear support vector machine with squared loss, by dual coordinate descent. y: 1 or -1."""
-    n = len(x)
+def fit_pair(x: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None, cost: float = COST, rounds: int = 30) -> np.ndarray:
+    """Weights and bias of a linear support vector machine with squared loss, by dual coordinate descent.
+
+    y: 1 or -1 for each of the rows of x (all unless given; x is not copied).
+    """
+    at = (np.arange(len(x)) if rows is None else rows).tolist()
+    n = len(at)
     c = np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum()))) * cost
     slack = (1 / (2 * c)).tolist()
     w, bias = np.zeros(x.shape[1], np.float32), 0.0
-    square = ((x * x).sum(1) + 1).tolist()
+    square = [float(x[i] @ x[i]) + 1 for i in at]
     alpha, sign = [0.0] * n, y.astype(float).tolist()
     rng = np.random.default_rng(5)
     for _ in range(rounds):
         most = 0.0
         for i in rng.permutation(n).tolist():
-            g = sign[i] * (float(w @ x[i]) + bias) - 1 + slack[i] * alpha[i]
+            g = sign[i] * (float(w @ x[at[i]]) + bias) - 1 + slack[i] * alpha[i]
             if alpha[i] == 0 and g >= 0:
                 continue
             most = max(most, abs(g))
             new = max(0.0, alpha[i] - g / (square[i] + slack[i]))
             step = (new - alpha[i]) * sign[i]
             alpha[i] = new
-            w += np.float32(step) * x[i]
+            w += np.float32(step) * x[at[i]]
             bias += step
         if most < 0.01:
             break
@@ -175,13 +179,14 @@ class Choice:
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, held: np.ndarray) -> Choice:
-        """y: names of classes; held: the rows that sigmoids are fitted on."""
-        out = cls(sorted(set(y.tolist())))
+        """y: names of classes, null for rows that take no part; held: the rows that sigmoids are fitted on."""
+        out = cls(sorted({c for c in y.tolist() if c is not None}))
         rows = []
         for a, b in combinations(out.classes, 2):
-            learn, check = ((y == a) | (y == b)) & ~held, ((y == a) | (y == b)) & held
-            rows.append(fit_pair(x[learn], np.where(y[learn] == a, 1, -1)))
-            margin = x[check] @ rows[-1][:-1] + rows[-1][-1]
+            either = (y == a) | (y == b)
+            learn, check = np.flatnonzero(either & ~held), np.flatnonzero(either & held)
+            rows.append(fit_pair(x, np.where(y[learn] == a, 1, -1), learn))
+            margin = np.array([x[i] @ rows[-1][:-1] for i in check.tolist()]) + rows[-1][-1]
             out.sigmoids.append(fit_sigmoid(margin, np.where(y[check] == a, 1, -1)))
         if rows:
             out.weights = np.array(rows)
@@ -226,22 +231,24 @@ class Model:
         return names.tolist(), score
 
 
-def fit(rows: list[tuple[str, int, np.ndarray]]) -> Model:
-    """rows: (language, the text's number, counts). A third of the texts serve the sigmoids alone, where a language has three."""
+def fit(rows: list[tuple[str, int, np.ndarray, np.ndarray]]) -> Model:
+    """rows: (language, the text's number, its buckets, their counts). A third of the texts serve the sigmoids alone, where a language has three."""
     if not rows:
         return Model(Choice([]), {})
-    x = np.array([vector(n) for _, _, n in rows])
+    x = np.zeros((len(rows), 1 << BITS), np.float32)
+    for to, (_, _, at, n) in zip(x, rows, strict=True):
+        to[at] = vector(n)
     lang = np.array([r[0] for r in rows], object)
     seen: dict[str, dict[int, int]] = defaultdict(dict)
     nth = [seen[r[0]].setdefault(r[1], len(seen[r[0]])) for r in rows]
     held = np.array([k % 3 == 2 for k in nth])
     of = np.array([family(v) for v in lang], object)
-    within = {f: Choice.fit(x[of == f], lang[of == f], held[of == f]) for f in sorted(set(of.tolist()))}
+    within = {f: Choice.fit(x, np.where(of == f, lang, None), held) for f in sorted(set(of.tolist()))}
     return Model(Choice.fit(x, of, held), within)
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int = 2, folds: int = 4) -> list[tuple[str, int, np.ndarray]]:
-    """(language, hash of the text, counts) of whole texts and passages of about per_language texts a language, in_all at most of all."""
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int = 2, folds: int = 4) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
+    """(language, hash of the text, buckets, counts) of whole texts and passages of about per_language texts a language, in_all at most of all."""
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))
     rows = rows.filter((crc_mod("k", folds) != held_out) & F.col("t").isNotNull() & F.col("l").isNotNull()).withColumn("h", F.xxhash64("t"))
     size = {r.l: r.n for r in rows.groupBy("l").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
@@ -259,18 +266,13 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_A
             for part, own in enumerate([c, *passages(c, h)] if len(c) else []):
                 n = counts(own)
                 at = np.flatnonzero(n)
-                out.append((lang, h, part, at.astype("<u2").tobytes(), n[at].astype("<i8").tobytes()))
+                out.append((lang, h, part, at.astype("<u2").tobytes(), n[at].astype("<u4").tobytes()))
         cols = zip(*out, strict=True) if out else ((),) * 5
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["l", "h", "part", "at", "n"])
 
     got = map_batches(some, run, "l string, h long, part int, at binary, n binary").groupBy("l", "h", "part").agg(F.first("at").alias("at"), F.first("n").alias("n"))
     got = got.orderBy(F.pmod("h", F.lit(1 << 20)), "l", "h", "part").limit(2 * in_all * (1 + len(PASSAGES))).collect()
-    out = []
-    for r in got:
-        n = np.zeros(1 << BITS, np.int64)
-        n[np.frombuffer(r.at, "<u2")] = np.frombuffer(r.n, "<i8")
-        out.append((r.l, r.h, n.astype(np.float32)))
-    return out
+    return [(r.l, r.h, np.frombuffer(r.at, "<u2"), np.frombuffer(r.n, "<u4")) for r in got]
 
 
 def train(docs: DataFrame, **how) -> Model:
