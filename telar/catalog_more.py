@@ -17,6 +17,8 @@ from telar.functions import text as T
 from telar.functions import time as D
 from telar.functions import vector as V
 from telar.operators import chunking, classify, embedding, merge, quality, reports, search, state
+from telar.operators.text_index import TextIndex, of_files
+from telar.shared import shared_dir
 
 _C = f"WITH c AS ({CONTRACTS_SQL}) "
 
@@ -44,7 +46,7 @@ def _raw(spark, sf_dir):
 @query(
     "WITH "
     + _RAW_SQL
-    + """SELECT k + (k = 0)::INT * 0 AS id, '' AS nro_contratacion, 'T-' || k AS descripcion_contrato, 'Bien' AS objeto, CAST(NULL AS VARCHAR) AS entidad, CAST(strptime(d, '%d/%m/%Y %H:%M:%S') AS TIMESTAMP) AS fecha_publica, CAST(NULL AS TIMESTAMP) AS fecha_fin_cotizacion, n = 3 AS cotizar
+    + """SELECT k AS id, '' AS nro_contratacion, 'T-' || k AS descripcion_contrato, 'Bien' AS objeto, CAST(NULL AS VARCHAR) AS entidad, CAST(strptime(d, '%d/%m/%Y %H:%M:%S') AS TIMESTAMP) AS fecha_publica, CAST(NULL AS TIMESTAMP) AS fecha_fin_cotizacion, n = 3 AS cotizar
     FROM r WHERE n > 2 AND k > 0"""
 )
 def ingest_records(spark, sf_dir):
@@ -63,6 +65,20 @@ def dead_letters(spark, sf_dir):
     return quality.split_valid(_raw(spark, sf_dir))[1].drop("created_at")
 
 
+@query(
+    "WITH "
+    + _RAW_SQL
+    + """SELECT CASE WHEN n > 2 AND k % 5 <> 0 THEN k END AS id, CASE WHEN n = 2 OR (n > 2 AND k % 5 = 0) THEN k END AS id_contrato,
+    CASE n WHEN 0 THEN 'record is no JSON object' WHEN 1 THEN 'idContrato: a positive integer is required' WHEN 2 THEN 'nomEntidad: text expected, found a structure' ELSE CASE WHEN k % 5 = 0 THEN 'mapping: id of five' END END AS motivo,
+    count(*) OVER () AS n, count(*) FILTER (n > 2 AND k % 5 <> 0) OVER () AS valid, count(*) FILTER (n < 3 OR k % 5 = 0) OVER () AS rejected, count(*) FILTER (n > 2 AND k % 5 = 0) OVER () AS unmapped FROM r"""
+)
+def ingest_once(spark, sf_dir):
+    """Records and dead letters from one scan and one parse; records that the mapping fails are dead letters too."""
+    good, bad, n = quality.write_split(_raw(spark, sf_dir), f"{_folder(spark)}/split", checks={"id of five": F.col("id") % 5 != 0})
+    both = good.select("id").unionByName(bad.select("id_contrato", "motivo"), allowMissingColumns=True)
+    return both.withColumns({k: F.lit(v).cast("long") for k, v in n.items()})
+
+
 @query("SELECT c_custkey, concat_ws(',', CASE WHEN NOT c_acctbal > 0 THEN 'balance' END, CASE WHEN NOT c_mktsegment = 'BUILDING' THEN 'segment' END) AS errors FROM customer WHERE NOT (c_acctbal > 0 AND c_mktsegment = 'BUILDING')")
 def rejected_rows(spark, sf_dir):
     c = quality.rejected_by(table(spark, sf_dir, "customer"), {"balance": F.col("c_acctbal") > 0, "segment": F.col("c_mktsegment") == "BUILDING"})
@@ -535,7 +551,7 @@ def _rank_sql(terms: str) -> str:
     o AS (SELECT term, id, stem, place, row_number() OVER (PARTITION BY term, id, stem ORDER BY place) AS j FROM f JOIN t USING (term) JOIN lex USING (stem, id)),
     one AS (SELECT term, id, sum(0.1::DOUBLE / (j * j)) / 1.64493406685 AS rank FROM o JOIN f USING (term, id) WHERE n = 1 GROUP BY 1, 2),
     two AS (SELECT a.term, a.id, 1 - product(CASE WHEN a.place = b.place THEN 1 ELSE 1 - 0.1 * sqrt(CASE WHEN abs(a.place - b.place) > 100 THEN 1e-30 ELSE 1 / (1.005 + 0.05 * exp(abs(a.place - b.place) / 1.5 - 2)) END) END) AS rank FROM o a JOIN o b ON a.term = b.term AND a.id = b.id AND a.stem < b.stem GROUP BY 1, 2),
-    hits AS (SELECT * FROM one UNION ALL SELECT term, id, CASE WHEN rank > 0 THEN rank ELSE 1e-20 END FROM two)"""
+    hits AS (SELECT term, id, CAST(CAST(rank AS REAL) AS DOUBLE) AS rank FROM (SELECT * FROM one UNION ALL SELECT term, id, CASE WHEN rank > 0 THEN rank ELSE 1e-20 END FROM two))"""
 
 
 @query(f"WITH {_DESCRIBED}, {_rank_sql("SELECT 'x' AS term, unnest(['servici', 'sistem']) AS stem")} SELECT id, round(rank, 6) AS rank FROM hits JOIN g USING (id) WHERE estado = 'Vigente' AND entidad ILIKE '%0%' ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id LIMIT 200")
@@ -544,6 +560,16 @@ def spanish_record_search(spark, sf_dir):
     return found.select("id", F.round("rank", 6).alias("rank"))
 
 
+SEARCHED = ("descripcion", "entidad", "descripcion_contrato", "objeto")
+
+
+def _index(spark, sf_dir) -> TextIndex:
+    """The written index of the described contracts; the first search of these files builds it."""
+    files = of_files(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    index = TextIndex(spark, f"{shared_dir(spark)}/telar-index/contracts-{files}", SEARCHED)
+    return index if index.built() else index.build(_described(spark, sf_dir))
+
+
 _TERMS = {"servidores": "el mantenimiento de sistemas", "digital": "firmas digitales", "big": "big data", "web": "sistema web", "agua": "aguas"}
 _TERM_STEMS = {"servidores": ["manten", "sistem"], "digital": ["firm", "digital"], "big": ["big", "dat"], "web": ["sistem", "web"], "agua": ["agu"]}
 
@@ -556,11 +582,28 @@ def _terms(spark):
 @query(f"WITH {_DESCRIBED}, {_rank_sql('SELECT * FROM (VALUES ' + ', '.join(f"('{k}', '{s}')" for k, ss in _TERM_STEMS.items() for s in ss) + ') AS x(term, stem)')} SELECT term AS query_id, id, round(rank, 6) AS rank, CAST(row_number() OVER (PARTITION BY term ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id) AS INT) AS pos FROM hits JOIN g USING (id) WHERE estado = 'Vigente' QUALIFY pos <= 20")
 def spanish_search_many(spark, sf_dir):
     c = _described(spark, sf_dir)
-    index = search.lexemes(c, "id", ("descripcion", "entidad", "descripcion_contrato", "objeto"))
-    hits = search.spanish_hits(index, _terms(spark), 20, [F.col("fecha_publica").desc_nulls_last()], c.filter("estado = 'Vigente'").select("id", "fecha_publica"))
+    hits = _index(spark, sf_dir).hits(_terms(spark), 20, [F.col("fecha_publica").desc_nulls_last()], c.filter("estado = 'Vigente'").select("id", "fecha_publica"))
     return hits.join(_terms(spark), "term").select("query_id", "id", F.round("rank", 6).alias("rank"), "pos")
 
 
+_KEPT = "g2 AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 'sistemas web de ' || entidad ELSE descripcion END AS descripcion) FROM g WHERE id % 10 <> 3)"
+
+
+@query(
+    f"WITH {_DESCRIBED.replace('k AS (', _KEPT + ', k AS (', 1).replace('FROM g)', 'FROM g2)')}, {_rank_sql('SELECT * FROM (VALUES ' + ', '.join(f"('{k}', '{s}')" for k, ss in _TERM_STEMS.items() for s in ss) + ') AS x(term, stem)')} SELECT term AS query_id, id, round(rank, 6) AS rank FROM hits"
+)
+def index_upkeep(spark, sf_dir):
+    """The index of all records, then batches of new versions and deletions, compaction, and one more batch; hits of all terms."""
+    c = _described(spark, sf_dir)
+    new = c.withColumn("descripcion", F.concat(F.lit("sistemas web de "), F.col("entidad")))
+    index = TextIndex(spark, f"{_folder(spark)}/index", SEARCHED).build(c)
+    index.apply(new.filter("id % 8 = 0"), c.filter("id % 20 = 3").select("id"))
+    index.apply(c.filter("id % 8 = 4").withColumn("descripcion", F.lit("aguas")))
+    index.compact()
+    index.apply(new.filter("id % 8 = 4"), c.filter("id % 20 = 13").select("id"))
+    return index.hits(_terms(spark)).join(_terms(spark), "term").select("query_id", "id", F.round("rank", 6).alias("rank"))
+
+
 _HYBRID_TERMS = "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q, (['servidores', 'digital', 'big', 'web', 'agua'])[1 + (vec_id // 100) % 5] AS term FROM embeddings WHERE vec_id % 100 = 0"
 
 
@@ -584,8 +627,7 @@ def hybrid_records(spark, sf_dir):
     chunks = e.withColumn("r", F.floor(F.col("vec_id") / 3) % m).join(rank.withColumnRenamed("id", "contrato_id"), "r").select(F.col("vec_id").alias("id"), "contrato_id", F.col("embedding").alias("embedding_v2"))
     names = F.array(*map(F.lit, _TERMS.values()))
     q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.element_at(names, (F.floor(F.col("vec_id") / 100) % len(_TERMS) + 1).cast("int")).alias("term"))
-    index = search.lexemes(c, "id", ("descripcion", "entidad", "descripcion_contrato", "objeto"))
-    return plan(chunks, c, index, q, min_similarity=-0.5)
+    return plan(chunks, c, _index(spark, sf_dir), q, min_similarity=-0.5)
 
 
 # Sources and files
@@ -603,13 +645,7 @@ class Numbered:
 
 
 def _folder(spark) -> str:
-    """The cluster's shared folder; in local mode one of our own where there is none."""
-    import tempfile
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir names no shared folder")
-    return f"{shared.rstrip('/')}/telar-files-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="telar-files-")
+    return f"{shared_dir(spark)}/telar-files-{uuid.uuid4().hex}"
 
 
 @query("SELECT i AS id, CAST((n - i) // 10 + 1 AS INT) AS page, '{\"idContrato\": ' || i || '}' AS payload FROM (SELECT unnest(range(41, n + 1)) AS i, n FROM (SELECT count(*) AS n FROM customer))")

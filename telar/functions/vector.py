@@ -36,9 +36,9 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 
 def l2_normalize(v: Column) -> Column:
-    """Unit length; a zero vector stays."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(_doubles(v), lambda x: x / n)).otherwise(_doubles(v))
+    """Unit length; a zero vector stays. The length is bound once a vector: inside the function of its elements it would be computed for each."""
+    bound = F.array(F.struct(_doubles(v).alias("v"), norm(v).alias("n")))
+    return F.transform(bound, lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])).otherwise(s["v"]))[0]
 
 
 def fit_dimension(v: Column, n: int) -> Column:

@@ -63,9 +63,6 @@ def scan_hits(df: DataFrame, id_col: str, columns: Sequence[str], query: str, st
     return found.select("id", sum((part(i) for i in range(len(words))), F.lit(0.0)).alias("rank"))
 
 
-MOST_PLACES, LAST_PLACE = 256, 16383  # fixed values: places kept of a word in a document, and the last place told apart
-
-
 def spanish_words(c: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -76,13 +73,15 @@ def spanish_terms(queries: DataFrame, term: str = "term") -> DataFrame:
     return stemmed(words, "w").select("term", "stem").distinct()
 
 
-def lexemes(df: DataFrame, id_col: str, columns: Sequence[str], stems: Sequence[str] | None = None) -> DataFrame:
+def lexemes(df: DataFrame, id_col: str, columns: Sequence[str], stems: Sequence[str] | None = None, most_places: int | None = None, last_place: int | None = None) -> DataFrame:
     """The inverted index of Spanish text: stem, id, places (ascending). With ``stems``, of these alone.
 
+    The SQL database keeps 256 places of a word and tells none apart from 16,383 on; ask for that with ``most_places`` and ``last_place``.
+
     Stemming leaves a word's first two letters but for their accents, so with
     ``stems`` only words that begin like one of them are exploded and stemmed.
     """
-    placed = F.transform(spanish_words(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in columns))), lambda w, i: F.struct(F.least(i + 1, F.lit(LAST_PLACE)).alias("place"), w.alias("w")))
+    placed = F.transform(spanish_words(F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in columns))), lambda w, i: F.struct((i + 1 if last_place is None else F.least(i + 1, F.lit(last_place))).alias("place"), w.alias("w")))
     if stems is not None:
         heads = sorted({x[:2] for x in stems})
         placed = F.filter(placed, lambda p: F.translate(F.substring(p["w"], 1, 2), "áéíóú", "aeiou").isin(*heads)) if heads else F.slice(placed, 1, 0)
@@ -91,7 +90,8 @@ def lexemes(df: DataFrame, id_col: str, columns: Sequence[str], stems: Sequence[
         own = rows.join(stemmed(rows.select("w").distinct(), "w"), "w").drop("w")  # each word is stemmed once
     else:
         own = stemmed(rows, "w").drop("w").filter(F.col("stem").isin(*stems))
-    return own.groupBy("stem", "id").agg(F.slice(F.sort_array(F.collect_set("place")), 1, MOST_PLACES).alias("places"))
+    places = F.sort_array(F.collect_set("place"))
+    return own.groupBy("stem", "id").agg((places if most_places is None else F.slice(places, 1, most_places)).alias("places"))
 
 
 def write_lexemes(index: DataFrame, table: str, buckets: int = 64) -> DataFrame:
@@ -125,11 +125,28 @@ def spanish_hits(index: DataFrame, queries: DataFrame, k: int = 0, order: Sequen
     Distinct terms are searched once, however many queries share them. The
     stems of the terms are a stated query set of checked size.
     """
+    stems = asked_stems(queries, term)
+    return ranked_hits(index.join(asked(stems), "stem"), k, order, about)
+
+
+def asked(queries: DataFrame) -> DataFrame:
+    """A stated query set, marked to be broadcast if its rows are counted and few."""
+    return F.broadcast(queries) if queries.limit(BLOCK_QUERIES + 1).count() <= BLOCK_QUERIES else queries
+
+
+def asked_stems(queries: DataFrame, term: str = "term") -> DataFrame:
+    """term, n (how many stems it has), stem."""
     terms = spanish_terms(queries, term).groupBy("term").agg(F.collect_set("stem").alias("stems"))
-    asked = terms.select("term", F.size("stems").alias("n"), F.explode("stems").alias("stem"))
-    asked = F.broadcast(asked) if queries.count() <= BLOCK_QUERIES else asked
-    found = index.join(asked, "stem").groupBy("term", "id").agg(F.first("n").alias("n"), F.collect_list("places").alias("places")).filter(F.size("places") == F.col("n"))
-    hits = found.select("term", "id", text_rank(F.col("places")).alias("rank"))
+    return terms.select("term", F.size("stems").alias("n"), F.explode("stems").alias("stem"))
+
+
+def ranked_hits(entries: DataFrame, k: int = 0, order: Sequence[Column] = (), about: DataFrame | None = None) -> DataFrame:
+    """term, id, rank (and pos) from entries of the index beside the terms that ask for them: term, n, stem, id, places.
+
+    Ranks are single-precision numbers, as in the SQL database, so equal ones tie whatever the order of multiplication.
+    """
+    found = entries.groupBy("term", "id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("stem", "places"))).alias("own")).filter(F.size("own") == F.col("n"))
+    hits = found.select("term", "id", text_rank(F.col("own.places")).cast("float").cast("double").alias("rank"))
     if about is not None:
         hits = hits.join(about, "id")
     if not k:

@@ -86,3 +86,22 @@ def test_unaccented_property(spark, texts):
     want = ["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower() for t in texts]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, a string").select("i", T.unaccented(F.col("a")).alias("x")).orderBy("i").collect()
     assert [r.x for r in rows] == want
+
+
+def test_normalising_is_linear_in_the_dimension(spark):
+    """Sixteen times the values take far less than 256 times as long."""
+    import time
+
+    def seconds(n):
+        rows = spark.range(300).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x * 0.5 + F.col("id")).alias("v")).cache()
+        rows.count()
+        best = 1e9
+        for _ in range(3):
+            began = time.perf_counter()
+            rows.select(V.l2_normalize(F.col("v"))).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - began)
+        rows.unpersist()
+        return best
+
+    seconds(64)
+    assert seconds(4096) < 64 * max(seconds(256), 0.02)

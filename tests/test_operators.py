@@ -269,3 +269,20 @@ def test_funnel_lists(spark):
     a, c = state.funnel_lists(p)
     assert rows(a) == [(1, datetime(2026, 1, 2))]
     assert rows(c) == [(4, datetime(2026, 1, 3))]
+
+
+def test_write_split_parses_once(spark, tmp_path):
+    """Both results of one write; what the mapping fails is a dead letter too."""
+    texts = ['{"idContrato": 1, "nomEntidad": " E ", "fecPublica": "1/2/2024 03:04:05"}', '{"idContrato": "2", "fecPublica": "x"}', '{"idContrato": 0}', '[{"idContrato": 3}]', "no", None, '{"idContrato": 4, "nomEntidad": {"a": 1}, "token": "t"}', '{"idContrato": 5, "idContrato": 6}']
+    raw = spark.createDataFrame([(t,) for t in texts], "payload string")
+    good, bad, n = quality.write_split(raw, f"file://{tmp_path}/s", checks={"fecha_publica": F.col("fecha_publica").isNotNull() | (F.col("id") != 2)})
+    assert n == {"n": 8, "valid": 2, "rejected": 6, "unmapped": 1}
+    assert {(r.id, r.entidad) for r in good.collect()} == {(1, "E"), (6, None)}
+    reasons = sorted((r.id_contrato or 0, r.motivo) for r in bad.collect())
+    assert reasons == [(0, "idContrato: a positive integer is required"), *[(0, "record is no JSON object")] * 3, (2, "mapping: fecha_publica"), (4, "nomEntidad: text expected, found a structure")]
+    assert good.columns == quality.to_contracts(quality.records(quality.validated(raw))).columns
+    for df in quality.split_valid(raw):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField(idContrato") == 1
+    with pytest.raises(ValueError):
+        quality.write_split(raw, f"file://{tmp_path}/t", mapping=lambda r: r.select("idContrato"))
