@@ -71,10 +71,15 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 NOT_CONTENT = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "object", "audio", "video", "canvas", "label", "fieldset"}
 MAIN = {"article", "main"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice\w*|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|"
-    r"nav\w*|menu\w*|breadcrumbs?|pagination|pager|sidebar\w*|widget\w*|related|recommend\w*|comments?\w*|disqus|replies|respond|footer\w*|masthead|topbar|toolbar|login|signup|navigation|contentinfo|complementary|form)(?:$|[\s_-])",
-    re.I,
+# Words of class, id and role that name something else than content, and words that only say where or how such a thing stands.
+NOISE = set(
+    "ad ads adv advert adverts advertisement advertisements advertising adslot banner banners sponsor sponsored sponsors promo promos promotion promotions cookie cookies consent gdpr notice notices popup popups modal overlay "
+    "newsletter newsletters subscribe subscription subscriptions share sharing social nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars widget related recommend recommended recommendations "
+    "comment comments commentlist disqus replies respond footer masthead topbar toolbar login signup contentinfo complementary form".split()
+)
+PLACES = set(
+    "left right top bottom upper lower first second main site page primary secondary global inner outer wide sticky fixed area areas bar bars box boxes list lists item items block blocks section wrap wrapper container content panel column col row "
+    "slot unit link links button buttons icon icons post posts article articles story stories news thread count reply header title text message policy eu mobile desktop small large new".split()
 )
 DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:side|rail|foot|search\w*|skip|copyright|legal)(?:$|[\s_-])", re.I)
 _STATE = re.compile(r"(?:has|have|no|not|with|without|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|active|inactive|on|off|none|visible|hidden|layout)", re.I)
@@ -126,8 +131,16 @@ class Paths:
 
 
 def noisy(label: str) -> bool:
-    """Whether a class, id or role names something else than content, by its tokens; those that tell a state do not."""
-    return any(NOISE.search(token) and not _STATE.fullmatch(token) for token in label.split())
+    """Whether a class, id or role names something else than content.
+
+    A token does if all its parts are known, one at least as noise: ``related-posts`` does, ``related-work``
+    does not, nor does a word that only begins alike. Tokens that tell a state (``has-sidebar``) do not.
+    """
+    for token in label.lower().split():
+        parts = [p for p in re.split(r"[-_]+|\d+", token) if p]
+        if not NOISE.isdisjoint(parts) and all(p in NOISE or p in PLACES for p in parts) and not _STATE.fullmatch(token):
+            return True
+    return False
 
 
 class Text(NamedTuple):
