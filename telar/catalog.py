@@ -140,6 +140,40 @@ def kpi_business(spark, sf_dir):
     return state.business_kpis(contracts(spark, sf_dir), AS_OF)
 
 
+_CHANGED = f"""SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 'Vigente' WHEN id % 4 = 1 THEN 'Culminado' ELSE estado END AS estado, CASE WHEN id % 8 = 0 THEN NULL WHEN id % 4 = 0 THEN TIMESTAMP '2001-07-18' ELSE fecha_fin_cotizacion END AS fecha_fin_cotizacion,
+    CASE WHEN id % 12 = 0 THEN NULL ELSE categoria_it END AS categoria_it, CASE WHEN id % 24 = 0 THEN NULL ELSE relevancia_ia END AS relevancia_ia) FROM ({CONTRACTS_SQL}) WHERE id % 10 <> 7"""
+
+
+def _kept_up(spark, sf_dir):
+    """The cube of three records in four, after a batch of new and changed records and one of deletions."""
+    from telar.operators import kpi_cube
+
+    c, k = contracts(spark, sf_dir), F.col("id")
+    start = c.filter(k % 4 != 2)
+    none = lambda x: F.lit(None).cast(c.schema[x].dataType)
+    batch = c.filter(k % 4 != 3).withColumns({
+        "estado": F.when(k % 4 == 0, "Vigente").when(k % 4 == 1, "Culminado").otherwise(F.col("estado")), "fecha_fin_cotizacion": F.when(k % 8 == 0, none("fecha_fin_cotizacion")).when(k % 4 == 0, F.lit("2001-07-18").cast("timestamp")).otherwise(F.col("fecha_fin_cotizacion")),
+        "categoria_it": F.when(k % 12 != 0, F.col("categoria_it")), "relevancia_ia": F.when(k % 24 != 0, F.col("relevancia_ia")),
+    })
+    rows, counts = kpi_cube.upserted(start, batch, kpi_cube.cube(start))
+    return kpi_cube.deleted(rows, rows.filter(k % 10 == 7).select("id"), counts)[1]
+
+
+@query(SQL["kpi_single_pass"].replace(CONTRACTS_SQL, _CHANGED))
+def kpi_kept_up(spark, sf_dir):
+    from telar.operators import kpi_cube
+
+    return kpi_cube.kpis(_kept_up(spark, sf_dir), AS_OF)
+
+
+@query(SQL["kpi_business"].replace(CONTRACTS_SQL, _CHANGED).replace(_DAY, "DATE '2001-07-18'"))
+def kpi_business_next_days(spark, sf_dir):
+    """The same counts asked four days later."""
+    from telar.operators import kpi_cube
+
+    return kpi_cube.business_kpis(_kept_up(spark, sf_dir), AS_OF.replace("07-14", "07-18").replace("07-15", "07-19"))
+
+
 @query(_with(_SCORED + "SELECT id, rubro, overlay FROM x"))
 def rubric_of_contracts(spark, sf_dir):
     c = contracts(spark, sf_dir).filter(state.in_scope())

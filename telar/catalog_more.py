@@ -17,6 +17,7 @@ from telar.functions import text as T
 from telar.functions import time as D
 from telar.functions import vector as V
 from telar.operators import chunking, classify, embedding, merge, quality, reports, search, state
+from telar.operators.cells import CellIndex
 from telar.operators.text_index import TextIndex, of_files
 from telar.shared import shared_dir
 
@@ -466,6 +467,33 @@ def _near(spark, sf_dir):
     return hits.withColumn("relevant", F.col("label") == F.col("want")), q
 
 
+def _cells(spark, sf_dir) -> CellIndex:
+    """The written cells of the embeddings; the first search of these files builds them."""
+    e = table(spark, sf_dir, "embeddings")
+    index = CellIndex(spark, f"{shared_dir(spark)}/telar-index/cells-{of_files(e)}")
+    return index if index.built() else index.build(e)
+
+
+_HUNDREDTH = "SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id % 100 = 0"
+
+
+def _hundredth(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
+@query(f"SELECT query_id, vec_id AS id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS similarity, CAST(row_number() OVER (PARTITION BY query_id ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) DESC, vec_id) AS INT) AS rank FROM embeddings, ({_HUNDREDTH}) QUALIFY rank <= 10")
+def vector_cells_exact(spark, sf_dir):
+    """By cells, opened until none left can hold one of the ten nearest."""
+    return _cells(spark, sf_dir).search(_hundredth(spark, sf_dir)).select("query_id", "id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+@query()
+def vector_cells_probed(spark, sf_dir):
+    """By as many cells a query as 19 in 20 of the nearest take; approximate (its recall is tested), so without SQL."""
+    index = _cells(spark, sf_dir)
+    return index.search(_hundredth(spark, sf_dir), probes=index.probes_for(0.95)).select("query_id", "id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
 @query(f"WITH h AS ({_NEAR}) SELECT query_id, count(*) FILTER (rank <= 6 AND rank > 3) AS n_both, count(*) FILTER (rank <= 3) AS only_a, count(*) FILTER (rank > 6) AS only_b FROM h GROUP BY 1")
 def overlap_of_lists(spark, sf_dir):
     h, _ = _near(spark, sf_dir)

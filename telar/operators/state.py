@@ -25,7 +25,12 @@ def in_scope() -> Column:
 
 def day_flags(df: DataFrame, state: Column, end: Column, published: Column, as_of: str | None = None, zone: str = ZONE) -> DataFrame:
     """The nine flags by local calendar day; null where an open record's end is unknown, as comparisons give it."""
-    d, fin, pub = today(as_of, zone), local_date(end, zone), local_date(published, zone)
+    return flagged(df, state, local_date(end, zone), local_date(published, zone), as_of, zone)
+
+
+def flagged(df: DataFrame, state: Column, fin: Column, pub: Column, as_of: str | None = None, zone: str = ZONE) -> DataFrame:
+    """The flags from local days; with the days themselves as ``hoy``, ``fin`` and ``pub``."""
+    d = today(as_of, zone)
     open_ = state == OPEN
     return df.withColumns({
         "hoy": d, "fin": fin, "pub": pub,
@@ -38,8 +43,9 @@ def day_flags(df: DataFrame, state: Column, end: Column, published: Column, as_o
     })
 
 
-def _count(c: Column, name: str) -> Column:
-    return F.count_if(F.coalesce(c, F.lit(False))).cast("int").alias(name)
+def _count(c: Column, name: str, n: Column) -> Column:
+    """The sum of n where the condition holds."""
+    return F.coalesce(F.sum(F.when(c, n)), F.lit(0)).cast("int").alias(name)
 
 
 def _listed(rows: Column, label: str, order) -> Column:
@@ -58,11 +64,11 @@ def _lists() -> list[Column]:
     return [_listed(rows, "linea", lambda x, n: F.struct((-n).alias("a"), x.alias("b"))).alias("por_linea"), _listed(rows, "rubro", place).alias("por_rubro")]
 
 
-def _text() -> Column:
+def text_of() -> Column:
     return F.concat_ws(" ", F.coalesce("descripcion", F.lit("")), F.coalesce("descripcion_contrato", F.lit("")))
 
 
-def _rubric() -> Column:
+def rubric_of() -> Column:
     return R.rubric(*map(F.col, ("categoria_it", "relevancia_ia", "descripcion", "descripcion_contrato")))
 
 
@@ -72,23 +78,33 @@ def kpis(contracts: DataFrame, as_of: str | None = None) -> DataFrame:
     One scan: counts by line and level, and those few groups summed. Only open records meet the regular expressions of the rubric.
     """
     it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
+    return kpis_of(it, F.coalesce("categoria_it", F.lit("(sin línea)")), rubric_of(), F.lit(1))
+
+
+def kpis_of(it: DataFrame, line: Column, level: Column, n: Column) -> DataFrame:
+    """The dashboard of flagged rows that stand for n records each."""
     d, post = F.col("hoy"), F.coalesce("es_postulable", F.lit(False))
     numbers = {
         "total_postulables": post, "cierran_hoy": post & F.col("cierra_hoy"), "cierran_manana": post & F.col("cierra_manana"), "cierran_semana": post & F.col("cierra_semana"), "nuevos_hoy_postulables": post & F.col("es_nuevo_hoy"),
         "vigentes_ventana_vencida": F.col("es_vigente_ventana_vencida"), "en_evaluacion": F.col("es_en_evaluacion"), "culminados_it": F.col("es_culminado"),
         "altas_it_7d": F.col("pub").between(F.date_sub(d, 6), d), "altas_it_7d_prev": F.col("pub").between(F.date_sub(d, 13), F.date_sub(d, 7)),
     }
-    groups = it.groupBy(F.coalesce("categoria_it", F.lit("(sin línea)")).alias("linea"), F.when(post, _rubric()).alias("rubro")).agg(*(_count(c, n) for n, c in numbers.items()), _count(post, "n"))
-    return groups.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("int").alias(n) for n in numbers), *_lists())
+    groups = it.groupBy(line.alias("linea"), F.when(post, level).alias("rubro")).agg(*(_count(c, name, n) for name, c in numbers.items()), _count(post, "n", n))
+    return groups.agg(*(F.coalesce(F.sum(name), F.lit(0)).cast("int").alias(name) for name in numbers), *_lists())
 
 
 def business_kpis(contracts: DataFrame, as_of: str | None = None) -> DataFrame:
     """Open records by rubric, lines and overlay, and the two lists; one scan, as kpis."""
-    it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of).filter("es_postulable")
-    groups = it.groupBy(F.coalesce("categoria_it", F.lit("(sin línea)")).alias("linea"), _rubric().alias("rubro"), R.overlay(_text()).alias("overlay")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    it = day_flags(contracts.filter(in_scope()), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
+    return business_kpis_of(it, F.coalesce("categoria_it", F.lit("(sin línea)")), rubric_of(), R.overlay(text_of()), F.lit(1))
+
+
+def business_kpis_of(it: DataFrame, line: Column, level: Column, overlay: Column, n: Column) -> DataFrame:
+    """The same of flagged rows that stand for n records each."""
+    groups = it.filter("es_postulable").groupBy(line.alias("linea"), level.alias("rubro"), overlay.alias("overlay")).agg(F.sum(n).cast("int").alias("n"))
     of = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("int").alias(name)
     levels = [of(F.col("rubro") == x, f"{x}_postulables") for x in reversed(R.LEVELS)]
-    lines = [of(F.col("linea") == c, n) for c, n in (("IA/analytics", "nucleo_ia"), ("Cloud/hosting", "nucleo_cloud"), ("Desarrollo software", "nucleo_dev"))]
+    lines = [of(F.col("linea") == c, name) for c, name in (("IA/analytics", "nucleo_ia"), ("Cloud/hosting", "nucleo_cloud"), ("Desarrollo software", "nucleo_dev"))]
     return groups.agg(*levels, of(F.col("rubro").isNull(), "sin_rubro_postulables"), *lines, of(F.col("overlay") == "telemetria", "nucleo_tel"), *_lists())
 
 
@@ -101,8 +117,8 @@ def ranking(contracts: DataFrame, as_of: str | None = None, open_only: bool = Tr
     """Opportunities by score, best first, then the sooner end, then id."""
     it = day_flags(contracts.filter(in_scope() & F.col("estado").isin(OPEN, EVALUATED)), F.col("estado"), F.col("fecha_fin_cotizacion"), F.col("fecha_publica"), as_of)
     it = it.filter("es_postulable") if open_only else it
-    level = _rubric()
-    score = R.opportunity_score(level, F.col("estado"), F.datediff("fin", "hoy"), R.signal_points(F.col("relevancia_ia"), F.col("objeto"), R.has_real_ai(_text())))
+    level = rubric_of()
+    score = R.opportunity_score(level, F.col("estado"), F.datediff("fin", "hoy"), R.signal_points(F.col("relevancia_ia"), F.col("objeto"), R.has_real_ai(text_of())))
     ranked = it.withColumns({"rubro": level, "score": score}).orderBy(F.desc("score"), F.col("fecha_fin_cotizacion").asc_nulls_last(), F.desc("id"))
     return ranked.limit(limit) if limit else ranked
 
