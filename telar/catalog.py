@@ -341,7 +341,7 @@ def fts_scan_documents(spark, sf_dir):
 @query("SELECT doc_id, lang, 1.0::DOUBLE AS rank FROM documents WHERE lang = 'en' AND source ILIKE '%SRC1%' ORDER BY n_chars DESC NULLS LAST, doc_id LIMIT 200")
 def record_search_filters(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return search.search_records(d, " ", {"lang": "en"}, {"source": "SRC1"}, ["text"], "doc_id", "n_chars", 1000).select("doc_id", "lang", "rank")
+    return search.search_records(d, " ", {"lang": "en"}, {"source": "SRC1"}, ["text"], "doc_id", "n_chars", 1000, most=search.MOST_ROWS).select("doc_id", "lang", "rank")
 
 
 _HYBRID = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), q AS (SELECT vec_id AS query_id, v AS q FROM e WHERE vec_id % 100 = 0),

@@ -20,6 +20,7 @@ from telar.operators import chunking, classify, embedding, merge, quality, repor
 from telar.operators.cells import CellIndex
 from telar.operators.text_index import TextIndex, of_files
 from telar.shared import shared_dir
+from telar.sources.upsert import FolderTransport, UnknownColumn, UpsertSink
 
 _C = f"WITH c AS ({CONTRACTS_SQL}) "
 
@@ -390,7 +391,7 @@ def extracted_pages(spark, sf_dir):
 
     n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("id"), n.alias("pagina"), F.col("text").alias("texto"))
-    out = state.extracted_pages(pages)
+    out = state.extracted_pages(pages, most_scans=40)
     return out.select("id", F.col("tdr_n_paginas").alias("n"), F.col("tdr_n_paginas_ocr").alias("n_scans"), F.nullif(F.array_join("paginas_ocr_pendientes", ","), F.lit("")).alias("due"), F.col("tdr_tipo_extraccion").alias("kind"))
 
 
@@ -539,7 +540,7 @@ def text_when_few(spark, sf_dir):
 def context_of_contracts(spark, sf_dir):
     c = contracts(spark, sf_dir).withColumn("tdr_texto", F.when(F.col("id") % 3 == 0, " stored ").otherwise(" "))
     chunks = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("contrato_id"), F.col("l_linenumber").alias("chunk_index"), F.lit(None).cast("string").alias("fuente"), F.col("l_returnflag").alias("tipo"), F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("texto"))
-    return search.context_text(c, chunks)
+    return search.context_text(c, chunks, 80, 60_000)
 
 
 @query(_C + "(SELECT id FROM c WHERE nro_contratacion ILIKE '%n-3%' ORDER BY id DESC LIMIT 1) UNION ALL SELECT id FROM c WHERE id = 5")
@@ -584,7 +585,7 @@ def _rank_sql(terms: str) -> str:
 
 @query(f"WITH {_DESCRIBED}, {_rank_sql("SELECT 'x' AS term, unnest(['servici', 'sistem']) AS stem")} SELECT id, round(rank, 6) AS rank FROM hits JOIN g USING (id) WHERE estado = 'Vigente' AND entidad ILIKE '%0%' ORDER BY hits.rank DESC, fecha_publica DESC NULLS LAST, id LIMIT 200")
 def spanish_record_search(spark, sf_dir):
-    found = search.search_records(_described(spark, sf_dir), "los Servicios de SISTEMAS", {"estado": "Vigente", "objeto": None}, {"entidad": "0"}, limit=500)
+    found = search.search_records(_described(spark, sf_dir), "los Servicios de SISTEMAS", {"estado": "Vigente", "objeto": None}, {"entidad": "0"}, limit=500, most=search.MOST_ROWS)
     return found.select("id", F.round("rank", 6).alias("rank"))
 
 
@@ -685,6 +686,47 @@ def paged_records(spark, sf_dir):
     return spark.read.format("paged").option("transport", "telar.catalog_more:Numbered").option("size", 10).option("param.rows", n).option("known_id", 40).load()
 
 
+class Hesitant(FolderTransport):
+    """A target that refuses every batch once, and does not know one of the columns."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.seen: set[str] = set()
+
+    def upsert(self, rows: list[dict], keys: list[str], token: str) -> None:
+        if "objeto" in rows[0]:
+            raise UnknownColumn("objeto")
+        if token not in self.seen:
+            self.seen.add(token)
+            raise OSError("busy")
+        super().upsert(rows, keys, token)
+
+
+@query(_C + "SELECT id, nro_contratacion, estado, true AS complete FROM c")
+def sent_records(spark, sf_dir):
+    """Contracts sent in batches of 500 to a target that hesitates, and read back from it."""
+    spark.dataSource.register(UpsertSink)
+    folder = f"{_folder(spark)}/sent"
+    c = contracts(spark, sf_dir).select("id", "nro_contratacion", "estado", "objeto")
+    c.write.format("upsert").option("transport", "telar.catalog_more:Hesitant").option("folder", folder).option("pause", 0).mode("append").save()
+    back = spark.read.schema("id long, nro_contratacion string, estado string, objeto string").json(folder)
+    return back.select("id", "nro_contratacion", "estado", F.col("objeto").isNull().alias("complete"))
+
+
+@query(
+    """WITH g AS (SELECT c_nationkey AS nation, count(*) AS n FROM customer GROUP BY 1), h AS (SELECT nation, sum(k * (k - 1)) AS same FROM (SELECT c_nationkey AS nation, count(*) AS k FROM customer GROUP BY 1, c_custkey % 3) GROUP BY 1),
+    b AS (SELECT nation, sum(k * (k - 1)) AS same FROM (SELECT c_nationkey AS nation, count(*) AS k FROM customer GROUP BY 1, c_custkey % 2) GROUP BY 1)
+    SELECT nation, round(h.same / (n * (n - 1.0)), 6) AS header, round(b.same / (n * (n - 1.0)), 6) AS body, CASE WHEN h.same / (n * (n - 1.0)) < b.same / (n * (n - 1.0)) - 0.01 THEN 'header' ELSE 'body' END AS better FROM g JOIN h USING (nation) JOIN b USING (nation) WHERE n > 1"""
+)
+def embedded_modes(spark, sf_dir):
+    """Two ways of making the texts to embed, by how far apart their vectors lie in a nation."""
+    word = lambda n: F.element_at(F.array(*map(F.lit, ("agua", "red", "nube")[:n])), (F.col("c_custkey") % n + 1).cast("int"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    means = embedding.compare_modes(rows, {"header": word(3), "body": word(2)}, embedding.hashing_embedder(), "nation")
+    means = means.groupBy("nation").agg(*(F.max(F.when(F.col("mode") == m, F.col("mean_cosine"))).alias(m) for m in ("header", "body")))
+    return means.select("nation", F.round("header", 6).alias("header"), F.round("body", 6).alias("body"), F.when(F.col("header") < F.col("body") - 0.01, "header").otherwise("body").alias("better"))
+
+
 def _detail(key: int) -> dict | None:
     if key % 7 == 0:
         raise ValueError("refused")
@@ -775,7 +817,7 @@ def ranked_events(spark, sf_dir):
     url = F.concat(F.lit("http://h/"), F.when(k % 4 == 0, "archivo/").otherwise("x/"), k.cast("string"), F.when(k % 5 == 0, ".js").otherwise(""))
     none = F.lit(None).cast("string")
     e = table(spark, sf_dir, "events").select(F.lit("GET").alias("method"), url.alias("url"), F.when(k % 3 == 0, "application/pdf").alias("content_type"), none.alias("content_disposition"), none.alias("kind"), F.lit(False).alias("magic_pdf"), F.when(k % 2 == 0, "xhr").otherwise("script").alias("resource_type"), k.cast("double").alias("t"))
-    best = discovery.candidates(e, F.lit(42), F.lit(500.0))
+    best = discovery.candidates(e, F.lit(42), F.lit(500.0), most=12)
     return best.select("url", F.col("score").cast("int").alias("score"), discovery.url_template(F.col("url"), F.lit(42)).alias("template"))
 
 

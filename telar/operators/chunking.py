@@ -94,11 +94,12 @@ def embed_text(entity: Column, description: Column, kind: Column, number: Column
     return F.concat(T.long_header(entity, T.subject(description, kind), number), F.lit("\n"), T.without_letterhead(T.body(shown)))
 
 
-def text_to_embed(source: Column, shown: Column, stored: Column, mode: str = "auto", longest: int = 8000) -> Column:
+def text_to_embed(source: Column, shown: Column, stored: Column, mode: str = "auto", longest: int | None = None) -> Column:
     """pdf: the stored text, or else the body; api: the text with its header. ``mode``: auto, header or body."""
     own = T.first_nonblank(stored, T.body(shown))
     c = {"header": shown, "body": T.body(shown)}.get(mode)
-    return F.substring(F.when(source == "pdf", own).otherwise(shown) if c is None else c, 1, longest)
+    text = F.when(source == "pdf", own).otherwise(shown) if c is None else c
+    return text if longest is None else F.substring(text, 1, longest)
 
 
 def pending(contracts: DataFrame, chunks: DataFrame, source: str | None = None) -> DataFrame:

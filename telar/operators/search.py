@@ -155,8 +155,8 @@ def ranked_hits(entries: DataFrame, k: int = 0, order: Sequence[Column] = (), ab
     return hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
 
 
-def search_records(df: DataFrame, term: str | None = "", equals: dict[str, str | None] | None = None, like: dict[str, str | None] | None = None, text: Sequence[str] = ("descripcion", "entidad", "descripcion_contrato", "objeto"), id_col: str = "id", date_col: str = "fecha_publica", limit: int = 50, offset: int = 0) -> DataFrame:
-    """All stems of the term, optional filters (null: none), by rank, then newest; at most 200 rows. A term that is blank, or all stop words, finds all rows at rank 1 or none, as in the database."""
+def search_records(df: DataFrame, term: str | None = "", equals: dict[str, str | None] | None = None, like: dict[str, str | None] | None = None, text: Sequence[str] = ("descripcion", "entidad", "descripcion_contrato", "objeto"), id_col: str = "id", date_col: str = "fecha_publica", limit: int = 50, offset: int = 0, most: int | None = None) -> DataFrame:
+    """All stems of the term, optional filters (null: none), by rank, then newest; a page of ``limit`` rows, and of ``most`` (the SQL function's is ``MOST_ROWS``) if that is less. A term that is blank, or all stop words, finds all rows at rank 1 or none, as in the database."""
     for c, v in (equals or {}).items():
         df = df.filter(F.col(c) == v) if v is not None else df
     for c, v in (like or {}).items():
@@ -167,7 +167,7 @@ def search_records(df: DataFrame, term: str | None = "", equals: dict[str, str |
         stems = [r.stem for r in spanish_terms(asked).collect()]
         hits = spanish_hits(lexemes(df, id_col, text, stems), asked).select(F.col("id").alias("__id"), "rank")
         found = df.join(hits, F.col(id_col) == F.col("__id")).drop("__id")
-    return found.orderBy(F.desc("rank"), F.col(date_col).desc_nulls_last(), F.asc(id_col)).offset(offset).limit(min(limit, MOST_ROWS))
+    return found.orderBy(F.desc("rank"), F.col(date_col).desc_nulls_last(), F.asc(id_col)).offset(offset).limit(limit if most is None else min(limit, most))
 
 
 def vector_search(chunks: DataFrame, query: Sequence[float], k: int = 10, min_similarity: float = 0.2, vector: str = "embedding_v2", parents: DataFrame | None = None, state: str | None = "Vigente", ties: Sequence[str] = ("contrato_id", "chunk_index")) -> DataFrame:
@@ -282,13 +282,13 @@ def overlap(a: DataFrame, b: DataFrame, query: str = "query_id", key: str = "id"
     return both.groupBy(query).agg(F.count(F.col("a") + F.col("b")).alias("n_both"), F.count_if(F.col("b").isNull()).alias("only_a"), F.count_if(F.col("a").isNull()).alias("only_b"))
 
 
-def context_text(contracts: DataFrame, chunks: DataFrame, most_chunks: int = 80, most_chars: int = 60_000) -> DataFrame:
-    """id, context, origin: the stored text, or else the first chunks joined, or else nothing."""
-    few = chunks.filter(F.col("chunk_index").isNotNull()).withColumn("texto", F.concat(F.lit("["), F.coalesce("fuente", F.lit("api")), F.lit(" · "), F.coalesce("tipo", F.lit("chunk")), F.lit("]\n"), F.coalesce("texto", F.lit("")))).withColumn("__n", F.row_number().over(Window.partitionBy("contrato_id").orderBy("chunk_index"))).filter(F.col("__n") <= most_chunks)
+def context_text(contracts: DataFrame, chunks: DataFrame, most_chunks: int | None = None, most_chars: int | None = None) -> DataFrame:
+    """id, context, origin: the stored text, or else the chunks joined, or else nothing. The original takes 80 chunks and 60,000 characters: ask for that with the bounds."""
+    few = chunks.filter(F.col("chunk_index").isNotNull()).withColumn("texto", F.concat(F.lit("["), F.coalesce("fuente", F.lit("api")), F.lit(" · "), F.coalesce("tipo", F.lit("chunk")), F.lit("]\n"), F.coalesce("texto", F.lit("")))).withColumn("__n", F.row_number().over(Window.partitionBy("contrato_id").orderBy("chunk_index"))).filter(F.lit(True) if most_chunks is None else F.col("__n") <= most_chunks)
     joined = few.groupBy(F.col("contrato_id").alias("id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", "texto"))), lambda s: s["texto"]), "\n\n").alias("joined"))
     stored = F.nullif(F.trim(F.coalesce("tdr_texto", F.lit(""))), F.lit(""))
-    both = contracts.select("id", stored.alias("stored")).join(joined, "id", "left")
-    return both.select("id", F.substring(F.coalesce("stored", "joined", F.lit("")), 1, most_chars).alias("context"), F.when(F.col("stored").isNotNull(), "tdr_texto").when(F.col("joined").isNotNull(), "chunks").otherwise("ficha").alias("origin"))
+    both, text = contracts.select("id", stored.alias("stored")).join(joined, "id", "left"), F.coalesce("stored", "joined", F.lit(""))
+    return both.select("id", (text if most_chars is None else F.substring(text, 1, most_chars)).alias("context"), F.when(F.col("stored").isNotNull(), "tdr_texto").when(F.col("joined").isNotNull(), "chunks").otherwise("ficha").alias("origin"))
 
 
 def find_contract(contracts: DataFrame, key: int | None = None, number: str | None = None) -> DataFrame:

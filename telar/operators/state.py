@@ -246,10 +246,10 @@ def planned(df: DataFrame, cost: str, budget: float, group: Sequence[str], *orde
     return df.withColumn("running", F.sum(cost).over(w)).withColumn("planned", F.col("running") <= budget)
 
 
-def extracted_pages(pages: DataFrame, least_chars: int = 80, most_scans: int = 40) -> DataFrame:
+def extracted_pages(pages: DataFrame, least_chars: int = 80, most_scans: int | None = None) -> DataFrame:
     """Per document from its pages (id, pagina, texto): the text with page marks, page lists and type.
 
-    A page with fewer than ``least_chars`` letters is an image; the first ``most_scans`` of them are due.
+    A page with fewer than ``least_chars`` letters is an image; all of them are due, or the first ``most_scans`` (40 in the original).
     """
     from telar.functions.text import clean_text, page_kind, page_mark, useful_chars
 
@@ -259,7 +259,7 @@ def extracted_pages(pages: DataFrame, least_chars: int = 80, most_scans: int = 4
         F.count(F.lit(1)).cast("int").alias("tdr_n_paginas"), F.count_if("scan").cast("int").alias("tdr_n_paginas_ocr"), F.array_sort(F.collect_list(F.when(F.col("scan"), F.col("pagina")))).alias("scans"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("scan"), F.struct("pagina", mark.alias("t"))))), lambda s: s["t"]), "\n\n").alias("tdr_texto"),
     )
-    return doc.select("id", "tdr_texto", "tdr_n_paginas", (F.col("tdr_n_paginas") - F.col("tdr_n_paginas_ocr")).alias("tdr_n_paginas_nativas"), "tdr_n_paginas_ocr", F.slice("scans", 1, most_scans).alias("paginas_ocr_pendientes"), page_kind(F.col("tdr_n_paginas"), F.col("tdr_n_paginas_ocr")).alias("tdr_tipo_extraccion"))
+    return doc.select("id", "tdr_texto", "tdr_n_paginas", (F.col("tdr_n_paginas") - F.col("tdr_n_paginas_ocr")).alias("tdr_n_paginas_nativas"), "tdr_n_paginas_ocr", (F.col("scans") if most_scans is None else F.slice("scans", 1, most_scans)).alias("paginas_ocr_pendientes"), page_kind(F.col("tdr_n_paginas"), F.col("tdr_n_paginas_ocr")).alias("tdr_tipo_extraccion"))
 
 
 def funnel_lists(payload: DataFrame, column: str = "payload") -> tuple[DataFrame, DataFrame]:

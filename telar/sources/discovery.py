@@ -32,7 +32,8 @@ def url_template(url: Column, key: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, F.concat(F.lit("(^|/)"), k, F.lit("(?=/|$|\\?)")), F.lit("$1{id}")), F.concat(F.lit("="), k, F.lit("(?=&|$)")), F.lit("={id}"))
 
 
-def candidates(events: DataFrame, key: Column, clicked: Column | None = None, least: int = 30, most: int = 12, on: Sequence[str] = ("method", "url")) -> DataFrame:
-    """The best events, each method and URL once."""
+def candidates(events: DataFrame, key: Column, clicked: Column | None = None, least: int = 30, most: int | None = None, on: Sequence[str] = ("method", "url")) -> DataFrame:
+    """The best events, each method and URL once; ``most`` of them (12 in the original) if that is given."""
     scored = events.withColumn("score", score(key, clicked))
-    return latest(scored, on, F.desc("score"), F.col("t")).filter(F.col("score") >= least).orderBy(F.desc("score"), "t").limit(most)
+    best = latest(scored, on, F.desc("score"), F.col("t")).filter(F.col("score") >= least).orderBy(F.desc("score"), "t")
+    return best if most is None else best.limit(most)
