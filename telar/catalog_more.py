@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.catalog import AS_OF, CONTRACTS_SQL, NOW, _with, contracts, query, table
+from telar.catalog import QUERIES as CATALOG
+from telar.catalog import SQL as CATALOG_SQL
 from telar.functions import spanish
 from telar.functions import text as T
 from telar.functions import time as D
@@ -234,7 +236,6 @@ def _with_texts(spark, sf_dir):
     return c.withColumn("tdr_texto", F.when(F.col("id") % 4 != 0, F.concat(F.lit("--- pagina 1 ---\nel bien "), F.col("id").cast("string"), F.lit(" se entrega."))))
 
 
-_SHORT = "'[' || 'C' || CASE WHEN length(entidad) > 0 THEN '' ELSE '' END || left(regexp_extract(entidad, '[0-9]+'), 1) || ' | ' || descripcion_contrato || ']'"
 
 
 @query(
@@ -507,7 +508,7 @@ def mean_similarity(spark, sf_dir):
     return search.mean_similarity(h.filter("rank <= 5"), q).withColumn("mean_similarity", F.round("mean_similarity", 6))
 
 
-@query(f"WITH h AS ({_NEAR}), g AS (SELECT query_id, id FROM h WHERE rank % 2 = 0 UNION ALL SELECT vec_id, -1 FROM embeddings WHERE vec_id % 100 = 0) SELECT query_id, CAST(count(*) AS BIGINT) AS n_hits, CAST(count(*) FILTER (relevant AND rank <= 5) > 0 AS INT) * 0 + round_even(count(*) FILTER (relevant AND rank <= 5) / 5.0, 3)::DOUBLE AS p_at_5, CAST(6 AS BIGINT) AS gold, round_even(5 / 6.0, 3)::DOUBLE AS recall FROM h GROUP BY 1")
+@query(f"WITH h AS ({_NEAR}), g AS (SELECT query_id, id FROM h WHERE rank % 2 = 0 UNION ALL SELECT vec_id, -1 FROM embeddings WHERE vec_id % 100 = 0) SELECT query_id, CAST(count(*) AS BIGINT) AS n_hits, round_even(count(*) FILTER (relevant AND rank <= 5) / 5.0, 3)::DOUBLE AS p_at_5, CAST(6 AS BIGINT) AS gold, round_even(5 / 6.0, 3)::DOUBLE AS recall FROM h GROUP BY 1")
 def retrieval_with_gold(spark, sf_dir):
     h, q = _near(spark, sf_dir)
     gold = h.filter("rank % 2 = 0").select("query_id", "id").unionByName(q.select("query_id", F.lit(-1).cast("long").alias("id")))
@@ -686,6 +687,54 @@ def paged_records(spark, sf_dir):
     return spark.read.format("paged").option("transport", "telar.catalog_more:Numbered").option("size", 10).option("param.rows", n).option("known_id", 40).load()
 
 
+_EXPORTED = ["c_name", "c_custkey", "c_mktsegment"]  # in this order in the file
+
+
+def _exported(spark, sf_dir, most_bytes=0):
+    from telar.sources.files import write_csv
+
+    path = f"{_folder(spark)}/csv"
+    write_csv(table(spark, sf_dir, "customer"), path, _EXPORTED, "c_custkey", most_bytes)
+    return spark.read.schema("c_name string, c_custkey long, c_mktsegment string").option("header", True).option("enforceSchema", True).csv(path)
+
+
+@query("SELECT c_name, c_custkey, c_mktsegment FROM customer")
+def csv_export(spark, sf_dir):
+    """All rows as CSV with byte-order mark and fixed columns, read back."""
+    return _exported(spark, sf_dir)
+
+
+@query("SELECT c_name, c_custkey, c_mktsegment FROM customer ORDER BY c_custkey DESC LIMIT 1000")
+def csv_newest(spark, sf_dir):
+    """Beyond the bytes asked for, the newest thousand rows."""
+    return _exported(spark, sf_dir, most_bytes=1000)
+
+
+@query(CATALOG_SQL["retrieval_macro"])
+def report_written(spark, sf_dir):
+    """The evaluation's report as JSON lines, read back."""
+    from telar.sources.files import append_json
+
+    report, path = CATALOG["retrieval_macro"](spark, sf_dir), f"{_folder(spark)}/report"
+    append_json(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+_FILE = "CASE n_nationkey % 3 WHEN 0 THEN '%PDF-1.7 ' WHEN 1 THEN ' <!DOCTYPE html><p>' ELSE '' END || n_name"
+
+
+@query(f"SELECT n_nationkey AS k, strlen({_FILE}) + 1 AS length, sha256({_FILE} || chr(10)) AS sha256, n_nationkey % 3 = 0 AS is_pdf, n_nationkey % 3 = 1 AS is_html FROM nation")
+def document_files(spark, sf_dir):
+    """A file a nation: documents, web pages in their disguise, and others."""
+    from telar.sources.files import read_documents
+
+    n, path = table(spark, sf_dir, "nation"), f"{_folder(spark)}/files"
+    head = F.when(F.col("n_nationkey") % 3 == 0, "%PDF-1.7 ").when(F.col("n_nationkey") % 3 == 1, " <!DOCTYPE html><p>").otherwise("")
+    n.select(F.col("n_nationkey").alias("key"), F.concat(head, "n_name").alias("value")).write.partitionBy("key").text(path)
+    files = read_documents(spark, f"{path}/*", "*.txt")
+    return files.select(F.regexp_extract("path", r"key=(\d+)", 1).cast("long").alias("k"), "length", "sha256", "is_pdf", "is_html")
+
+
 class Hesitant(FolderTransport):
     """A target that refuses every batch once, and does not know one of the columns."""
 
