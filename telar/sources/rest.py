@@ -9,6 +9,11 @@ Options: ``size`` (rows a page), ``max_pages`` (no limit unless given), ``known_
 used once the first one refuses with 401 or 403), and any ``param.NAME`` pushed to
 the API. Records that are no objects or have no integer id come through with a null
 id, for validation to turn down.
+
+``spark.readStream.format("paged")`` reads the same source as a stream whose offset
+is the highest id: a batch is what lies between two ids, so it can be replayed, and a
+restart from a checkpoint goes on behind the last one. ``known_id`` is where a new stream
+starts. Records without an integer id have no place between two offsets and are left to the batch reader.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import urllib.request
 from collections.abc import Iterator
 from urllib.parse import urlencode
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "page int, id long, payload string"
 
@@ -62,12 +67,32 @@ class Pages(InputPartition):
         self.first, self.last = first, last
 
 
-class PagedReader(DataSourceReader):
+class Ids(InputPartition):
+    """Ids above ``low``, up to ``high``."""
+
+    def __init__(self, low: int, high: int):
+        self.low, self.high = low, high
+
+
+class _Paged:
     def __init__(self, options: dict):
         self.options = dict(options)
         self.size = int(options.get("size", 100))
         self.params = {k.removeprefix("param."): v for k, v in self.options.items() if k.startswith("param.")}
 
+    def first_page_down_to(self, source, key: int, pages: int, head: dict | None = None) -> int:
+        """The first page with an id at or below the key, or the last page; ids fall from page to page."""
+        first, last = 1, pages
+        while first < last:
+            middle = (first + last) // 2
+            rows = head.get("data") if head is not None and middle == 1 else source.fetch(middle, self.size, self.params).get("data")
+            ids = [k for k in map(record_id, rows or []) if k is not None]
+            first, last = (first, middle) if not rows or ids and min(ids) <= key else (middle + 1, last)
+        return first
+
+
+class PagedReader(_Paged, DataSourceReader):
+
     def partitions(self) -> list[Pages]:
         """The first page tells how many there are. With ``known_id`` (ids fall from page to page) the last page needed is found by halving."""
         source, most = transport(self.options), int(self.options.get("max_pages", 0))
@@ -76,13 +101,7 @@ class PagedReader(DataSourceReader):
         pages = min(most, pages) if most else pages
         known = int(self.options.get("known_id", 0))
         if known:
-            first, last = 1, pages  # the first page with an id at or below the known one, or the last
-            while first < last:
-                middle = (first + last) // 2
-                rows = head.get("data") if middle == 1 else source.fetch(middle, self.size, self.params).get("data")
-                ids = [k for k in map(record_id, rows or []) if k is not None]
-                first, last = (first, middle) if not rows or ids and min(ids) <= known else (middle + 1, last)
-            pages = first
+            pages = self.first_page_down_to(source, known, pages, head)
         step = max(1, pages // int(self.options.get("partitions", 32)) or 1)
         return [Pages(a, min(pages, a + step - 1)) for a in range(1, pages + 1, step)]
 
@@ -98,6 +117,44 @@ class PagedReader(DataSourceReader):
                 return
 
 
+class PagedStream(_Paged, DataSourceStreamReader):
+    """Each task finds the pages of its own range of ids and reads on until it is below it.
+
+    New records push old ones to later pages, never to earlier ones. So a task that
+    reads forward may see a record again, which it leaves out, but misses none.
+    """
+
+    def initialOffset(self) -> dict:
+        return {"id": int(self.options.get("known_id", 0))}
+
+    def latestOffset(self) -> dict:
+        rows = transport(self.options).fetch(1, self.size, self.params).get("data") or []
+        return {"id": max([self.initialOffset()["id"], *(k for k in map(record_id, rows) if k is not None)])}
+
+    def partitions(self, start: dict, end: dict) -> list[Ids]:
+        low, high = start["id"], end["id"]
+        n = max(1, min(int(self.options.get("partitions", 32)), (high - low) // self.size))
+        cuts = [low + (high - low) * i // n for i in range(n + 1)]
+        return [Ids(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+
+    def read(self, partition: Ids) -> Iterator[tuple]:
+        source, seen = transport(self.options), set()
+        pages = int(source.fetch(1, self.size, self.params).get("pageable", {}).get("totalPages") or 1)
+        page = self.first_page_down_to(source, partition.high, pages)
+        while rows := source.fetch(page, self.size, self.params).get("data"):
+            ids = [record_id(r) for r in rows]
+            for key, r in zip(ids, rows, strict=True):
+                if key is not None and partition.low < key <= partition.high and key not in seen:
+                    seen.add(key)
+                    yield page, key, json.dumps(r, ensure_ascii=False)
+            if min((k for k in ids if k is not None), default=partition.low + 1) <= partition.low:
+                return
+            page += 1
+
+    def commit(self, end: dict) -> None:
+        """The source keeps nothing for us."""
+
+
 class PagedSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -108,3 +165,6 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)
+
+    def streamReader(self, schema) -> PagedStream:
+        return PagedStream(self.options)
