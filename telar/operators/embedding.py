@@ -58,6 +58,8 @@ def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16,
                             raise ValueError(f"{len(vectors)} vectors for {len(some)} texts")
                         error = None
                         break
+                    except (TypeError, NameError, AttributeError):
+                        raise  # a fault of the program, not of the model
                     except Exception as e:  # a batch's failure is a result, not the job's
                         vectors, error = None, f"{type(e).__name__}: {e}"
                         time.sleep(pause * 2**attempt)

@@ -168,6 +168,6 @@ def of_files(*frames: DataFrame) -> str:
     """A name for the files that frames read, by their paths, sizes and times: an index of the same files serves again."""
     names = []
     for df in frames:
-        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        files = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select("path", "length", "modificationTime")  # contents stay unread
         names.append(files.agg(F.hex(F.bit_xor(F.xxhash64(*files.columns)))).first()[0])
     return "-".join(names)
