@@ -15,15 +15,27 @@ NOISE = ("listar-completo", "googleapis", "gstatic", "fonts.", ".js", ".css", "a
 STATIC = ("stylesheet", "script", "image", "font")
 
 
+# The points of what an event shows.
+POINTS = {"after_click": 25, "pdf_content_type": 100, "pdf_disposition": 90, "download": 80, "pdf_magic": 100, "wanted_word": 35, "called_by_script": 10, "holds_key": 8, "noise": -40, "static": -50}
+
+
 def score(key: Column, clicked: Column | None = None) -> Column:
-    """Points of an event with url, content_type, content_disposition, kind, magic_pdf, resource_type and t."""
-    url, low = F.coalesce("url", F.lit("")), F.lower(F.coalesce("url", F.lit("")))
-    ct, cd = (F.lower(F.coalesce(c, F.lit(""))) for c in ("content_type", "content_disposition"))
-    points = [
-        (25, F.col("t") >= clicked if clicked is not None else F.lit(False)), (100, ct.contains("application/pdf")), (90, cd.contains(".pdf") | cd.contains("application/pdf")), (80, F.col("kind") == "download"),
-        (100, F.col("magic_pdf")), *((35, low.contains(w)) for w in WANTED), (10, F.col("resource_type").isin("xhr", "fetch")), (8, url.contains(key.cast("string"))), (-40, low.rlike("|".join(n.replace(".", r"\.") for n in NOISE))), (-50, F.col("resource_type").isin(*STATIC)),
-    ]
-    return sum((F.when(F.coalesce(c, F.lit(False)), p).otherwise(0) for p, c in points), F.lit(0))
+    """Points of an event with url, content_type, content_disposition, kind, magic_pdf, resource_type and t; each wanted word counts."""
+    url = F.coalesce("url", F.lit(""))
+    low, kind, disposition = F.lower(url), F.lower(F.coalesce("content_type", F.lit(""))), F.lower(F.coalesce("content_disposition", F.lit("")))
+    shown = {
+        "after_click": F.lit(False) if clicked is None else F.col("t") >= clicked,
+        "pdf_content_type": kind.contains("application/pdf"),
+        "pdf_disposition": disposition.rlike(r"\.pdf|application/pdf"),
+        "download": F.col("kind") == "download",
+        "pdf_magic": F.col("magic_pdf"),
+        "called_by_script": F.col("resource_type").isin("xhr", "fetch"),
+        "holds_key": url.contains(key.cast("string")),
+        "noise": low.rlike("|".join(n.replace(".", r"\.") for n in NOISE)),
+        "static": F.col("resource_type").isin(*STATIC),
+    }
+    words = F.size(F.filter(F.array(*map(F.lit, WANTED)), lambda w: low.contains(w))) * POINTS["wanted_word"]
+    return sum((F.when(F.coalesce(c, F.lit(False)), POINTS[name]).otherwise(0) for name, c in shown.items()), words)
 
 
 def url_template(url: Column, key: Column) -> Column:
