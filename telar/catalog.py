@@ -557,3 +557,4 @@ def daily_event_windows(spark, sf_dir):
 
 
 from telar import catalog_more as _more  # noqa: E402, F401  # registers its queries here
+from telar import catalog_changes as _changes  # noqa: E402, F401  # likewise

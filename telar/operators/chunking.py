@@ -73,12 +73,12 @@ def contract_chunks(contracts: DataFrame) -> DataFrame:
     return rows.select(F.col("id").alias("contrato_id"), "chunk_index", F.col("c.tipo").alias("tipo"), F.concat("h", F.lit("\n"), F.col("c.t")).alias("texto"), F.lit("api").alias("fuente"))
 
 
-def document_chunks(contracts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def document_chunks(contracts: DataFrame, existing: DataFrame | None = None, split_over: int = SPLIT_OVER, target: int = TARGET) -> DataFrame:
     """Chunks of the extracted text, numbered on from the contract's highest existing chunk."""
     base = contracts.withColumn("__from", F.lit(0))
     if existing is not None:
         base = contracts.join(existing.groupBy(F.col("contrato_id").alias("id")).agg((F.max("chunk_index") + 1).cast("int").alias("__from")), "id", "left").withColumn("__from", F.coalesce("__from", F.lit(0)))
-    texts = parts(F.col("tdr_texto"))
+    texts = parts(F.col("tdr_texto"), split_over, target)
     number = _number()
     rows = base.select("id", "entidad", "descripcion", "objeto", number.alias("nro"), "__from", texts.alias("ts"))
     rows = rows.select("id", "entidad", "descripcion", "objeto", "nro", "__from", F.size("ts").alias("n"), F.posexplode("ts").alias("i", "part"))
