@@ -77,10 +77,9 @@ def changes_propagated(spark, sf_dir):
     records = d.select(F.col("doc_id").alias("id"), F.col("source").alias("entidad"), F.col("lang").alias("descripcion"), no.alias("objeto"), no.alias("descripcion_contrato"), F.col("doc_id").cast("string").alias("nro_contratacion"), F.lit("Vigente").alias("estado"))
     pages = d.select(F.col("doc_id").alias("id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pagina", "texto"))
     how = {"least_chars": 1, "split_over": 0, "target": 1}  # each line a page, each line a chunk
-    changes.propagate(records, pages, changes.empty_chunks(records), embedder, **how).chunks.write.parquet(f"{folder}/first")
+    _, first = changes.propagate(records, pages, changes.empty_chunks(records), f"{folder}/first", embedder, **how)
     later = pages.filter("id % 10 <> 7").withColumn("texto", F.when((F.col("id") % 10 == 3) & (F.col("pagina") == 0), F.concat("texto", F.lit(" cambio"))).otherwise(F.col("texto")))
-    changes.propagate(records, later, spark.read.parquet(f"{folder}/first"), embedder, **how).chunks.write.parquet(f"{folder}/second")
-    chunks = spark.read.parquet(f"{folder}/second")
+    _, chunks = changes.propagate(records, later, first, f"{folder}/second", embedder, **how)
     counts = chunks.groupBy(F.col("contrato_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_chunks"), F.count("embedding_v2").alias("n_vectors"))
     again = changes.work(chunks).select(F.col("contrato_id").alias("doc_id"), "n_reused", "n_embedded")
     n = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_chunks", "n_vectors")}

@@ -11,7 +11,6 @@ alone are joined.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,17 +23,6 @@ Reader = Callable[[list[tuple[int, int]]], list[str | None]]
 SOURCE = "pdf"
 
 
-@dataclass
-class Changed:
-    """contracts and chunks as they are now; ``reused`` of a chunk is null if its contract was left alone, else whether a former vector stands for it.
-
-    Write ``chunks`` before counting with `work`, so that texts are embedded once.
-    """
-
-    contracts: DataFrame
-    chunks: DataFrame
-
-
 def recognised(pages: DataFrame, reader: Reader, least_chars: int = 80, batch: int = 16) -> DataFrame:
     """Pages (id, pagina, texto, leida) in which images that were not read yet have the reader's text.
 
@@ -88,35 +76,39 @@ def with_page_texts(contracts: DataFrame, pages: DataFrame, least_chars: int = 8
     return contracts.drop(*(c for c in texts.columns if c != "id")).join(texts, "id", "left")
 
 
-def propagate(contracts: DataFrame, pages: DataFrame, chunks: DataFrame, embedder: embedding.Embedder, least_chars: int = 80, **how) -> Changed:
-    """Contracts and chunks after a change of pages or of the contracts' own fields.
+def propagate(contracts: DataFrame, pages: DataFrame, chunks: DataFrame, folder: str, embedder: embedding.Embedder, least_chars: int = 80, **how) -> tuple[DataFrame, DataFrame]:
+    """Contracts and chunks after a change of pages or of the contracts' own fields, written as the folder's tables ``contracts``, ``fresh`` (chunks made anew, before vectors) and ``chunks``.
 
-    ``how``: ``split_over`` and ``target`` of the chunks. Chunks of other sources stay, and document chunks are numbered on from theirs.
-    A contract without text loses its document chunks. Chunks without a vector, such as
-    those of a batch that failed before, are due again. Rows of contracts with null ids have no chunks.
+    ``folder``: a new one that driver and executors share. ``how``: ``split_over`` and ``target`` of the chunks. Chunks of
+    other sources stay, and document chunks are numbered on from theirs. A contract without text loses its
+    document chunks. Document chunks without a vector, such as those of a batch that failed before, are due again. Contracts
+    with null ids have no chunks. ``reused`` of a chunk is null if its contract was left alone, else whether a former vector stands for it.
     """
-    now = with_page_texts(contracts, pages, least_chars)
-    texts = now.filter("id IS NOT NULL AND tdr_texto IS NOT NULL")
-    ours, others = chunks.filter(F.col("fuente") == SOURCE), chunks.filter(~F.col("fuente").eqNullSafe(F.lit(SOURCE)))
-    before = ours.groupBy(F.col("contrato_id").alias("id")).agg(F.min("origin").alias("was"), F.count_if(F.col("origin").isNull()).alias("unmarked"))
-    both = texts.select("id", origin().alias("origin")).join(before, "id", "full_outer")
-    differs = ~F.col("origin").eqNullSafe(F.col("was")) | (F.coalesce("unmarked", F.lit(0)) > 0)
-    moved = both.filter(differs).select("id")
-
-    anew = texts.join(moved, "id", "left_semi")
-    fresh = chunking.document_chunks(anew, others, **how).join(anew.select(F.col("id").alias("contrato_id"), origin().alias("origin")), "contrato_id")
-    fresh = fresh.withColumn("text_hash", _digest(chunking.text_to_embed(F.col("fuente"), F.col("texto"), F.col("chunk_embed_text"))))
-    of = moved.withColumnRenamed("id", "contrato_id")
-    former = ours.join(of, "contrato_id", "left_semi").filter("embedding_v2 IS NOT NULL").groupBy("contrato_id", "text_hash").agg(F.min_by("embedding_v2", "chunk_index").alias("embedding_v2"))
-    fresh = fresh.join(former, ["contrato_id", "text_hash"], "left").withColumn("id", F.xxhash64("contrato_id", "chunk_index")).withColumn("reused", F.col("embedding_v2").isNotNull())
-
-    kept = chunks.drop("reused").join(of.withColumn("fuente", F.lit(SOURCE)), ["contrato_id", "fuente"], "left_anti").withColumn("reused", F.lit(None).cast("boolean"))
-    every = kept.unionByName(fresh, allowMissingColumns=True)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+    now = kept(with_page_texts(contracts, pages, least_chars).withColumn("origin", F.when(F.col("id").isNotNull() & F.col("tdr_texto").isNotNull(), origin())), "contracts")
+    pdf = F.col("fuente").eqNullSafe(F.lit(SOURCE))
+    chunks = chunks.drop("reused")
+    ours, others = chunks.filter(pdf), chunks.filter(~pdf)
+    before = ours.groupBy(F.col("contrato_id").alias("id")).agg(F.min("origin").alias("was"), F.bool_or(F.col("origin").isNull()).alias("unmarked"))
+    both = now.filter("origin IS NOT NULL").select("id", "origin").join(before, "id", "full_outer")
+    moved = both.filter(~F.col("origin").eqNullSafe(F.col("was")) | F.coalesce("unmarked", F.lit(False))).select(F.col("id").alias("contrato_id"))
+
+    anew = now.filter("origin IS NOT NULL").join(moved.withColumnRenamed("contrato_id", "id"), "id", "left_semi")
     text = chunking.text_to_embed(F.col("fuente"), F.col("texto"), F.col("chunk_embed_text"))
-    due = every.filter(F.col("embedding_v2").isNull() & (F.col("fuente") == SOURCE))
-    made = embedding.embedded(due, text, embedder).withColumn("embedding_v2", F.col("vector").cast("array<float>")).drop("vector", "error")
-    done = every.filter(F.col("embedding_v2").isNotNull() | ~F.col("fuente").eqNullSafe(F.lit(SOURCE)))
-    return Changed(now, done.unionByName(made))
+    fresh = chunking.document_chunks(anew, others, **how).withColumn("text_hash", _digest(text))
+    former = ours.join(moved, "contrato_id", "left_semi").filter("embedding_v2 IS NOT NULL").groupBy("contrato_id", "text_hash").agg(F.min_by("embedding_v2", "chunk_index").alias("embedding_v2"))
+    fresh = fresh.join(former, ["contrato_id", "text_hash"], "left").join(anew.select(F.col("id").alias("contrato_id"), "origin"), "contrato_id")
+    fresh = kept(fresh.withColumns({"id": F.xxhash64("contrato_id", "chunk_index"), "reused": F.col("embedding_v2").isNotNull()}), "fresh")
+
+    rest = chunks.join(moved.withColumn("fuente", F.lit(SOURCE)), ["contrato_id", "fuente"], "left_anti")
+    every = rest.unionByName(fresh, allowMissingColumns=True)
+    due = pdf & F.col("embedding_v2").isNull()
+    made = embedding.embedded(every.filter(due), text, embedder).withColumn("embedding_v2", F.col("vector").cast("array<float>")).drop("vector", "error")
+    return now, kept(every.filter(~due).unionByName(made), "chunks")
 
 
 def work(chunks: DataFrame) -> DataFrame:

@@ -31,12 +31,12 @@ class DailyQuota(StatefulProcessor):
         self.pause = handle.getValueState("pause", "until double, refusals int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        f = pd.concat(rows).sort_values(["__ms", "__id"], kind="stable")
+        f = pd.concat(rows).sort_values(["ms", "id"], kind="stable")
         watermark = timerValues.getCurrentWatermarkInMs()
         until, refusals = self.pause.get() if self.pause.exists() else (0.0, 0)
         spent: dict[int, float] = {}
         out: list[tuple[float | None, bool, str | None]] = []
-        for ms, day_end, cost, status in zip(f["__ms"], f["__day_end"], f["__cost"], f["__status"]):
+        for ms, day_end, cost, status in zip(f["ms"], f["day_end"], f["cost"], f["status"]):
             day_end = int(day_end)
             if day_end <= watermark:
                 out.append((None, False, "late"))
@@ -59,7 +59,7 @@ class DailyQuota(StatefulProcessor):
         for day_end, total in spent.items():
             self.days.updateValue((day_end,), (total,))
         self.pause.update((float(until), int(refusals)))
-        f = f.drop(columns=["__ms", "__id", "__day_end", "__cost", "__status"])
+        f = f.drop(columns=["ms", "id", "day_end", "cost", "status"])
         f["running"] = pd.array([None if r is None else r for r, _, _ in out], dtype="Float64")
         f["planned"], f["reason"] = [p for _, p, _ in out], [why for _, _, why in out]
         yield f
@@ -98,9 +98,12 @@ def planned_calls(calls: DataFrame, keys: list[str], ts: str, id_col: str, cost:
     """
     local = F.from_utc_timestamp(F.col(ts), zone)
     day_end = F.unix_millis(F.to_utc_timestamp(F.date_add(F.to_date(local), 1).cast("timestamp"), zone))
-    rows = calls.filter(F.col(ts).isNotNull()).withWatermark(ts, late).withColumns(
-        {"__ms": F.unix_micros(ts) / 1000.0, "__id": F.col(id_col), "__day_end": day_end, "__cost": F.coalesce(F.col(cost).cast("double"), F.lit(0.0)), "__status": F.coalesce(F.col(status).cast("int"), F.lit(0)) if status else F.lit(0)}
-    )
+    names = {c: f"c{i}" for i, c in enumerate(calls.columns)}  # frames change names that begin with an underscore
+    rows = calls.filter(F.col(ts).isNotNull()).withWatermark(ts, late).select(
+        *(F.col(f"`{c}`").alias(n) for c, n in names.items()), (F.unix_micros(ts) / 1000.0).alias("ms"), F.col(id_col).alias("id"), day_end.alias("day_end"),
+        F.coalesce(F.col(cost).cast("double"), F.lit(0.0)).alias("cost"), (F.coalesce(F.col(status).cast("int"), F.lit(0)) if status else F.lit(0)).alias("status"),
+    )
+    own = [StructField(names[f.name], f.dataType) for f in calls.schema.fields]
     added = [StructField("running", DoubleType()), StructField("planned", BooleanType()), StructField("reason", StringType())]
-    schema = StructType([*calls.schema.fields, *added])
-    return rows.groupBy(*keys).transformWithStateInPandas(DailyQuota(budget, first_wait, longest_wait), schema, "Append", "EventTime")
+    kept = rows.groupBy(*(names[k] for k in keys)).transformWithStateInPandas(DailyQuota(budget, first_wait, longest_wait), StructType(own + added), "Append", "EventTime")
+    return kept.select(*(F.col(n).alias(c) for c, n in names.items()), "running", "planned", "reason")
