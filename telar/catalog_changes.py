@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telar.catalog import _LOCAL, query, table
 from telar.catalog_more import _PHRASE_SQL, _any_sql, _folder, _phrases, _sum_sql
-from telar.operators import automaton, classify, embedding
+from telar.operators import automaton, classify, constraints, embedding
 from telar.plans import changes
 from telar.streaming import quota
 
@@ -84,3 +84,23 @@ def changes_propagated(spark, sf_dir):
     again = changes.work(chunks).select(F.col("contrato_id").alias("doc_id"), "n_reused", "n_embedded")
     n = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_chunks", "n_vectors")}
     return d.select("doc_id").join(counts, "doc_id", "left").join(again, "doc_id", "left").select("doc_id", *(c.alias(k) for k, c in n.items()), "n_reused", "n_embedded")
+
+
+_LINES = "SELECT l_orderkey AS k, l_linenumber AS n, l_quantity AS q, CASE WHEN l_suppkey % 9 <> 0 THEN l_returnflag END AS f, l_extendedprice AS p"
+
+
+@query(
+    f"""WITH old AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem WHERE l_orderkey % 20 = 7), r AS ({_LINES}, 0 AS again FROM lineitem UNION ALL {_LINES}, 1 FROM lineitem WHERE l_suppkey % 5 = 0),
+    m AS (SELECT r.*, row_number() OVER (PARTITION BY k, n ORDER BY again, p, q, f NULLS FIRST) AS place, EXISTS (SELECT 1 FROM old WHERE old.k = r.k AND old.n = r.n) AS was, EXISTS (SELECT 1 FROM orders WHERE o_orderkey = k AND o_orderstatus <> 'P') AS parent FROM r)
+    SELECT k, n, again, CAST(round(p * 100) AS BIGINT) AS cents, concat_ws(',', CASE WHEN f IS NULL THEN 'f required' END, CASE WHEN q > 45 THEN 'few' END, CASE WHEN was OR place > 1 THEN 'one line' END, CASE WHEN NOT parent THEN 'of an order' END) AS violated FROM m
+    WHERE f IS NULL OR q > 45 OR was OR place > 1 OR NOT parent"""
+)
+def constraints_enforced(spark, sf_dir):
+    """Line items of which some come twice, some stand already and some have no order: what a database would refuse."""
+    li = table(spark, sf_dir, "lineitem")
+    own = [F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("q"), F.when(F.col("l_suppkey") % 9 != 0, F.col("l_returnflag")).alias("f"), F.col("l_extendedprice").alias("p")]
+    rows = li.select(*own, F.lit(0).alias("again")).unionByName(li.filter("l_suppkey % 5 = 0").select(*own, F.lit(1).alias("again")))
+    rules = constraints.Constraints(required=["f"], checks={"few": F.col("q") <= 45}, unique={"one line": ["k", "n"]}, references={"of an order": (["k"], "orders", ["o_orderkey"])})
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    _, bad = constraints.enforced(rows, rules, parents={"orders": orders}, existing=li.filter("l_orderkey % 20 = 7").select(*own), order=[F.col("again"), F.col("p"), F.col("q"), F.col("f").asc_nulls_first()])
+    return bad.select("k", "n", "again", F.round(F.col("p") * 100).cast("long").alias("cents"), F.array_join("violated", ",").alias("violated"))

@@ -99,9 +99,10 @@ def propagate(contracts: DataFrame, pages: DataFrame, chunks: DataFrame, folder:
 
     anew = now.filter("origin IS NOT NULL").join(moved.withColumnRenamed("contrato_id", "id"), "id", "left_semi")
     text = chunking.text_to_embed(F.col("fuente"), F.col("texto"), F.col("chunk_embed_text"))
-    fresh = chunking.document_chunks(anew, others, **how).withColumn("text_hash", _digest(text))
+    fresh = chunking.document_chunks(anew, others, **how).join(anew.select(F.col("id").alias("contrato_id"), "origin"), "contrato_id")
+    fresh = fresh.withColumn("text_hash", _digest(text))  # above the join, so that the text to embed is made once
     former = ours.join(moved, "contrato_id", "left_semi").filter("embedding_v2 IS NOT NULL").groupBy("contrato_id", "text_hash").agg(F.min_by("embedding_v2", "chunk_index").alias("embedding_v2"))
-    fresh = fresh.join(former, ["contrato_id", "text_hash"], "left").join(anew.select(F.col("id").alias("contrato_id"), "origin"), "contrato_id")
+    fresh = fresh.join(former, ["contrato_id", "text_hash"], "left")
     fresh = kept(fresh.withColumns({"id": F.xxhash64("contrato_id", "chunk_index"), "reused": F.col("embedding_v2").isNotNull()}), "fresh")
 
     rest = chunks.join(moved.withColumn("fuente", F.lit(SOURCE)), ["contrato_id", "fuente"], "left_anti")

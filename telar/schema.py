@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from telar.operators.constraints import Constraints
+
 ITEM = "struct<cod_cubso: string, nom_cubso: string, descripcion: string, cantidad: double, unidad: string, distrito: string>"
 
 CONTRACTS = (
@@ -24,6 +26,17 @@ RELATIONS = {"contratos": CONTRACTS, "chunks_tdr": CHUNKS, "ingesta_rechazados":
 KEYS = {"contratos": ["id"], "chunks_tdr": ["contrato_id", "chunk_index"], "ingesta_rechazados": ["id"]}
 PARENT = {"chunks_tdr": ("contrato_id", "contratos", "id")}
 
+#: The kinds of extraction that a record may have.
+EXTRACTIONS = ("nativo_puro", "mixto", "imagen_total")
+
+
+def constraints_of(relation: str) -> Constraints:
+    """What the relation asks of its rows beyond their types."""
+    keys, parent = KEYS[relation], PARENT.get(relation)
+    kind = {"tdr_tipo_extraccion": F.col("tdr_tipo_extraccion").isin(*EXTRACTIONS)} if relation == "contratos" else {}
+    refers = {f"{parent[0]} of {parent[1]}": ([parent[0]], parent[1], [parent[2]])} if parent else {}
+    return Constraints(required=keys, checks=kind, unique={", ".join(keys): keys}, references=refers)
+
 
 def schema_of(relation: str) -> StructType:
     return StructType.fromDDL(RELATIONS[relation])
