@@ -10,6 +10,11 @@ Documents are keyed by identifier. A shard is
 * a Bloom filter over the keys;
 * a footer of 72 bytes with the places of index and filter, the counts and a magic.
 
+A shard is closed at ``SHARD_BYTES`` or ``SHARD_DOCS``, whichever comes first, so
+a task writes as many as its rows need and never holds more than one shard's index
+and eight bytes a key for its filter. Tasks are as many as ``TASK_BYTES`` go into
+the texts, whatever the shuffle partitions.
+
 A lookup reads footer, filter and index, finds the block by binary search and
 decodes that block alone. A key is one byte 0 for a null identifier (sorted
 first) or byte 1 and the identifier as big-endian with the sign flipped, so
@@ -29,6 +34,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache, partial
 
@@ -36,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_fs, bounded, fresh_path, written
@@ -45,6 +51,9 @@ MAGIC = b"TLSSTBL1"
 FOOTER = struct.Struct("<QQQQQQQQ8s")
 INDEX = struct.Struct("<BQIII")
 BLOCK_BYTES = 256 << 10
+SHARD_BYTES = 128 << 20
+SHARD_DOCS = 4_000_000
+TASK_BYTES = 256 << 20
 CACHE_CHUNKS = 900_000
 
 _TWO_SPACES = re.compile(r"\s\s")
@@ -134,15 +143,19 @@ def _varint(n: int) -> bytes:
     return bytes(out) + bytes([n])
 
 
-def _bits(key: bytes, m: int, k: int) -> list[int]:
-    a = zlib.crc32(key) | zlib.crc32(key, 0x9E3779B9) << 32
+def _digest(key: bytes) -> int:
+    return zlib.crc32(key) | zlib.crc32(key, 0x9E3779B9) << 32
+
+
+def _bits(a: int, m: int, k: int) -> list[int]:
+    """The places in the filter of a key with this digest."""
     step = (a >> 17 | a << 47) & (1 << 64) - 1 | 1
     return [(a + i * step) % m for i in range(k)]
 
 
 class Writer:
     def __init__(self, out):
-        self.out, self.at, self.index, self.keys = out, 0, [], []
+        self.out, self.at, self.index, self.digests = out, 0, [], array("Q")
         self.docs = self.tokens = 0
         self._fresh()
 
@@ -160,7 +173,7 @@ class Writer:
         self.block.append(bytes([shared, len(key) - shared]) + key[shared:] + bytes([4 if wide else 2]) + _varint(len(a)) + body)
         self.size += len(self.block[-1])
         self.last, self.entries = key, self.entries + 1
-        self.keys.append(key)
+        self.digests.append(_digest(key))
         self.docs += 1
         self.tokens += len(a)
         if self.size >= BLOCK_BYTES:
@@ -177,10 +190,10 @@ class Writer:
     def close(self) -> None:
         self.flush()
         index = b"".join(INDEX.pack(len(k), o, n, e, c) + k for k, o, n, e, c in self.index)
-        m, k = max(64, 10 * len(self.keys)), 7
+        m, k = max(64, 10 * len(self.digests)), 7
         bits = bytearray((m + 7) // 8)
-        for key in self.keys:
-            for b in _bits(key, m, k):
+        for digest in self.digests:
+            for b in _bits(digest, m, k):
                 bits[b >> 3] |= 1 << (b & 7)
         self.out.write(index + bytes(bits))
         self.out.write(FOOTER.pack(self.at, len(index), self.at + len(index), m, k, len(self.index), self.docs, self.tokens, MAGIC))
@@ -234,7 +247,7 @@ class Reader:
     def get(self, doc_id: int | None) -> np.ndarray | None:
         """The ids of one document: filter, binary search of the index, one block."""
         key = key_of(doc_id)
-        if not all(self.bloom[b >> 3] >> (b & 7) & 1 for b in _bits(key, self.m, self.k)):
+        if not all(self.bloom[b >> 3] >> (b & 7) & 1 for b in _bits(_digest(key), self.m, self.k)):
             return None
         i = bisect.bisect_left(self.lasts, key)
         return next((ids for k, ids in self.block(i) if k == key), None) if i < len(self.lasts) else None
@@ -243,39 +256,57 @@ class Reader:
         self.f.close()
 
 
-MANIFEST = "shard int, path string, docs long, tokens long"
+MANIFEST = "shard int, seq int, path string, docs long, tokens long, bytes long"
 
 
-def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    part, writer = TaskContext.get().partitionId(), None
-    uri = f"{folder}/{part:06d}-{uuid.uuid4().hex}.sst"
+def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str, end_id: int, shard_bytes: int, shard_docs: int) -> Iterator[pa.RecordBatch]:
+    part, run, seq, writer, uri = TaskContext.get().partitionId(), uuid.uuid4().hex, 0, None, ""
     encoder, end = chunk_encoder(tokenizer_path), struct.pack("<I", end_id)
+
+    def closed() -> pa.RecordBatch:
+        writer.close()
+        writer.out.close()
+        ints = {"docs": writer.docs, "tokens": writer.tokens, "bytes": writer.at}
+        return pa.RecordBatch.from_pydict({"shard": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [uri]} | {c: pa.array([n], pa.int64()) for c, n in ints.items()})
+
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
-            if writer is None and some.num_rows:
-                fs, path = arrow_fs(uri)
-                fs.create_dir(path.rpartition("/")[0], recursive=True)
-                writer = Writer(fs.open_output_stream(path))
             for doc, ids in zip(some.column(0).to_pylist(), encoder.encode([x or "" for x in some.column(1).to_pylist()], end), strict=True):
+                if writer is None:
+                    uri = f"{folder}/{part:06d}-{seq:06d}-{run}.sst"
+                    fs, path = arrow_fs(uri)
+                    fs.create_dir(path.rpartition("/")[0], recursive=True)
+                    writer = Writer(fs.open_output_stream(path))
                 writer.add(key_of(doc), ids)
+                if writer.at + writer.size >= shard_bytes or writer.docs >= shard_docs:
+                    yield closed()
+                    seq, writer = seq + 1, None
     if writer:
-        writer.close()
-        writer.out.close()
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([part], pa.int32()), "path": [uri], "docs": pa.array([writer.docs], pa.int64()), "tokens": pa.array([writer.tokens], pa.int64())})
+        yield closed()
+
+
+def _tasks(spark: SparkSession, size: int) -> int:
+    """A task for every TASK_BYTES, at least twice as many as run at once."""
+    return max(2 * spark.sparkContext.defaultParallelism, size // TASK_BYTES)
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """Encode all texts into shards that ascend by identifier; returns the manifest, one row per shard.
+def write_shards(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS
+) -> DataFrame:
+    """Encode all texts into shards that ascend by identifier; returns the manifest, one row per shard in order of (shard, seq).
 
-    Each task writes under a name of its own, and the manifest lists those of
+    Each task writes under names of its own, and the manifest lists those of
     the attempts that succeeded, so a retried task leaves no wrong shard.
     """
-    folder = folder or fresh_path(docs.sparkSession, "sst")
+    spark = docs.sparkSession
+    folder = folder or fresh_path(spark, "sst")
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).alias("t"))
+    size = rows.agg(F.sum(F.octet_length("t").cast("long")).alias("n")).first().n or 0
     order = [F.col("k").asc_nulls_first(), F.col("h").asc()]
-    rows = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(*order).sortWithinPartitions(*order)
-    return written(bounded(rows.select("k", "t")).mapInArrow(partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id), MANIFEST), "sst-manifest")
+    rows = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(_tasks(spark, size), *order).sortWithinPartitions(*order)
+    write = partial(_write_shard, folder=folder, tokenizer_path=tokenizer_path, end_id=end_id, shard_bytes=shard_bytes, shard_docs=shard_docs)
+    return written(bounded(rows.select("k", "t")).mapInArrow(write, MANIFEST), "sst-manifest")
 
 
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,6 +328,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
     ``start`` is a running sum over the manifest, which has a row per shard.
     """
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard", "seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    return placed.repartition(F.col("path")).mapInArrow(_read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    all_of = manifest.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    tasks = min(all_of.n, _tasks(manifest.sparkSession, all_of.bytes or 0))
+    return placed.repartition(max(1, tasks)).mapInArrow(_read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")

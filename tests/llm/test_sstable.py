@@ -102,3 +102,37 @@ def test_repeated_identifiers(spark):
     assert max(r.docs for r in first.collect()) < 400
     starts = sorted((r[1], r[2]) for r in got)
     assert [s for s, _ in starts] == [sum(n for _, n in starts[:i]) for i in range(len(starts))]
+
+
+def test_shards_are_cut_by_size(spark, docs):
+    """Several shards a task: the same rows, none above its bounds by more than an entry, filters and lookups right in each."""
+    whole = sorted(map(tuple, S.read_shards(S.write_shards(docs, PATH)).collect()))
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    for more in ({"shard_bytes": 4096}, {"shard_docs": 3}):
+        manifest = S.write_shards(docs, PATH, **more)
+        shards = sorted(manifest.collect())
+        assert len(shards) > len({r.shard for r in shards})
+        assert len({r.shard for r in shards}) <= tasks
+        assert [r.seq for r in shards] == [i for n in sorted({r.shard for r in shards}) for i in range(sum(r.shard == n for r in shards))]
+        if "shard_docs" in more:
+            assert max(r.docs for r in shards) == 3
+        assert sorted(map(tuple, S.read_shards(manifest).collect())) == whole
+        last = None
+        for r in shards[:20]:
+            shard = S.Reader(r.path)
+            keys = [S.id_of(k) for k, _ in shard]
+            assert len(keys) == r.docs
+            assert all(shard.get(k) is not None for k in keys)
+            assert last is None or last <= keys[0]
+            last = keys[-1]
+            shard.close()
+
+
+def test_filter_memory_is_eight_bytes_a_key():
+    import io
+
+    w = S.Writer(io.BytesIO())
+    for k in range(20_000):
+        w.add(S.key_of(k), b"\2\0\0\0")
+    assert w.digests.itemsize * len(w.digests) == 160_000
+    assert not any(isinstance(v, list) and len(v) > 20_000 for v in vars(w).values())
