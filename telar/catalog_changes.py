@@ -1,13 +1,18 @@
-"""Registered queries of operators that keep something up: quotas, changed documents, and all keywords in one pass."""
+"""Registered queries of operators that keep something up: quotas, changed documents, and all keywords in one pass; and of sources that are asked over a network."""
 
 from __future__ import annotations
 
+from io import BytesIO
+from urllib.error import HTTPError
+
 from pyspark.sql import functions as F
 
 from telar.catalog import _LOCAL, query, table
 from telar.catalog_more import _PHRASE_SQL, _any_sql, _folder, _phrases, _sum_sql
-from telar.operators import automaton, classify, constraints, embedding
+from telar.operators import automaton, classify, constraints, embedding, state
 from telar.plans import changes
+from telar.sources import captured
+from telar.sources.rest import CapturedPages, PagedSource
 from telar.streaming import quota
 
 _CASES = " ".join(f"WHEN {_any_sql(ts)} THEN '{c}'" for c, ts in classify.CATEGORIES.items())
@@ -104,3 +109,81 @@ def constraints_enforced(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
     _, bad = constraints.enforced(rows, rules, parents={"orders": orders}, existing=li.filter("l_orderkey % 20 = 7").select(*own), order=[F.col("again"), F.col("p"), F.col("q"), F.col("f").asc_nulls_first()])
     return bad.select("k", "n", "again", F.round(F.col("p") * 100).cast("long").alias("cents"), F.array_join("violated", ",").alias("violated"))
+
+
+class Unreliable(CapturedPages):
+    """Kept answers behind a base that refuses everybody, and each answer only at the second try."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.asked: set[tuple] = set()
+
+    def get(self, base: str, query: dict):
+        if base == "refuses":
+            raise HTTPError(base, 403, "refused", None, BytesIO())
+        if (of := tuple(query.items())) not in self.asked:
+            self.asked.add(of)
+            raise HTTPError(base, 503, "busy", None, BytesIO())
+        return super().get(base, query)
+
+
+def _asked(spark, folder, size):
+    spark.dataSource.register(PagedSource)
+    return spark.read.format("paged").option("transport", "telar.catalog_changes:Unreliable").option("base", "refuses").option("fallback", folder).option("pause", 0).option("size", size)
+
+
+@query(
+    """SELECT o_orderkey AS id, o_orderstatus AS objeto, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey DESC) - 1) // 500 + 1 AS INT) AS page, o_custkey AS customer, count(*) OVER (PARTITION BY o_orderstatus) AS total
+    FROM orders"""
+)
+def asked_by_object(spark, sf_dir):
+    """Orders kept as answers by status, and read page by page with the status pushed to a source that refuses, falls back and has to be asked again."""
+    folder = _folder(spark)
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idContrato"), F.col("o_custkey").alias("customer"), "o_orderstatus")
+    numbered = captured.paged(o, "idContrato", 500, f"{folder}/ranged", "o_orderstatus")
+    body = F.to_json(F.struct(F.struct(F.col("total").alias("totalElements")).alias("pageable"), F.col("rows").alias("data")))
+    pages = captured.write_pages(captured.answers(numbered.withColumn("all", F.col("total")), "idContrato", body), f"{folder}/pages")
+    read = _asked(spark, pages, 500)
+    parts = [read.option("param.objeto", x).load().withColumn("objeto", F.lit(x)) for x in ("F", "O", "P")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.withColumn("r", F.from_json("payload", "struct<customer long, all long>")).select("id", "objeto", "page", "r.customer", F.col("r.all").alias("total"))
+
+
+@query(
+    """SELECT o_orderkey AS id, o_orderkey % 3 <> 0 AS analizado, o_orderstatus = 'F' AS cotizado, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 5 HOUR END AS fecha_analisis,
+    CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 29 HOUR END AS fecha_cotizacion FROM orders WHERE o_orderkey > 0 AND (o_orderkey % 3 <> 0 OR o_orderstatus = 'F')"""
+)
+def asked_funnel(spark, sf_dir):
+    """The two lists of marks in answers that are objects, fetched whole with a token from the same source, then merged by id."""
+    folder = _folder(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("d"))
+    numbered = captured.paged(o, "o_orderkey", 500, f"{folder}/ranged")
+    at = lambda d, days: F.concat(F.date_format(F.date_add(d, days), "yyyy-MM-dd"), F.lit("T00:00:00-05:00"))
+    entries = lambda keep, days: F.transform(F.filter("rows", keep), lambda r: F.struct(r["o_orderkey"].cast("string").alias("id"), at(r["d"], days).alias("fecha")))
+    lists = F.struct(entries(lambda r: r["o_orderkey"] % 3 != 0, 0).alias("analizados"), entries(lambda r: r["o_orderstatus"] == "F", 1).alias("cotizados"), F.struct(F.col("pages").alias("totalPages")).alias("pageable"))
+    pages = captured.write_pages(captured.answers(numbered, "o_orderkey", F.to_json(lists)), f"{folder}/pages")
+    funnel = state.merge_funnel(*state.funnel_lists(_asked(spark, pages, 500).option("whole", True).option("token", "of the test").load()))
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return funnel.select("id", "analizado", "cotizado", ntz("fecha_analisis"), ntz("fecha_cotizacion"))
+
+
+class Refusal(RuntimeError):
+    pass
+
+
+def _refusing(texts: list[str]) -> list[list[float]]:
+    """Takes no batch that holds a text with the word."""
+    if any("the" in t.split() for t in texts):
+        raise Refusal("not taken")
+    return embedding.hashing_embedder(16)(texts)
+
+
+_TAKEN = "NOT regexp_matches(coalesce(text, ''), '(^|\\s)the(\\s|$)')"
+
+
+@query(f"SELECT doc_id, CASE WHEN {_TAKEN} THEN 16 END AS dimension, CASE WHEN NOT ({_TAKEN}) THEN 'Refusal: not taken' END AS error FROM documents")
+def embedding_refused(spark, sf_dir):
+    """Whole texts embedded one a batch by a model that refuses some: a refused one is an error of its own, the others get and keep their vectors."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    made = embedding.embedded(d, F.col("text"), _refusing, batch=1, retries=2)
+    return made.select(F.col("id").alias("doc_id"), F.nullif(F.size("vector"), F.lit(-1)).alias("dimension"), "error")

@@ -5,9 +5,12 @@
 named by the option ``transport`` (module:Class) so that tests, captured pages
 and browsers can stand in; the default reads JSON over HTTP.
 Options: ``size`` (rows a page), ``max_pages`` (no limit unless given), ``known_id``
-(stop at the first page with an id at or below it), ``tries``, ``fallback`` (a base
-used once the first one refuses with 401 or 403), and any ``param.NAME`` pushed to
-the API. Records that are no objects or have no integer id come through with a null
+(stop at the first page with an id at or below it), ``tries`` and ``pause`` (seconds before
+the second try, twice as many before each further one), ``fallback`` (a base
+used once the first one refuses with 401 or 403; without one that is an error at once),
+``token`` (sent as bearer; Spark blots out options of this name), ``whole`` (each answer
+stays one payload, for endpoints that give no list of records), and any ``param.NAME`` pushed to
+the API. A page count that the source leaves out follows from its number of records. Records that are no objects or have no integer id come through with a null
 id, for validation to turn down.
 
 ``spark.readStream.format("paged")`` reads the same source as a stream whose offset
@@ -31,26 +34,50 @@ SCHEMA = "page int, id long, payload string"
 
 
 class HttpTransport:
-    """fetch(page, size, params) -> {"pageable": {...}, "data": [...]}."""
+    """fetch(page, size, params) -> {"pageable": {...}, "data": [...]}. ``get`` is one request; tries and fallback are the same for all kinds of it."""
 
     def __init__(self, options: dict):
         self.base, self.tries, self.fallback = options["base"], int(options.get("tries", 3)), options.get("fallback")
+        self.pause, self.token = float(options.get("pause", 1)), options.get("token")
+
+    def get(self, base: str, query: dict):
+        asked = f"{base}?{urlencode(query)}"
+        if self.token:
+            asked = urllib.request.Request(asked, headers={"Authorization": f"Bearer {self.token}"})
+        with urllib.request.urlopen(asked, timeout=60) as r:
+            return json.load(r)
 
     def fetch(self, page: int, size: int, params: dict) -> dict:
         for attempt in range(self.tries):
             try:
-                with urllib.request.urlopen(f"{self.base}?{urlencode({'page': page, 'size': size} | params)}", timeout=60) as r:
-                    return json.load(r)
-            except OSError as e:
-                if getattr(e, "code", None) in (401, 403) and self.fallback:
+                got = self.get(self.base, {"page": page, "size": size} | params)
+                if not isinstance(got, dict):
+                    raise ValueError("the answer is no object")
+                return got
+            except (OSError, ValueError) as e:
+                if getattr(e, "code", None) in (401, 403):
+                    if not self.fallback:
+                        raise
                     self.base, self.fallback = self.fallback, None
                     return self.fetch(page, size, params)
                 if attempt + 1 == self.tries:
                     raise
-                time.sleep(2**attempt)
+                time.sleep(self.pause * 2**attempt)
         return {}
 
 
+class CapturedPages(HttpTransport):
+    """Answers kept by ``captured.write_pages`` in the folder ``base``; ``param.objeto`` chooses among them as the API does."""
+
+    def get(self, base: str, query: dict):
+        from pyarrow import dataset, fs
+
+        where, path = fs.FileSystem.from_uri(base)
+        asked = (dataset.field("page") == query["page"]) & (dataset.field("objeto") == query.get("objeto", ""))
+        bodies = dataset.dataset(path, filesystem=where, format="parquet").to_table(columns=["body"], filter=asked)["body"].to_pylist()
+        return json.loads(bodies[0]) if bodies else {"data": []}
+
+
 def record_id(record) -> int | None:
     """The integer id of a record, if it has one."""
     key = record.get("idContrato") if isinstance(record, dict) else None
@@ -78,8 +105,13 @@ class _Paged:
     def __init__(self, options: dict):
         self.options = dict(options)
         self.size = int(options.get("size", 100))
+        self.whole = str(self.options.get("whole", "false")).lower() == "true"
         self.params = {k.removeprefix("param."): v for k, v in self.options.items() if k.startswith("param.")}
 
+    def page_count(self, head: dict) -> int:
+        of = head.get("pageable") or {}
+        return int(of.get("totalPages") or -(-int(of.get("totalElements") or 0) // self.size) or 1)
+
     def first_page_down_to(self, source, key: int, pages: int, head: dict | None = None) -> int:
         """The first page with an id at or below the key, or the last page; ids fall from page to page."""
         first, last = 1, pages
@@ -97,7 +129,7 @@ class PagedReader(_Paged, DataSourceReader):
         """The first page tells how many there are. With ``known_id`` (ids fall from page to page) the last page needed is found by halving."""
         source, most = transport(self.options), int(self.options.get("max_pages", 0))
         head = source.fetch(1, self.size, self.params)
-        pages = int(head.get("pageable", {}).get("totalPages") or 1)
+        pages = self.page_count(head)
         pages = min(most, pages) if most else pages
         known = int(self.options.get("known_id", 0))
         if known:
@@ -107,11 +139,16 @@ class PagedReader(_Paged, DataSourceReader):
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         source, known = transport(self.options), int(self.options.get("known_id", 0))
+        since = "known_id" in self.options
         for page in range(partition.first, partition.last + 1):
-            rows = source.fetch(page, self.size, self.params).get("data") or []
+            got = source.fetch(page, self.size, self.params)
+            if self.whole:
+                yield page, None, json.dumps(got, ensure_ascii=False)
+                continue
+            rows = got.get("data") or []
             for r in rows:
                 key = record_id(r)
-                if key is None or key > known:
+                if key is None or not since or key > known:
                     yield page, key, json.dumps(r, ensure_ascii=False)
             if not rows:
                 return
@@ -139,7 +176,7 @@ class PagedStream(_Paged, DataSourceStreamReader):
 
     def read(self, partition: Ids) -> Iterator[tuple]:
         source, seen = transport(self.options), set()
-        pages = int(source.fetch(1, self.size, self.params).get("pageable", {}).get("totalPages") or 1)
+        pages = self.page_count(source.fetch(1, self.size, self.params))
         page = self.first_page_down_to(source, partition.high, pages)
         while rows := source.fetch(page, self.size, self.params).get("data"):
             ids = [record_id(r) for r in rows]

@@ -1,9 +1,14 @@
+import http.server
 import json
+import threading
+import urllib.error
+from urllib.parse import parse_qs, urlsplit
 
+import pytest
 from pyspark.sql import functions as F
 
-from telar.sources import discovery, files, lookup
-from telar.sources.rest import HttpTransport, PagedReader, PagedSource
+from telar.sources import captured, discovery, files, lookup
+from telar.sources.rest import CapturedPages, HttpTransport, PagedReader, PagedSource
 from telar.streaming import events
 
 
@@ -149,3 +154,82 @@ def test_lookup(spark):
     assert [(r.id, r.payload and r.payload.v, r.error) for r in got] == [(1, 1, None), (2, None, "OSError: down"), (3, None, None)]
     hints = spark.createDataFrame([('{"a": [{"u": "http://x"}, "n"], "b": {"c": "Descargar PDF"}}',), ("bad",), (None,)], "p string").select(lookup.json_hints(F.col("p")).alias("h")).collect()
     assert [r.h for r in hints] == [[".a[0].u=http://x", ".b.c=Descargar PDF"], [], []]
+
+
+@pytest.fixture
+def server():
+    """Answers over HTTP: every page busy at first, the wrong token refused, /list answers a list. Notes what it is asked."""
+    asked: list[tuple] = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            at, page = urlsplit(self.path), parse_qs(urlsplit(self.path).query)["page"][0]
+            first = (at.path, page) not in {a[:2] for a in asked}
+            asked.append((at.path, page, self.headers.get("Authorization")))
+            code = 401 if self.headers.get("Authorization") != "Bearer right" else 503 if first else 200
+            body = b"[1]" if at.path == "/list" else json.dumps({"pageable": {"totalElements": 5}, "data": [{"idContrato": 7 - 2 * int(page) + i} for i in (1, 0)]}).encode()
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(body if code == 200 else b"")
+
+        def log_message(self, *_):
+            pass
+
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}", asked
+    s.shutdown()
+    s.server_close()
+
+
+def test_token_tries_and_refusal(server):
+    base, asked = server
+    got = HttpTransport({"base": f"{base}/a", "token": "right", "pause": 0}).fetch(1, 2, {})
+    assert got["data"] == [{"idContrato": 6}, {"idContrato": 5}]
+    assert asked == [("/a", "1", "Bearer right")] * 2
+    asked.clear()
+    with pytest.raises(urllib.error.HTTPError):  # refused, so not asked again
+        HttpTransport({"base": f"{base}/b", "token": "wrong", "pause": 0}).fetch(1, 2, {})
+    assert len(asked) == 1
+    asked.clear()
+    with pytest.raises(urllib.error.HTTPError):
+        HttpTransport({"base": f"{base}/c", "token": "right", "pause": 0, "tries": 1}).fetch(1, 2, {})
+    with pytest.raises(ValueError, match="no object"):
+        HttpTransport({"base": f"{base}/list", "token": "right", "pause": 0}).fetch(1, 2, {})
+    assert len(asked) == 1 + 3
+
+
+def test_pages_over_http(spark, server):
+    """The number of pages follows from that of records; whole answers stay one payload each."""
+    base, _ = server
+    spark.dataSource.register(PagedSource)
+    read = spark.read.format("paged").option("base", f"{base}/x").option("token", "right").option("pause", 0).option("size", 2)
+    assert sorted(r.id for r in read.load().collect()) == [1, 2, 3, 4, 5, 6]
+    assert "right" not in read.load()._jdf.queryExecution().toString()
+    whole = read.option("whole", True).load().collect()
+    assert sorted((r.page, r.id) for r in whole) == [(1, None), (2, None), (3, None)]
+    assert all(json.loads(r.payload)["pageable"] == {"totalElements": 5} for r in whole)
+
+
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_captured_pages(spark, tmp_path, size):
+    """Against pages made in plain Python: null objects, repeated, negative and null ids, one object with most rows."""
+    rows = [(i, "a" if i % 10 else None) for i in range(-5, 40)] + [(7, "a"), (7, "b"), (None, "b")]
+    df = spark.createDataFrame(rows, "k long, o string").repartition(4)
+    numbered = captured.paged(df, "k", size, f"file://{tmp_path}/ranged", "o")
+    body = F.to_json(F.struct(F.struct(F.col("pages").alias("totalPages")).alias("pageable"), F.transform("rows", lambda r: F.struct(r["k"].alias("idContrato"))).alias("data")))
+    folder = captured.write_pages(captured.answers(numbered, "k", body), f"file://{tmp_path}/pages")
+    source = CapturedPages({"base": folder})
+    for o in ("a", "b", ""):
+        want = sorted((k for k, x in rows if (x or "") == o), key=lambda k: (k is None, -(k or 0)))
+        for page in range(1, -(-len(want) // size) + 1):
+            got = source.fetch(page, size, {"objeto": o})
+            assert got["pageable"] == {"totalPages": -(-len(want) // size)}
+            assert [r.get("idContrato") for r in got["data"]] == want[(page - 1) * size : page * size]
+        assert source.fetch(page + 1, size, {"objeto": o}) == {"data": []}
+    spark.dataSource.register(PagedSource)
+    read = spark.read.format("paged").option("transport", "telar.sources.rest:CapturedPages").option("base", folder).option("size", size).option("param.objeto", "a")
+    assert sorted(r.id for r in read.load().collect()) == sorted(k for k, x in rows if x == "a")
+    assert sorted(r.id for r in read.option("known_id", 0).load().collect()) == sorted(k for k, x in rows if x == "a" and k > 0)
+    none = captured.paged(df.filter("k > 99"), "k", size, f"file://{tmp_path}/none", "o")
+    assert captured.answers(none, "k", body).count() == 0
