@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from io import BytesIO
 from urllib.error import HTTPError
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telar.catalog import _LOCAL, query, table
@@ -132,21 +134,24 @@ def _asked(spark, folder, size):
     return spark.read.format("paged").option("transport", "telar.catalog_changes:Unreliable").option("base", "refuses").option("fallback", folder).option("pause", 0).option("size", size)
 
 
+_LANGUAGES = ("", "de", "en", "es", "fr", "other")  # the object that is asked for; a null is the empty one
+
+
 @query(
-    """SELECT o_orderkey AS id, o_orderstatus AS objeto, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey DESC) - 1) // 500 + 1 AS INT) AS page, o_custkey AS customer, count(*) OVER (PARTITION BY o_orderstatus) AS total
-    FROM orders"""
+    f"""SELECT doc_id AS id, l AS objeto, CAST((row_number() OVER (PARTITION BY l ORDER BY doc_id DESC) - 1) // 100 + 1 AS INT) AS page, md5(text) AS digest, count(*) OVER (PARTITION BY l) AS total
+    FROM (SELECT *, CASE WHEN lang IS NULL THEN '' WHEN lang IN {_LANGUAGES} THEN lang ELSE 'other' END AS l FROM documents)"""
 )
 def asked_by_object(spark, sf_dir):
-    """Orders kept as answers by status, and read page by page with the status pushed to a source that refuses, falls back and has to be asked again."""
+    """Whole texts kept as answers by language, and read page by page with the language pushed to a source that refuses, falls back and has to be asked again."""
     folder = _folder(spark)
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idContrato"), F.col("o_custkey").alias("customer"), "o_orderstatus")
-    numbered = captured.paged(o, "idContrato", 500, f"{folder}/ranged", "o_orderstatus")
-    body = F.to_json(F.struct(F.struct(F.col("total").alias("totalElements")).alias("pageable"), F.col("rows").alias("data")))
-    pages = captured.write_pages(captured.answers(numbered.withColumn("all", F.col("total")), "idContrato", body), f"{folder}/pages")
-    read = _asked(spark, pages, 500)
-    parts = [read.option("param.objeto", x).load().withColumn("objeto", F.lit(x)) for x in ("F", "O", "P")]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.withColumn("r", F.from_json("payload", "struct<customer long, all long>")).select("id", "objeto", "page", "r.customer", F.col("r.all").alias("total"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idContrato"), "text", F.when(F.col("lang").isin(*_LANGUAGES) | F.col("lang").isNull(), F.col("lang")).otherwise("other").alias("l"))
+    numbered = captured.paged(d, "idContrato", 100, f"{folder}/ranged", "l")
+    record = F.transform("rows", lambda r: F.struct(r["idContrato"].alias("idContrato"), r["text"].alias("text"), F.col("total").alias("all")))
+    body = F.to_json(F.struct(F.struct(F.col("total").alias("totalElements")).alias("pageable"), record.alias("data")))
+    pages = captured.write_pages(captured.answers(numbered, "idContrato", body), f"{folder}/pages")
+    parts = [_asked(spark, pages, 100).option("param.objeto", x).load().withColumn("objeto", F.lit(x)) for x in _LANGUAGES]
+    rows = reduce(DataFrame.unionByName, parts).withColumn("r", F.from_json("payload", "struct<text string, all long>"))
+    return rows.select("id", "objeto", "page", F.md5("r.text").alias("digest"), F.col("r.all").alias("total"))
 
 
 @query(
