@@ -67,14 +67,20 @@ class HttpTransport:
 
 
 class CapturedPages(HttpTransport):
-    """Answers kept by ``captured.write_pages`` in the folder ``base``; ``param.objeto`` chooses among them as the API does."""
+    """Answers kept by ``captured.write_pages`` in the folder ``base``; ``param.objeto`` chooses among them as the API does. A folder is listed once a task."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.opened: dict = {}
 
     def get(self, base: str, query: dict):
         from pyarrow import dataset, fs
 
-        where, path = fs.FileSystem.from_uri(base)
+        if base not in self.opened:
+            where, path = fs.FileSystem.from_uri(base)
+            self.opened[base] = dataset.dataset(path, filesystem=where, format="parquet")
         asked = (dataset.field("page") == query["page"]) & (dataset.field("objeto") == query.get("objeto", ""))
-        bodies = dataset.dataset(path, filesystem=where, format="parquet").to_table(columns=["body"], filter=asked)["body"].to_pylist()
+        bodies = self.opened[base].to_table(columns=["body"], filter=asked)["body"].to_pylist()
         return json.loads(bodies[0]) if bodies else {"data": []}
 
 
