@@ -9,7 +9,7 @@ from urllib.error import HTTPError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telar.catalog import _LOCAL, query, table
+from telar.catalog_records import _LOCAL, query, table
 from telar.catalog_more import _PHRASE_SQL, _any_sql, _folder, _phrases, _sum_sql
 from telar.operators import automaton, classify, constraints, embedding, state
 from telar.plans import changes

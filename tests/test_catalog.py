@@ -5,12 +5,16 @@ import decimal
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 from telar import catalog
 
+from .conftest import ROOT
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -49,3 +53,9 @@ def test_entry(spark):
     assert e.entry(spark).count() == 1
     assert set(e.oracle_sql()) <= set(e.queries())
     assert set(catalog.QUERIES) <= set(e.queries())
+
+
+@pytest.mark.parametrize("module", ["telar.catalog", "telar.catalog_records", "telar.catalog_more", "telar.catalog_changes"])
+def test_each_module_of_queries_loads_first(module):
+    """An executor loads the module whose function it is sent, and no other before it."""
+    subprocess.run([sys.executable, "-c", f"import {module}"], check=True, cwd=ROOT)
