@@ -23,16 +23,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.functions import vector as V
 
 from . import search
+from .nearest import nearest
 
 CELLS = 64
 SAMPLE = 20_000
 FILE_ROWS = 200_000
+ROWS = 1000  # compared with all centres at once
 SCHEMA = "id long, v array<double>, cell int"
 _SLACK = 1e-9  # rounding of distances, beside the least difference that a double tells
 
@@ -69,6 +71,22 @@ def _distances(rows: DataFrame, centres: DataFrame, v: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(all_)).withColumn("near", near).drop("__centres")  # one row
 
 
+def _dealt(rows: DataFrame, centres: list[tuple[int, list[float]]]) -> DataFrame:
+    """id, v and the cell of the nearest centre (of equally near ones any: the radius of a cell is measured afterwards)."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        cells, at = np.array([c for c, _ in centres], np.int32), np.array([x for _, x in centres])
+        for b in (x.slice(i, ROWS) for x in batches for i in range(0, x.num_rows, ROWS)):
+            v = np.asarray(b.column("v").flatten()).reshape(b.num_rows, -1)
+            nearest_ = ((at * at).sum(1) - 2 * (v @ at.T)).argmin(1)
+            yield pa.record_batch([b.column("id"), b.column("v"), pa.array(cells[nearest_])], ["id", "v", "cell"])
+
+    return rows.select("id", "v").mapInArrow(run, SCHEMA)
+
+
 @dataclass(frozen=True)
 class CellIndex:
     """An index at a path that the driver and all executors share: ``vectors`` by cell, and ``cells`` with centre, radius and n."""
@@ -80,7 +98,7 @@ class CellIndex:
         unit = rows.select(F.col(id_col).cast("long").alias("id"), F.explode(F.array(_unit(vector))).alias("v")).filter("v IS NOT NULL")
         centres = fit_centres(unit, cells, sample)
         size = centres.agg(F.max(F.size("centre"))).first()[0]
-        dealt = _distances(unit.filter(F.size("v") == F.lit(size)), centres, "v").select("id", "v", F.col("near")[0]["cell"].alias("cell"))
+        dealt = _dealt(unit.filter(F.size("v") == F.lit(size)), [tuple(c) for c in centres.select("cell", "centre").collect()])  # a few thousand at most
         dealt.write.option("maxRecordsPerFile", FILE_ROWS).mode("overwrite").partitionBy("cell").parquet(f"{self.path}/vectors")
         own = self.vectors().join(F.broadcast(centres), "cell")
         far = F.sqrt(F.aggregate(F.zip_with("v", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
@@ -116,11 +134,8 @@ class CellIndex:
 
     def _ranked(self, pairs: DataFrame, k: int) -> DataFrame:
         """The k nearest vectors of each query among the cells of pairs (query_id, q, cell)."""
-        wanted = [r.cell for r in pairs.select("cell").distinct().collect()]  # cells are bounded
-        own = self.vectors().filter(F.col("cell").isin(wanted))
-        near = own.join(search.asked(pairs), "cell").select("query_id", "id", V.dot(F.col("v"), F.col("q")).alias("similarity"))
-        w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-        return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        own = self.vectors().join(F.broadcast(pairs.select("cell").distinct()), "cell", "left_semi")  # cells are bounded
+        return nearest(own, pairs, k, on=["cell"])
 
     def search(self, queries: DataFrame, k: int = 10, probes: int | None = None, first: int = 2) -> DataFrame:
         """query_id, id, similarity, rank of the k nearest vectors of each query (columns query_id, query).

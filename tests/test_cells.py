@@ -67,3 +67,18 @@ def test_none(spark, tmp_path):
     q = spark.createDataFrame([(1, [1.0])], "query_id long, query array<double>")
     assert index.search(q).count() == 0
     assert index.search(q, probes=3).count() == 0
+
+
+def test_cells_are_dealt_and_searched_by_blocks(spark, tmp_path):
+    """The cell is that of a nearest centre, and no row is made of each vector and query."""
+    from telar.operators.cells import _dealt
+
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(2500)], "id long, v array<double>")
+    centres = [(4, [0.0, 1.0, 0.0]), (9, [5.0, 1.0, 2.0]), (2, [3.0, 0.0, 1.0])]
+    got = _dealt(rows, centres).collect()
+    assert len(got) == 2500
+    far = lambda v, c: sum((a - b) ** 2 for a, b in zip(v, c, strict=True))
+    assert all(far(r.v, dict(centres)[r.cell]) == min(far(r.v, c) for _, c in centres) for r in got)
+    index = CellIndex(spark, f"file://{tmp_path}/i").build(rows, "id", "v", cells=3)
+    df = index.search(rows.select(F.col("id").alias("query_id"), F.col("v").alias("query")), 2, probes=1)
+    assert "FlatMapCoGroupsInArrow" in df._jdf.queryExecution().toString()
