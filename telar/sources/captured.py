@@ -31,7 +31,8 @@ def paged(rows: DataFrame, key: str, size: int, folder: str, by: str | None = No
     firsts = placed.groupBy("objeto").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("total"))
     page = F.floor((F.col("__at") - F.col("__first")) / size).cast("int") + 1
     pages = F.ceil(F.col("total") / size).cast("int")
-    return placed.join(firsts, "objeto").withColumn("page", page).withColumn("pages", pages).drop("__first", "__at")
+    # a row an object: were the rows dealt by object to be joined, one task would read all of an object
+    return placed.join(F.broadcast(firsts), "objeto").withColumn("page", page).withColumn("pages", pages).drop("__first", "__at")
 
 
 def answers(numbered: DataFrame, key: str, body: Column) -> DataFrame:
