@@ -48,12 +48,13 @@ def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16,
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for at in range(0, len(f), batch):
-                some = f.iloc[at : at + batch].copy()
+            texts, made, errors = f["__text"].fillna("").tolist(), [], []  # the frame is copied once, not once a batch
+            for at in range(0, len(texts), batch):
+                some = texts[at : at + batch]
                 vectors, error = None, None
                 for attempt in range(retries):
                     try:
-                        vectors = embedder(some["__text"].fillna("").tolist())
+                        vectors = embedder(some)
                         if len(vectors) != len(some):
                             raise ValueError(f"{len(vectors)} vectors for {len(some)} texts")
                         error = None
@@ -63,9 +64,10 @@ def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16,
                     except Exception as e:  # a batch's failure is a result, not the job's
                         vectors, error = None, f"{type(e).__name__}: {e}"
                         time.sleep(pause * 2**attempt)
-                some["vector"] = vectors if vectors is not None else [None] * len(some)
-                some["error"] = error
-                yield some
+                made += vectors if vectors is not None else [None] * len(some)
+                errors += [error] * len(some)
+            if made:
+                yield f.assign(vector=pd.Series(made, f.index, object), error=pd.Series(errors, f.index, object))
 
     schema = rows.withColumns({"vector": F.lit(None).cast("array<double>"), "error": F.lit(None).cast("string")}).schema
     return rows.mapInPandas(run, schema).drop("__text").withColumn("vector", l2_normalize(F.col("vector")))
