@@ -57,3 +57,11 @@ def test_words_that_end_in_a_digit_need_no_steps(spark):
     df = spark.createDataFrame([(w,) for w in ["n12", "7", "áéíóú1", "mente9", "ñandú8", "a٣", "gué", "12os", "sistemas"]], "w string")
     got = spanish.stemmed(df, "w").select("w", "stem", F.expr(spanish.stem_expression("w")).alias("want")).collect()
     assert all(r.stem == r.want for r in got)
+
+
+def test_tasks_follow_the_documents(spark, tmp_path, monkeypatch):
+    """With a fixed number of tasks, the memory of one grew with the table."""
+    monkeypatch.setattr(text_index, "TASK_DOCUMENTS", 10)
+    docs = spark.range(600).select("id", F.lit("agua").alias("t"))
+    blocks, tasks = TextIndex(spark, f"file://{tmp_path}/i", ("t",), span=4)._blocks(docs)
+    assert tasks == 60 == blocks.rdd.getNumPartitions()
