@@ -82,7 +82,7 @@ def changes_propagated(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     no = F.lit(None).cast("string")
     records = d.select(F.col("doc_id").alias("id"), F.col("source").alias("entidad"), F.col("lang").alias("descripcion"), no.alias("objeto"), no.alias("descripcion_contrato"), F.col("doc_id").cast("string").alias("nro_contratacion"), F.lit("Vigente").alias("estado"))
-    pages = d.select(F.col("doc_id").alias("id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pagina", "texto"))
+    pages = d.select(F.col("doc_id").alias("id"), F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pagina", "texto"))  # outer, or texts are split once more to leave out empty arrays, of which there are none
     how = {"least_chars": 1, "split_over": 0, "target": 1}  # each line a page, each line a chunk
     _, first = changes.propagate(records, pages, changes.empty_chunks(records), f"{folder}/first", embedder, **how)
     later = pages.filter("id % 10 <> 7").withColumn("texto", F.when((F.col("id") % 10 == 3) & (F.col("pagina") == 0), F.concat("texto", F.lit(" cambio"))).otherwise(F.col("texto")))

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SPACE = "(?U)^\\s+|\\s+$"
+# The characters of Unicode's White_Space, as the regular expression (?U)\s has them.
+SPACE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # The accented letters that fold() maps, and what it maps them to.
 FOLD_FROM = "áéíóúüñÁÉÍÓÚÜÑàèìòùÀÈÌÒÙ"
@@ -50,7 +51,7 @@ def fold(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at the ends."""
-    return F.regexp_replace(c, SPACE, "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -84,11 +85,22 @@ def useful_chars(c: Column) -> Column:
     return F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\p{L}\p{N}]", ""))
 
 
+def fewer_useful(c: Column, n: int) -> Column:
+    """Whether a text has fewer than n letters and digits; up to a hundred are looked for, not counted."""
+    if not 0 < n <= 100:
+        return useful_chars(c) < n
+    return ~F.coalesce(c, F.lit("")).rlike(r"\A(?:[^\p{L}\p{N}]*+[\p{L}\p{N}]){%d}" % n)
+
+
+def _bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def clean_text(c: Column) -> Column:
-    """NUL to space, no blanks before line ends, at most one blank line, single blanks, trimmed."""
-    for pattern, by in (("\u0000", " "), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n"), (r"[ \t]{2,}", " ")):
-        c = F.regexp_replace(c, pattern, by)
-    return strip(c)
+    """NUL to space, no blanks before line ends, at most one blank line, single blanks, trimmed. What a text has nothing of is not searched for by expressions."""
+    lines = _bound(F.replace(c, F.lit("\u0000"), F.lit(" ")), lambda t: F.when(t.contains("\n"), F.regexp_replace(F.regexp_replace(t, r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n")).otherwise(t))
+    return strip(_bound(lines, lambda t: F.when(t.contains("  ") | t.contains("\t"), F.regexp_replace(t, r"[ \t]{2,}", " ")).otherwise(t)))
 
 
 def approx_tokens(c: Column) -> Column:
@@ -142,7 +154,7 @@ def body(c: Column) -> Column:
 
 def without_letterhead(c: Column, patterns: Sequence[str] = LETTERHEAD) -> Column:
     """Letterhead lines, page marks and short capital labels dropped; runs of blank lines collapsed."""
-    lines = F.split(F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n?", "\n"), "\n")
+    lines = F.split(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), "\n")
     head = "(?iu)^(?:" + "|".join(patterns) + ")$"
 
     def drop(s: Column) -> Column:
@@ -152,7 +164,7 @@ def without_letterhead(c: Column, patterns: Sequence[str] = LETTERHEAD) -> Colum
 
     kept = F.filter(F.transform(lines, lambda x: F.struct(x.alias("line"), strip(x).alias("s"))), lambda p: ~drop(p["s"]))
     blank = F.transform(kept, lambda p: F.when(p["s"] == "", F.lit("")).otherwise(p["line"]))
-    return strip(F.regexp_replace(F.array_join(blank, "\n"), r"\n{3,}", "\n\n"))
+    return strip(_bound(F.array_join(blank, "\n"), lambda t: F.when(t.contains("\n\n\n"), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)))
 
 
 def search_term(c: Column) -> Column:

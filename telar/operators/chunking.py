@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +15,14 @@ TARGET = 500
 
 def split_paragraphs(c: Column, target: int = TARGET) -> Column:
     """Lines packed greedily until the next would go over the target; a longer line stays whole; no overlap."""
-    lines = F.filter(F.transform(F.split(F.regexp_replace(F.coalesce(c, F.lit("")), "\r\n", "\n"), "\n"), T.strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n")), "\n"), T.strip), lambda x: x != "")
+    if target < 2:
+        return lines  # each has a token at least, so no two go together
+    lines = F.transform(lines, lambda x: F.struct(x.alias("t"), T.approx_tokens(x).alias("n")))  # counted once a line
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("buf"), F.lit(0).alias("n"))
 
-    def step(acc: Column, line: Column) -> Column:
-        n = T.approx_tokens(line)
+    def step(acc: Column, x: Column) -> Column:
+        line, n = x["t"], x["n"]
         full = (acc["buf"] != "") & (acc["n"] + n > target)
         return F.struct(
             F.when(full, F.concat(acc["done"], F.array(acc["buf"]))).otherwise(acc["done"]).alias("done"),
@@ -73,25 +78,35 @@ def contract_chunks(contracts: DataFrame) -> DataFrame:
     return rows.select(F.col("id").alias("contrato_id"), "chunk_index", F.col("c.tipo").alias("tipo"), F.concat("h", F.lit("\n"), F.col("c.t")).alias("texto"), F.lit("api").alias("fuente"))
 
 
-def document_chunks(contracts: DataFrame, existing: DataFrame | None = None, split_over: int = SPLIT_OVER, target: int = TARGET) -> DataFrame:
-    """Chunks of the extracted text, numbered on from the contract's highest existing chunk."""
-    base = contracts.withColumn("__from", F.lit(0))
+def document_chunks(contracts: DataFrame, existing: DataFrame | None = None, split_over: int = SPLIT_OVER, target: int = TARGET, start: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Chunks of the extracted text, numbered on from the contract's highest existing chunk, or from ``start`` of the contract. ``keep``: columns of the contract that its chunks have too.
+
+    What is the same for all chunks of a contract is made once, before they are rows; a chunk's row never holds the whole text.
+    """
+    base = contracts.withColumn("__from", F.lit(0) if start is None else start)
     if existing is not None:
         base = contracts.join(existing.groupBy(F.col("contrato_id").alias("id")).agg((F.max("chunk_index") + 1).cast("int").alias("__from")), "id", "left").withColumn("__from", F.coalesce("__from", F.lit(0)))
-    texts = parts(F.col("tdr_texto"), split_over, target)
     number = _number()
-    rows = base.select("id", "entidad", "descripcion", "objeto", number.alias("nro"), "__from", texts.alias("ts"))
-    rows = rows.select("id", "entidad", "descripcion", "objeto", "nro", "__from", F.size("ts").alias("n"), F.posexplode("ts").alias("i", "part"))
-    shown = F.concat(T.short_header(F.col("entidad"), F.col("nro")), F.lit("\n"), F.col("part"))
+    heads = {"nro": number, "short": T.short_header(F.col("entidad"), number), "long": T.long_header(F.col("entidad"), T.subject(F.col("descripcion"), F.col("objeto")), number), "own": F.nullif(T.strip(F.col("entidad")), F.lit(""))}
+    heads["plain"] = F.instr(heads["short"], "]") == F.length(heads["short"])  # the first bracket ends it, so that body() takes it off, with the white space behind
+    rows = base.select("id", "__from", *keep, *(c.alias(f"__{k}") for k, c in heads.items()), parts(F.col("tdr_texto"), split_over, target).alias("ts")).withColumn("n", F.size("ts"))
+    # outer, then without nulls: the inner one filters by the array's size first, which would make the array twice
+    rows = rows.select("id", "__from", *keep, *(f"__{k}" for k in heads), "n", F.posexplode_outer("ts").alias("i", "part")).filter("i IS NOT NULL")
+    shown = F.concat("__short", F.lit("\n"), "part")
+    body = F.when(F.col("__plain"), F.ltrim("part", F.lit(" \t\n\x0b\f\r"))).otherwise(T.body(shown))
     return rows.select(
         F.col("id").alias("contrato_id"), (F.col("__from") + F.col("i")).alias("chunk_index"), _label("TDR PDF", F.col("i") + 1, F.col("n")).alias("tipo"), shown.alias("texto"), F.lit("pdf").alias("fuente"),
-        embed_text(F.col("entidad"), F.col("descripcion"), F.col("objeto"), F.col("nro"), shown).alias("chunk_embed_text"), F.nullif(T.strip(F.col("entidad")), F.lit("")).alias("meta_entidad"), F.nullif(F.col("nro"), F.lit("")).alias("meta_nro"),
+        _below(F.col("__long"), body).alias("chunk_embed_text"), F.col("__own").alias("meta_entidad"), F.nullif("__nro", F.lit("")).alias("meta_nro"), *keep,
     )
 
 
 def embed_text(entity: Column, description: Column, kind: Column, number: Column, shown: Column) -> Column:
     """A semantic header and the body without its letterhead."""
-    return F.concat(T.long_header(entity, T.subject(description, kind), number), F.lit("\n"), T.without_letterhead(T.body(shown)))
+    return _below(T.long_header(entity, T.subject(description, kind), number), T.body(shown))
+
+
+def _below(header: Column, body: Column) -> Column:
+    return F.concat(header, F.lit("\n"), T.without_letterhead(body))
 
 
 def text_to_embed(source: Column, shown: Column, stored: Column, mode: str = "auto", longest: int | None = None) -> Column:

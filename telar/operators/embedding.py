@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable, Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,30 @@ from .merge import partial_update
 Embedder = Callable[[list[str]], list[list[float]]]
 
 
-def hashing_embedder(dimension: int = 64) -> Embedder:
-    """Deterministic: words hashed to signed dimensions."""
+class _Places(dict):
+    """Of words, found at the first time; those of the negative sign come after the others."""
+
+    def __init__(self, dimension: int):
+        self.dimension = dimension
+
+    def __missing__(self, word: str) -> int:
+        h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        self[word] = place = h % self.dimension + (0 if h >> 63 else self.dimension)
+        return place
+
+
+def hashing_embedder(dimension: int = 64, known_words: int = 1 << 18) -> Embedder:
+    """Deterministic: words hashed to signed dimensions. A task keeps the places of some ``known_words`` words, so that one is seldom hashed twice."""
+    places = _Places(dimension)
 
     def embed(texts: list[str]) -> list[list[float]]:
-        out = []
-        for t in texts:
-            v = [0.0] * dimension
-            for w in t.lower().split():
-                h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-                v[h % dimension] += 1.0 if h >> 63 else -1.0
-            out.append(v)
-        return out
+        if len(places) > known_words:
+            places.clear()
+        words = [t.lower().split() for t in texts]
+        at = np.repeat(np.arange(len(texts)) * (2 * dimension), [len(ws) for ws in words])
+        at += np.fromiter(map(places.__getitem__, chain.from_iterable(words)), np.int64, len(at))
+        n = np.bincount(at, minlength=2 * dimension * len(texts)).reshape(len(texts), 2, dimension)
+        return (n[:, 0] - n[:, 1]).astype(float).tolist()
 
     return embed
 
@@ -42,15 +56,20 @@ def pending(chunks: DataFrame, contracts: DataFrame | None = None, column: str =
     return due.orderBy("id").limit(limit) if limit else due
 
 
-def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16, retries: int = 3, pause: float = 0.0) -> DataFrame:
-    """The rows with ``vector`` (unit length; null if its batch failed for good) and ``error``."""
-    rows = rows.withColumn("__text", text)
+def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16, retries: int = 3, pause: float = 0.0, where: Column | None = None) -> DataFrame:
+    """The rows with ``vector`` (unit length; null if its batch failed for good) and ``error``. Texts alone go to Python, the rest of a row stays.
+
+    ``where``: the rows to embed, if not all; the others have neither vector nor error, and no batch holds them.
+    """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts, made, errors = f["__text"].fillna("").tolist(), [], []  # the frame is copied once, not once a batch
-            for at in range(0, len(texts), batch):
-                some = texts[at : at + batch]
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for a in arrays:
+            texts = a.to_pylist()
+            asked = [k for k, t in enumerate(texts) if t is not None]
+            made, errors = [None] * len(texts), [None] * len(texts)
+            for at in range(0, len(asked), batch):
+                rows_of = asked[at : at + batch]
+                some = [texts[k] for k in rows_of]
                 vectors, error = None, None
                 for attempt in range(retries):
                     try:
@@ -64,13 +83,13 @@ def embedded(rows: DataFrame, text: Column, embedder: Embedder, batch: int = 16,
                     except Exception as e:  # a batch's failure is a result, not the job's
                         vectors, error = None, f"{type(e).__name__}: {e}"
                         time.sleep(pause * 2**attempt)
-                made += vectors if vectors is not None else [None] * len(some)
-                errors += [error] * len(some)
-            if made:
-                yield f.assign(vector=pd.Series(made, f.index, object), error=pd.Series(errors, f.index, object))
+                for i, k in enumerate(rows_of):
+                    made[k], errors[k] = None if vectors is None else vectors[i], error
+            yield pa.StructArray.from_arrays([pa.array(made, pa.list_(pa.float64())), pa.array(errors, pa.string())], names=["vector", "error"])
 
-    schema = rows.withColumns({"vector": F.lit(None).cast("array<double>"), "error": F.lit(None).cast("string")}).schema
-    return rows.mapInPandas(run, schema).drop("__text").withColumn("vector", l2_normalize(F.col("vector")))
+    once = F.arrow_udf(run, "vector array<double>, error string").asNondeterministic()  # so that no filter asks the model again
+    text = F.coalesce(text, F.lit(""))
+    return rows.withColumn("__made", once(text if where is None else F.when(where, text))).withColumns({"vector": l2_normalize(F.col("__made.vector")), "error": F.col("__made.error")}).drop("__made")
 
 
 def store(chunks: DataFrame, vectors: DataFrame, column: str = "embedding_v2") -> DataFrame:

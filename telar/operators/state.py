@@ -251,9 +251,9 @@ def extracted_pages(pages: DataFrame, least_chars: int = 80, most_scans: int | N
 
     A page with fewer than ``least_chars`` letters is an image; all of them are due, or the first ``most_scans`` (40 in the original).
     """
-    from telar.functions.text import clean_text, page_kind, page_mark, useful_chars
+    from telar.functions.text import clean_text, fewer_useful, page_kind, page_mark
 
-    p = pages.withColumn("scan", useful_chars(F.col("texto")) < least_chars)
+    p = pages.withColumn("scan", fewer_useful(F.col("texto"), least_chars))
     mark = F.concat(page_mark(F.col("pagina")), F.lit("\n"), clean_text(F.coalesce("texto", F.lit(""))))
     doc = p.groupBy("id").agg(
         F.count(F.lit(1)).cast("int").alias("tdr_n_paginas"), F.count_if("scan").cast("int").alias("tdr_n_paginas_ocr"), F.array_sort(F.collect_list(F.when(F.col("scan"), F.col("pagina")))).alias("scans"),
